@@ -41,6 +41,11 @@ def matches(keys: Iterable[str], prefix: str) -> Column:
     return cond
 
 
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def newest_first(date_col: str, seq_col: str | None) -> Column:
     """Ordering key whose maximum is the newest row; equal dates keep the first one seen.
 

@@ -5,53 +5,53 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from feedmill.functions.columns import bound
+
 # Layouts tried in order once the text is in its tidy form.
 LAYOUTS = (
-    "d MMM yyyy HH:mm:ss Z",
-    "d MMM yyyy HH:mm Z",
-    "d MMM yy HH:mm:ss Z",
-    "MMM d yyyy HH:mm:ss Z",
-    "MMM d yyyy HH:mm Z",
-    "M/d/yyyy HH:mm:ss Z",
-    "M/d/yyyy HH:mm Z",
-    "MMM d yyyy h:mm:ss a Z",
-    "MMM d yyyy h:mm a Z",
-    "M/d/yyyy h:mm:ss a Z",
-    "M/d/yyyy h:mm a Z",
-    "yyyyMMdd'T'HHmmss Z",
-    "yyyyMMdd Z",
+    "d MMM yyyy HH:mm[:ss] Z",
+    "d MMM yy HH:mm[:ss] Z",
+    "MMM d yyyy HH:mm[:ss] Z",
+    "MMM d yyyy h:mm[:ss] a Z",
+    "d MMM yyyy h:mm[:ss] a Z",
+    "M/d/yyyy HH:mm[:ss] Z",
+    "M/d/yyyy h:mm[:ss] a Z",
     "d MMM yyyy Z",
     "MMM d yyyy Z",
     "M/d/yyyy Z",
+    "yyyyMMdd Z",
 )
-
-
-def _tidy(text: Column) -> Column:
-    """One spelling for the many: no weekday, no commas, short months, a numeric zone at the end."""
-    t = F.trim(F.regexp_replace(text, r"\s+", " "))
-    t = F.regexp_replace(t, r"(?i)^(mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?,? *", "")
-    t = F.regexp_replace(t, ",", " ")
-    t = F.regexp_replace(
-        t, r"(?i)\b(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.?(?=[ -])", "$1"
+# Rewrites that bring the usual spellings to the forms above.
+TIDY = (
+    (r"[\s,]+", " "),
+    (r"(?i)^ ?(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*\.? ?", ""),
+    (r"(?i)\b(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.?(?=[ -])", "$1"),
+    (r"^(\d{1,2})-([A-Za-z]{3})-(\d{2,4})", "$1 $2 $3"),
+    (r"(\d) ?([+-]\d{2}):?(\d{2}) ?(?:\([^)]*\))?$", "$1 $2$3"),
+    # A zone given by name is read as UTC, and so is none at all.
+    (r"(?i)(\d| [ap]m) ?(?!am$|pm$)[a-z]{1,5}$", "$1"),
+    (r"^(?!.* [+-]\d{4}$)(.*)$", "$1 +0000"),
+)
+ISO = r"^\d{4}-\d{1,2}-\d{1,2}"
+
+
+def _other(text: Column) -> Column:
+    for pattern, form in TIDY:
+        text = F.regexp_replace(text, pattern, form)
+    # Month names as "Jan"; that spoils AM and PM, which are put right after it.
+    for low, up in ((" Am ", " AM "), (" Pm ", " PM ")):
+        text = F.replace(F.initcap(text) if low == " Am " else text, F.lit(low), F.lit(up))
+    return bound(
+        F.regexp_replace(text, r"(\d)(AM|PM|am|pm|Am|Pm) ", "$1 $2 "),
+        lambda tidy: F.coalesce(*[F.try_to_timestamp(tidy, F.lit(layout)) for layout in LAYOUTS]),
     )
-    t = F.regexp_replace(t, r"^(\d{1,2})-([A-Za-z]{3})-(\d{2,4})", "$1 $2 $3")
-    t = F.initcap(F.regexp_replace(t, " +", " "))
-    # 4-digit offsets, then names. Named zones other than these are read as UTC as well.
-    t = F.regexp_replace(t, r" ?([+-]\d{2}):(\d{2})$", " $1$2")
-    t = F.regexp_replace(t, r"(?i)(?<=[\d ]) ?(?!am$|pm$)[a-z]{1,5}$", " +0000")
-    t = F.regexp_replace(t, r"(?i) ?(am|pm)\b", " $1")
-    t = F.when(t.rlike(r"[+-]\d{4}$"), t).otherwise(F.concat(t, F.lit(" +0000")))
-    return F.regexp_replace(F.regexp_replace(t, "(?i) am ", " AM "), "(?i) pm ", " PM ")
 
 
 def to_utc(text: Column) -> Column:
     """UTC timestamp of ``text``, or null when no layout fits; a missing zone means UTC.
 
-    The ISO forms (the bulk of real feeds) go through the native cast first.
+    The ISO forms, the bulk of real feeds, take the native cast.
     """
-    iso = F.regexp_replace(F.trim(text), r"(?i) ?(utc|gmt|z)$", "Z")
-    iso = F.regexp_replace(iso, r"([+-]\d{2})(\d{2})$", "$1:$2")
-    native = F.when(iso.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), iso.try_cast("timestamp"))
-    tidy = _tidy(text)
-    other = F.coalesce(*[F.try_to_timestamp(tidy, F.lit(layout)) for layout in LAYOUTS])
-    return F.when(iso.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), native).otherwise(other)
+    iso = F.regexp_replace(F.trim(text), r"(?i) ?(?:utc|gmt|z)$", "Z")
+    iso = F.regexp_replace(iso, r" ?([+-]\d{2}):?(\d{2})$", "$1:$2")
+    return F.when(F.trim(text).rlike(ISO), iso.try_cast("timestamp")).otherwise(_other(text))

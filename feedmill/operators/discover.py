@@ -218,4 +218,4 @@ def accept(
     first = keep_one(offered, ["site", "RSS"], F.col("_order")).drop("_order")
     known = registry.select("site", "RSS").distinct()
     fresh = first.join(known, ["site", "RSS"], "left_anti")
-    return registry.unionByName(fresh.select(*[c for c in fresh.columns if c in registry.columns]), True)
+    return registry.unionByName(fresh, allowMissingColumns=True)

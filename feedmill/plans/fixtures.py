@@ -119,3 +119,109 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("line"),
         F.col("event_id").alias("seq"),
     )
+
+
+def mined_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topics that grow with the corpus: the first word of each title, if it has five letters."""
+    doc = F.col("doc_id")
+    word = F.substring_index(F.substring_index("text", "\n", 1), " ", 1)
+    return (
+        table(spark, sf_dir, "documents")
+        .select(word.alias("query"), "lang", "doc_id")
+        .where(F.length("query") >= 5)
+        .groupBy("query")
+        .agg(F.min("lang").alias("category"), F.min(doc).alias("first"))
+        .select(
+            "query",
+            "category",
+            (1 + F.col("first") % 10).cast("int").alias("priority"),
+            (F.col("first") % 4 != 0).alias("active"),
+        )
+    )
+
+
+OPS = {"view": "toggle", "click": "set_priority", "error": "remove", "purchase": "add", "signup": "set_category"}
+
+
+def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind, event = F.col("event_type"), F.col("event_id")
+    op = F.lit(None).cast("string")
+    for event_type, name in OPS.items():
+        op = F.when(kind == event_type, name).otherwise(op)
+    return table(spark, sf_dir, "events").select(
+        event.alias("seq"),
+        op.alias("op"),
+        "user_id",
+        F.concat(F.lit("c"), (event % 7).cast("string")).alias("category"),
+        (event % 10).cast("int").alias("priority"),
+        F.when(event % 3 == 1, True).when(event % 3 == 2, False).alias("active"),
+        F.col("ts"),
+    )
+
+
+def topic_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A topic change log: every event is one operation on its user's topic."""
+    key = F.concat(F.lit("topic "), F.col("user_id").cast("string"))
+    return _log(spark, sf_dir).withColumn("query", key).drop("user_id")
+
+
+def topic_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topics of every second user, as they stood before the log."""
+    user = F.col("user_id")
+    return (
+        table(spark, sf_dir, "events")
+        .where(user % 2 == 0)
+        .groupBy("user_id")
+        .agg(F.min("ts").alias("created"))
+        .select(
+            F.concat(F.lit("topic "), user.cast("string")).alias("query"),
+            F.lit("general").alias("category"),
+            F.lit(5).alias("priority"),
+            (user % 3 != 0).alias("active"),
+            "created",
+            F.col("created").alias("last_updated"),
+        )
+    )
+
+
+def _site(user: Column) -> Column:
+    return F.concat(F.lit("www.h"), user.cast("string"), F.lit(".example.com"))
+
+
+def _rss(user: Column) -> Column:
+    return F.concat(F.lit("https://h"), user.cast("string"), F.lit(".example.com/rss"))
+
+
+def source_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A registry change log over the same events; both setters are plain updates here."""
+    user, op = F.col("user_id"), F.col("op")
+    setter = op.isin("set_priority", "set_category")
+    return _log(spark, sf_dir).select(
+        "seq",
+        F.when(setter, "update").otherwise(op).alias("op"),
+        _site(user).alias("site"),
+        _rss(user).alias("RSS"),
+        F.when(op != "set_category", F.concat(F.lit("s"), F.col("priority").cast("string"))).alias("source"),
+        F.when(op != "set_priority", F.col("category")).alias("category"),
+        F.when(~setter, F.col("active")).alias("active"),
+        "ts",
+    )
+
+
+def source_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    user = F.col("user_id")
+    return (
+        table(spark, sf_dir, "events")
+        .where(user % 2 == 0)
+        .groupBy("user_id")
+        .agg(F.min("ts").alias("added_date"))
+        .select(
+            _site(user).alias("site"),
+            _rss(user).alias("RSS"),
+            F.concat(F.lit("name "), user.cast("string")).alias("source"),
+            (user % 3 != 0).alias("active"),
+            F.lit("finance").alias("category"),
+            "added_date",
+            F.col("added_date").alias("last_updated"),
+        )
+    )
