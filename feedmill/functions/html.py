@@ -36,11 +36,13 @@ def visible(html: Column) -> Column:
 
 
 def link_tags(html: Column) -> Column:
-    return F.regexp_extract_all(visible(html), F.lit(LINK_TAG), F.lit(0))
+    """``<link>`` elements of visible HTML."""
+    return F.regexp_extract_all(html, F.lit(LINK_TAG), F.lit(0))
 
 
 def anchors(html: Column) -> Column:
-    return F.regexp_extract_all(visible(html), F.lit(ANCHOR), F.lit(0))
+    """``<a>`` elements of visible HTML with all their content; of nested ones the inner."""
+    return F.regexp_extract_all(html, F.lit(ANCHOR), F.lit(0))
 
 
 def open_tag(anchor: Column) -> Column:

@@ -8,8 +8,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedmill.functions.columns import strip_space
-from feedmill.functions.html import anchors, attribute, link_tags, open_tag, sole_text
+from feedmill.functions.columns import bound, strip_space
+from feedmill.functions.html import anchors, attribute, link_tags, open_tag, sole_text, visible
 from feedmill.functions.urls import mentioned_urls, resolve_href, strip_www, url_domain
 from feedmill.operators.clean import keep_one
 from feedmill.operators.search import recent
@@ -71,42 +71,56 @@ def site_base(domain: Column) -> Column:
     return F.concat(F.lit("https://"), host)
 
 
-def _found(pages: DataFrame, priority: int, elements: Column, page_col: str) -> DataFrame:
-    return pages.select(
-        "domain",
-        F.lit(priority).alias("priority"),
-        F.col(page_col).alias("page"),
-        F.posexplode(elements).alias("pos", "element"),
-    )
+def feed_candidates(
+    pages: DataFrame, page_col: str = "page_id", kinds: Sequence[int] = (FROM_LINK, FROM_ANCHOR)
+) -> DataFrame:
+    """Feed links of pages (``domain, html``), each page read once for all ``kinds``.
 
+    Link elements count when their type names rss or atom, anchors when their sole text speaks
+    of rss, feed or atom in any case. Either needs a non-empty href.
+    """
+    finders = {FROM_LINK: link_tags, FROM_ANCHOR: anchors}
 
-def feed_links(pages: DataFrame, page_col: str = "page_id") -> DataFrame:
-    """``<link>`` elements whose type names rss or atom, with a non-empty href."""
-    may = pages.where(F.col("html").contains("rss") | F.col("html").contains("atom"))
-    kind = attribute(F.col("element"), "type")
+    def of_kind(kind: int, html: Column) -> Column:
+        return F.transform(
+            finders[kind](html),
+            lambda e, i: F.struct(F.lit(kind).alias("priority"), i.alias("pos"), e.alias("element")),
+        )
+
+    def elements(html: Column) -> Column:
+        return F.concat(*[of_kind(kind, html) for kind in kinds])
+
+    found = (
+        pages.where(F.col("html").rlike("(?i)rss|feed|atom"))
+        .select("domain", F.col(page_col).alias("page"), F.explode(bound(visible(F.col("html")), elements)).alias("_e"))
+        .select("domain", "page", "_e.*")
+    )
+    element, is_link = F.col("element"), F.col("priority") == FROM_LINK
+    kind, text = attribute(element, "type"), sole_text(element)
+    wanted = F.when(is_link, kind.contains("rss") | kind.contains("atom")).otherwise(text.rlike("(?i)rss|feed|atom"))
+    title = F.when(is_link, attribute(element, "title")).otherwise(F.nullif(strip_space(text), F.lit("")))
     return (
-        _found(may, FROM_LINK, link_tags(F.col("html")), page_col)
-        .where(kind.contains("rss") | kind.contains("atom"))
-        .withColumn("href", attribute(F.col("element"), "href"))
-        .withColumn("title", F.coalesce(attribute(F.col("element"), "title"), F.lit(UNTITLED_FEED)))
+        found.where(wanted)
+        .select(
+            "domain",
+            "priority",
+            "page",
+            "pos",
+            attribute(F.when(is_link, element).otherwise(open_tag(element)), "href").alias("href"),
+            F.coalesce(title, F.lit(UNTITLED_FEED)).alias("title"),
+        )
         .where(F.col("href") != "")
-        .drop("element")
     )
 
 
+def feed_links(pages: DataFrame, page_col: str = "page_id") -> DataFrame:
+    """``<link>`` elements whose type names rss or atom, with a non-empty href."""
+    return feed_candidates(pages, page_col, [FROM_LINK])
+
+
 def feed_anchors(pages: DataFrame, page_col: str = "page_id") -> DataFrame:
     """``<a href>`` elements whose sole text speaks of rss, feed or atom (any case)."""
-    may = pages.where(F.col("html").rlike("(?i)rss|feed|atom"))
-    text = F.col("text")
-    return (
-        _found(may, FROM_ANCHOR, anchors(F.col("html")), page_col)
-        .withColumn("text", sole_text(F.col("element")))
-        .where(text.rlike("(?i)rss|feed|atom"))
-        .withColumn("href", attribute(open_tag(F.col("element")), "href"))
-        .withColumn("title", F.coalesce(F.nullif(strip_space(text), F.lit("")), F.lit(UNTITLED_FEED)))
-        .where(F.col("href") != "")
-        .drop("element", "text")
-    )
+    return feed_candidates(pages, page_col, [FROM_ANCHOR])
 
 
 def resolved(found: DataFrame) -> DataFrame:
@@ -144,8 +158,7 @@ def dedupe_feeds(found: DataFrame) -> DataFrame:
 
 def page_feeds(pages: DataFrame, page_col: str = "page_id") -> DataFrame:
     """All feeds the pages link to, absolute and one row per domain and URL."""
-    both = feed_links(pages, page_col).unionByName(feed_anchors(pages, page_col))
-    return dedupe_feeds(resolved(both))
+    return dedupe_feeds(resolved(feed_candidates(pages, page_col)))
 
 
 def suggest(
@@ -167,7 +180,7 @@ def suggest(
     counts = domain_counts(articles, as_of, days, min_occurrence)
     wanted = F.broadcast(candidates(counts, known_domains(registry), check_limit))
     theirs = pages.join(wanted.select("domain"), "domain", "left_semi")
-    found = resolved(feed_links(theirs, page_col).unionByName(feed_anchors(theirs, page_col)))
+    found = resolved(feed_candidates(theirs, page_col))
     if probes is not None:
         found = found.unionByName(confirm(candidate_urls(wanted), probes))
     return dedupe_feeds(found).join(wanted, "domain").select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import textwrap
 
 from feedmill.plans.fixtures import AS_OF, PHRASE, STORE_CUT
-from feedmill.schema import FEED_PATHS, NO_SUMMARY, UNTITLED_FEED
+from feedmill.schema import FEED_PATHS, NO_SUMMARY, SEED_TOPICS, UNTITLED_FEED
 
 HOST = "regexp_replace(regexp_extract({url}, '^[^:/?#]+://([^/?#]*)', 1), '^www[.]', '')"
 
@@ -23,6 +23,9 @@ VIEWS = {
         select * from (values ('the', 'general', 1, true), ('worthless', 'markets', 2, true),
           ('und', 'economy', 3, true), ('les', 'economy', 3, false), ('est', 'general', 5, true))
           t(query, category, priority, active)""",
+    "seed_topics": "select query, true as active from (values "
+    + ", ".join(f"('{q}')" for names in SEED_TOPICS.values() for q in names)
+    + ") t(query)",
     "mined_topics": """
         select query, min(lang) as category, cast(1 + min(doc_id) % 10 as integer) as priority,
           min(doc_id) % 4 <> 0 as active
@@ -259,6 +262,7 @@ ORACLE = {
           from ({_hits(PHRASE, 30, "article_id, url, date")})))
         where tier = best order by date desc, article_id limit 20""").replace("select * from (select", "select article_id, url, date, tier from (select", 1),
     "batch_search": with_views(_tagged("topics", 7, 20, "query", "query, article_id, url, date")),
+    "batch_search_seed_topics": with_views(_tagged("seed_topics", 30, 20, "query", "query, article_id, url, date")),
     "batch_search_mined_topics": with_views(
         _tagged("mined_topics", 30, 20, "query", "query, article_id, url, date")
     ),

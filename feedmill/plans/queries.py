@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -290,6 +291,14 @@ def batch_search(spark, sf_dir):
     )
 
 
+@query
+def batch_search_seed_topics(spark, sf_dir):
+    seeds = T.topics(T.seed_topics(spark, datetime.fromisoformat(fx.AS_OF)))
+    return Q.search_many(fx.articles(spark, sf_dir), seeds, fx.AS_OF, days=30, k=20).select(
+        "query", "article_id", "url", "date"
+    )
+
+
 @query
 def batch_search_mined_topics(spark, sf_dir):
     active = fx.mined_topics(spark, sf_dir).where("active")

@@ -55,6 +55,15 @@ def read_store(
         return spark.createDataFrame([], whole)
 
 
+def near_store(store: DataFrame, batch: DataFrame, buckets: int) -> DataFrame:
+    """The buckets of the store that a batch can meet; others are not even listed.
+
+    At most ``buckets`` numbers are fetched, and only folder names are compared with them.
+    """
+    numbers = batch.select(bucket_of(F.col("url"), buckets).alias(BUCKET)).distinct()
+    return store.where(F.col(BUCKET).isin([row[BUCKET] for row in numbers.collect()])).drop(BUCKET)
+
+
 def append_articles(
     fresh: DataFrame, path: str, buckets: int = BUCKETS, files_per_bucket: int = 1
 ) -> None:
@@ -62,10 +71,6 @@ def append_articles(
     _write(fresh, path, "url", buckets, files_per_bucket, "append")
 
 
-def _usable(batch: DataFrame, required: Sequence[str]) -> bool:
-    return set(required) <= set(batch.columns) and not batch.isEmpty()
-
-
 def insert_articles(
     batch: DataFrame,
     path: str,
@@ -78,10 +83,10 @@ def insert_articles(
 
     An empty batch, or one without the required columns, writes nothing and gives 0.
     """
-    if not _usable(batch, required):
+    if not set(required) <= set(batch.columns):
         return 0
     spark = batch.sparkSession
-    store = read_store(spark, path, schema)
+    store = near_store(read_store(spark, path, schema), batch, buckets)
     saved = insert_counts(store, batch).first()["saved"]
     if saved:
         append_articles(insert_new(batch, store).select(*schema.fieldNames()), path, buckets, files_per_bucket)
@@ -97,15 +102,11 @@ def upsert_articles(
     files_per_bucket: int = 1,
 ) -> int:
     """Upsert a batch by URL; the number of effective writes."""
-    if not _usable(batch, required):
+    if not set(required) <= set(batch.columns):
         return 0
     spark = batch.sparkSession
     store = read_store(spark, path, schema)
-    # At most ``buckets`` numbers; as constants they prune the scan to the touched folders.
-    touched = [
-        row[0] for row in batch.select(bucket_of(F.col("url"), buckets)).distinct().orderBy(F.lit(1)).collect()
-    ]
-    near = store.where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+    near = near_store(store, batch, buckets)
     saved = upsert_counts(near, batch).first()["saved"]
     if saved:
         staged = scratch_path(spark, "upsert")

@@ -15,7 +15,7 @@ from feedmill.schema import AGGREGATOR_RECORD, ARTICLE, BOILERPLATE, SEARCH_RECO
 from feedmill.session import use_utc
 from feedmill.sources.landing import rss_items, rss_reader, with_arrival
 from feedmill.sources.normalize import normalize_aggregator, normalize_rss, normalize_search, to_articles
-from feedmill.sources.sink import BUCKETS, append_articles, read_store
+from feedmill.sources.sink import BUCKETS, append_articles, near_store, read_store
 
 POLL = "30 seconds"
 METRICS = "found long, kept long, skipped long, saved long"
@@ -75,7 +75,7 @@ def _save_batch(job: Ingest, registry: DataFrame | None, records: DataFrame, bat
     spark = records.sparkSession
     batch = prepare(records, job, registry).select(*ARTICLE.fieldNames()).persist()
     try:
-        store = read_store(spark, job.store)
+        store = near_store(read_store(spark, job.store), batch, job.buckets)
         if ingest_metrics(spark, job).where(F.col("batch") == batch_id).isEmpty():
             tally = insert_counts(store, batch).first()
             row = (records.count(), tally["found"], tally["skipped"], tally["saved"])
