@@ -105,7 +105,8 @@ def search_widening(
 def _shards(queries: DataFrame, col: str, shard_queries: int, shard_chars: int) -> Iterator[list[str]]:
     """Distinct non-empty queries as lists of bounded size.
 
-    Sizes are measured first; a table within bounds is one list, a larger one is split by hash.
+    Sizes are measured first; a table within bounds is one list, a larger one is split by hash
+    (the queries are distinct, so the parts are even).
     """
     wanted = queries.where(F.col(col) != "").select(F.col(col).alias("q")).distinct()
     count, chars = wanted.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("q")), F.lit(0))).first()
@@ -170,12 +171,12 @@ def tag_matches(
     longer one goes through a multi-pattern automaton, list by list.
     """
     if ahocorasick is None:
-        inline_queries, shard_queries = INLINE_MAX, min(shard_queries, INLINE_MAX)
+        shard_queries = min(shard_queries, INLINE_MAX)
     tagged = None
     for words in _shards(queries, query_col, shard_queries, shard_chars):
         if not words:
             continue
-        tag = _tag_inline if len(words) <= inline_queries else _tag_automaton
+        tag = _tag_inline if ahocorasick is None or len(words) <= inline_queries else _tag_automaton
         part = tag(df, words, out)
         tagged = part if tagged is None else tagged.unionByName(part)
     if tagged is None:
