@@ -174,11 +174,11 @@ def suggest(
 ) -> DataFrame:
     """New domains that have feeds, one row per feed, with the domain's reference count.
 
-    Only pages of the ``check_limit`` candidates are parsed; that limit also bounds what is
-    broadcast.
+    Only pages of the ``check_limit`` candidates are parsed. Spark knows that limit, so it
+    broadcasts the candidates unless someone asks for very many.
     """
     counts = domain_counts(articles, as_of, days, min_occurrence)
-    wanted = F.broadcast(candidates(counts, known_domains(registry), check_limit))
+    wanted = candidates(counts, known_domains(registry), check_limit)
     theirs = pages.join(wanted.select("domain"), "domain", "left_semi")
     found = resolved(feed_candidates(theirs, page_col))
     if probes is not None:

@@ -5,8 +5,6 @@ The same views as SQL, for DuckDB, are in ``oracle.py``.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,15 +24,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@lru_cache(maxsize=64)
-def _rows(application: str, sf_dir: str, name: str) -> int:
-    spark = SparkSession.getActiveSession()
-    return table(spark, sf_dir, name).count()
+_ROWS: dict[tuple[str, str, str], int] = {}
 
 
 def rows(spark: SparkSession, sf_dir: str, name: str) -> int:
     """Row count of a base table (from the file footers), read once per application."""
-    return _rows(spark.sparkContext.applicationId, sf_dir, name)
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _ROWS:
+        _ROWS[key] = table(spark, sf_dir, name).count()
+    return _ROWS[key]
 
 
 def host(url: Column) -> Column:

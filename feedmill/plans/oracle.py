@@ -192,7 +192,7 @@ ORACLE = {
     "normalize_search_feed": with_views(f"select body, {SHORT} from search_lane"),
     "normalize_aggregator_feed": with_views(f"select body, {SHORT} from aggregator_lane"),
     "normalize_rss_feed": with_views(f"select body, {SHORT} from rss_lane"),
-    "union_lanes": with_views(f"""
+    "union_feeds": with_views(f"""
         select 'search' as lane, cast(null as varchar) as image, {SHORT} from search_lane
         union all select 'aggregator', null, {SHORT} from aggregator_lane
         union all select 'rss', null, {SHORT} from rss_lane"""),
@@ -353,7 +353,7 @@ ORACLE = {
         select concat('www.h', cast(user_id as varchar), '.example.com') as site,
           concat('https://h', cast(user_id as varchar), '.example.com/rss') as "RSS", count(*) as copies
         from change_log where op = 'add' group by user_id having count(*) > 1"""),
-    "url_domain_of_articles": with_views(f"select article_id, {HOST.format(url='url')} as domain from articles"),
+    "url_domain": with_views(f"select article_id, {HOST.format(url='url')} as domain from articles"),
     "extract_url_mentions": with_views(f"""
         select article_id, mention, {HOST.format(url="mention")} as domain from mentioned"""),
     "domain_counts": with_views("select * from counted"),
@@ -361,7 +361,7 @@ ORACLE = {
     "new_domain_candidates": with_views("select * from wanted"),
     "feed_link_tags": with_views("select domain, page, href, title from links"),
     "feed_anchor_tags": with_views("select domain, page, href, title from anchors"),
-    "resolve_hrefs": f"""
+    "resolve_href": f"""
         with hrefs as (
           select page_id, {HOST.format(url="url")} as domain, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) as href,
             generate_subscripts(regexp_extract_all(html, 'href="([^"]*)"', 1), 1) - 1 as pos from pages)
@@ -427,7 +427,7 @@ ORACLE = {
     "continuous_ingest": _ingested(f" select {SHORT} from saved"),
     "one_shot_ingest": _ingested(f" select {SHORT} from saved"),
     "stream_dedupe_url": with_views("select distinct url from articles"),
-    "ingest_run_metrics": _ingested(f"""
+    "ingest_metrics": _ingested(f"""
         select cast(0 as bigint) as batch, (select count(*) from articles where date < timestamp '{STORE_CUT}') as found,
           (select count(*) from wave1) as kept, cast(0 as bigint) as skipped, (select count(*) from wave1) as saved
         union all

@@ -30,10 +30,12 @@ SHORT = ("url", "title", "date", "source", "searchKey", "ingest_seq")
 
 
 def query(fn: Query) -> Query:
+    """Registers a query under the function's name without the trailing underscore."""
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(use_utc(spark), sf_dir)
 
-    QUERIES[fn.__name__] = run
+    QUERIES[fn.__name__.rstrip("_")] = run
     return fn
 
 
@@ -107,7 +109,7 @@ def normalize_rss_feed(spark, sf_dir):
 
 
 @query
-def union_lanes(spark, sf_dir):
+def union_feeds_(spark, sf_dir):
     lanes = (
         normalize_search(raw_search(spark, sf_dir)).drop("image").withColumn("lane", F.lit("search")),
         normalize_aggregator(raw_aggregator(spark, sf_dir), fx.AS_OF).withColumn("lane", F.lit("aggregator")),
@@ -378,7 +380,7 @@ def composite_key_unique(spark, sf_dir):
 
 
 @query
-def url_domain_of_articles(spark, sf_dir):
+def url_domain_(spark, sf_dir):
     return X.article_domains(fx.articles(spark, sf_dir)).select("article_id", "domain")
 
 
@@ -416,7 +418,7 @@ def feed_anchor_tags(spark, sf_dir):
 
 
 @query
-def resolve_hrefs(spark, sf_dir):
+def resolve_href_(spark, sf_dir):
     """Every link of every page, in seven spellings."""
     href = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))
     found = fx.table(spark, sf_dir, "pages").select(
@@ -584,6 +586,6 @@ def stream_dedupe_url(spark, sf_dir):
 
 
 @query
-def ingest_run_metrics(spark, sf_dir):
+def ingest_metrics_(spark, sf_dir):
     job, _ = two_waves(spark, sf_dir, once=True)
     return ingest_metrics(spark, job).select("batch", "found", "kept", "skipped", "saved")

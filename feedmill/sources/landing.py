@@ -11,10 +11,20 @@ from feedmill.schema import AGGREGATOR_RECORD, RSS_ITEM, SEARCH_RECORD
 CORRUPT = "_corrupt_record"
 
 
+def with_corrupt(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+
+
 def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """JSON lines; a line that cannot be read is kept apart in ``_corrupt_record``."""
-    with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    return spark.read.schema(with_corrupt).option("mode", "PERMISSIVE").json(path)
+    return spark.read.schema(with_corrupt(schema)).option("mode", "PERMISSIVE").json(path)
+
+
+def readable(records: DataFrame) -> DataFrame:
+    """Records without the lines that could not be read."""
+    if CORRUPT not in records.columns:
+        return records
+    return records.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
 def read_search(spark: SparkSession, path: str) -> DataFrame:

@@ -13,7 +13,7 @@ from feedmill.operators.clean import clean, keep_one
 from feedmill.operators.store import insert_counts, insert_new
 from feedmill.schema import AGGREGATOR_RECORD, ARTICLE, BOILERPLATE, SEARCH_RECORD
 from feedmill.session import use_utc
-from feedmill.sources.landing import rss_items, rss_reader, with_arrival
+from feedmill.sources.landing import readable, rss_items, rss_reader, with_arrival, with_corrupt
 from feedmill.sources.normalize import normalize_aggregator, normalize_rss, normalize_search, to_articles
 from feedmill.sources.sink import BUCKETS, append_articles, near_store, read_store
 
@@ -44,16 +44,16 @@ def landed(spark: SparkSession, job: Ingest) -> DataFrame:
     if job.lane == "rss":
         return rss_items(rss_reader(reader).load(job.landing))
     schema = {"search": SEARCH_RECORD, "aggregator": AGGREGATOR_RECORD}[job.lane]
-    return reader.schema(schema).json(job.landing)
+    return reader.schema(with_corrupt(schema)).option("mode", "PERMISSIVE").json(job.landing)
 
 
 def prepare(records: DataFrame, job: Ingest, registry: DataFrame | None = None) -> DataFrame:
-    """One lane's records as the articles to save.
+    """One lane's records as the articles to save; unreadable lines are left out.
 
     API lanes are cleaned topic by topic; of a URL found under several topics the first topic's
     copy is kept, as topics are saved one after the other. RSS entries are saved as they come.
     """
-    records = with_arrival(records)
+    records = with_arrival(readable(records))
     if job.lane == "rss":
         return to_articles(normalize_rss(records, registry, F.current_timestamp()))
     if job.lane == "aggregator":

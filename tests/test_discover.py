@@ -1,0 +1,206 @@
+from __future__ import annotations
+
+from datetime import datetime
+from html.parser import HTMLParser
+from urllib.parse import urljoin, urlparse
+
+import pytest
+from pyspark.sql import functions as F
+
+from feedmill.functions.urls import resolve_href, url_domain
+from feedmill.operators import discover as X
+
+AS_OF = "2024-01-31 00:00:00"
+
+URLS = [
+    "https://www.example.com/a?b#c", "http://example.com:8080/x", "https://user:pw@www.example.com/",
+    "HTTP://Example.COM/x", "https://www.example.com?q=1", "//www.host.org/p", "example.com/path", "mailto:a@b.c", "",
+    "https://exa mple.com/|x", "https://www.", "  https://www.lead.com/x", "https://bücher.example/x",
+    "https://[::1]:80/x", "ftp://files.example.com", "https:///nohost", "http://a.b\\c/d",
+]
+
+
+def test_url_domain_like_the_standard_parser(spark):
+    def want(url):
+        host = urlparse(url).netloc
+        return (host[4:] if host.startswith("www.") else host) or None
+
+    df = spark.createDataFrame([(u,) for u in URLS] + [(None,)], "u string").select("u", url_domain(F.col("u")).alias("d"))
+    got = {r.u: r.d for r in df.collect()}
+    assert got == {**{u: want(u) for u in URLS}, None: None}
+    bad = spark.createDataFrame([("https://[::1/x",)], "u string").select(url_domain(F.col("u")))
+    assert bad.first()[0] is None
+
+
+HREFS = [
+    "/p", "p", "p/q.xml", "../p", "./p", "../../a/../b/./c", "/a/../../b", "/a//b", "..", ".", "/", "a/..", "a/.",
+    "//h/p", "//h/a/../b", "?q=1", "#f", "p?q#f", "p#", "p?", "?", "mailto:a@b.c", "javascript:void(0)", "http://x.y/../z",
+    "https://x.y", "HTTPS://x.y/p", "ftp://x.y/p", "a:b", "/p?u=http://z/../w", " /lead", "p q", "é/ü", "a;b=c", "x/./",
+]
+
+
+def test_resolve_href_like_the_standard_library(spark):
+    base = "https://www.example.com"
+    df = spark.createDataFrame([(h,) for h in HREFS], "h string").select(
+        "h", resolve_href(F.col("h"), F.lit(base)).alias("url")
+    )
+    want = {h: h if h.startswith(("http://", "https://")) else urljoin(base, h) for h in HREFS}
+    assert {r.h: r.url for r in df.collect()} == want
+
+
+def articles(spark, rows):
+    full = [(u, t, b, datetime(2024, 1, 30), i) for i, (u, t, b) in enumerate(rows)]
+    return spark.createDataFrame(full, "url string, title string, body string, date timestamp, ingest_seq long")
+
+
+def test_mentions(spark):
+    df = articles(spark, [
+        ("u", "see https://www.a.com/x", "and http://b.com:80/y http://b.com, (https://é-x.org)."),
+        ("u", None, "https://c%2Dd.com%zz https:// end"),
+        ("u", None, None),
+    ])
+    got = [r.mention for r in X.url_mentions(df).orderBy("ingest_seq").collect()]
+    assert sorted(got) == sorted(
+        ["https://www.a.com", "http://b.com", "http://b.com", "https://é-x.org", "https://c%2Dd.com"]
+    )
+    long = articles(spark, [("u", None, "http://" + "%41" * 50_000 + ".com")])
+    assert len(X.url_mentions(long).first().mention) == 7 + 150_000 + 4
+
+
+def test_domain_counts_and_candidates(spark):
+    df = articles(spark, [
+        ("https://www.a.com/1", "t", "via http://b.com/x"),
+        ("https://a.com/2", "t", "via http://www.b.com and http://b.com"),
+        ("https://a.com/3", "http://once.org", None),
+        ("https://[bad/3", "http://once.org", "http://once.org http://once.org"),  # unreadable URL: skipped whole
+        (None, "t", "http://c.com http://c.com http://c.com"),
+        ("", "t", "http://d.com"),
+    ])
+    counts = X.domain_counts(df, AS_OF)
+    assert [tuple(r) for r in counts.collect()] == [("a.com", 3), ("b.com", 3), ("c.com", 3)]
+    old = df.withColumn("date", F.lit("2023-01-01").cast("timestamp"))
+    assert X.domain_counts(old, AS_OF).count() == 0
+    known = X.known_domains(spark.createDataFrame([("www.b.com",), ("b.com",), ("",), (None,)], "site string"))
+    assert [r.domain for r in known.collect()] == ["b.com"]
+    assert [r.domain for r in X.candidates(counts, known, 1).collect()] == ["a.com"]
+
+
+PAGE = """<!DOCTYPE html><html><head>
+<!-- <link type="application/rss+xml" href="/hidden"> -->
+<script>var s = '<link type="application/rss+xml" href="/scripted">';</script>
+<LINK HREF='/one.xml' TITLE='It&#39;s &amp; more' TYPE='application/rss+xml'>
+<link rel=alternate type=application/atom+xml href=/two?a=1&amp;b=2 />
+<link title="see type=rss href=/no" rel="x" href="/plain.css">
+<link type="application/RSS+xml" href="/upper">
+<link type="application/rss+xml" href="">
+<link type="application/rss+xml" title="" href="//cdn.x.org/f">
+<linked type="rss" href="/other-element">
+</head><body>
+<a href="/a1"> My Feed </a><a class='x' href='a2'>ATOM</a><a href="/a3"><b>RSS</b></a>
+<a href="/a4">text <i>rss</i></a><a href="/a5">news</a><a name="rss">rss</a><a href="">rss</a>
+<a href="/a6"><img alt="rss"></a><abbr href="/no">rss</abbr><a href="/a7"
+  title=">">feedback</a><a href=/a8>open <a href=/a9>inner feed</a>
+</body></html>"""
+
+
+def test_feed_links_and_anchors(spark):
+    pages = spark.createDataFrame([(1, "x.org", PAGE), (2, "y.org", None), (3, "z.org", "")], "page_id int, domain string, html string")
+    links = X.resolved(X.feed_links(pages)).orderBy("pos").collect()
+    assert [(r.url, r.title) for r in links] == [
+        ("https://www.x.org/one.xml", "It's & more"),
+        ("https://www.x.org/two?a=1&b=2", "Untitled Feed"),
+        ("https://cdn.x.org/f", ""),
+    ]
+    anchors = X.resolved(X.feed_anchors(pages)).orderBy("pos").collect()
+    assert [(r.url, r.title) for r in anchors] == [
+        ("https://www.x.org/a1", "My Feed"), ("https://www.x.org/a2", "ATOM"), ("https://www.x.org/a3", "RSS"),
+        ("https://www.x.org/a7", "feedback"), ("https://www.x.org/a9", "inner feed"),
+    ]
+
+
+class Links(HTMLParser):
+    """The same link elements through the standard HTML parser."""
+
+    def __init__(self):
+        super().__init__()
+        self.found = []
+
+    def handle_starttag(self, tag, attrs):
+        attrs = dict(attrs)
+        kind = attrs.get("type") or ""
+        if tag == "link" and ("rss" in kind or "atom" in kind) and attrs.get("href"):
+            self.found.append((attrs["href"], attrs.get("title", "Untitled Feed")))
+
+
+def test_links_agree_with_the_standard_parser(spark):
+    pages = spark.createDataFrame([(1, "x.org", PAGE)], "page_id int, domain string, html string")
+    parser = Links()
+    parser.feed(PAGE)
+    assert [(r.href, r.title) for r in X.feed_links(pages).orderBy("pos").collect()] == parser.found
+
+
+def test_unclosed_anchors_take_linear_time(spark):
+    html = "<a href=/x>rss " * 20_000
+    pages = spark.createDataFrame([(1, "x.org", html)], "page_id int, domain string, html string")
+    assert X.feed_anchors(pages).count() == 0
+
+
+def test_candidates_confirm_and_dedupe(spark):
+    domains = spark.createDataFrame([("x.org",), ("www.y.org",)], "domain string")
+    wanted = X.candidate_urls(domains)
+    assert wanted.count() == 42
+    assert wanted.where("domain = 'www.y.org' and path = '/rss'").first().url == "https://www.y.org/rss"
+    probes = spark.createDataFrame(
+        [("https://www.x.org/rss", 200, 3, None), ("https://www.x.org/feed", 200, 0, "t"),
+         ("https://www.x.org/feeds", 404, 3, "t"), ("https://www.x.org/atom.xml", 200, 1, "Atom"),
+         ("https://elsewhere.org/rss", 200, 1, "no candidate")],
+        "url string, status int, n_entries long, title string",
+    )
+    good = X.confirm(wanted, probes)
+    assert sorted((r.url, r.title) for r in good.collect()) == [
+        ("https://www.x.org/atom.xml", "Atom"), ("https://www.x.org/rss", "Untitled Feed"),
+    ]
+    found = spark.createDataFrame(
+        [("x.org", 3, 0, 0, "probe", "u"), ("x.org", 2, 1, 0, "anchor", "u"), ("x.org", 1, 2, 5, "late link", "u"),
+         ("x.org", 1, 2, 1, "link", "u"), ("y.org", 3, 0, 0, "own", "u")],
+        "domain string, priority int, page long, pos int, title string, url string",
+    )
+    assert sorted((r.domain, r.title) for r in X.dedupe_feeds(found).collect()) == [("x.org", "link"), ("y.org", "own")]
+
+
+@pytest.fixture(scope="module")
+def suggested(spark):
+    df = articles(spark, [("https://x.org/1", "t", "http://x.org http://z.net http://z.net http://z.net")] * 3)
+    registry = spark.createDataFrame([("www.z.net", "https://z.net/rss")], "site string, RSS string")
+    pages = spark.createDataFrame(
+        [(1, "x.org", PAGE), (2, "other.org", PAGE)], "page_id int, domain string, html string"
+    )
+    probes = spark.createDataFrame(
+        [("https://www.x.org/rss", 200, 3, "Probed"), ("https://www.x.org/one.xml", 200, 3, "again")],
+        "url string, status int, n_entries long, title string",
+    )
+    return X.suggest(df, registry, pages, AS_OF, probes=probes)
+
+
+def test_suggest_and_report(suggested):
+    rows = suggested.collect()
+    assert {(r.domain, r.references) for r in rows} == {("x.org", 6)}
+    assert {r.feed_title for r in rows} >= {"It's & more", "My Feed", "Probed"}
+    assert len(rows) == 3 + 5 + 1
+    lines = X.suggestion_report(suggested).collect()
+    assert [r.feed_title for r in lines][:2] == ["It's & more", "Untitled Feed"] and lines[-1].feed_title == "Probed"
+    assert {r.feeds for r in lines} == {9}
+
+
+def test_accept_is_insert_if_absent(spark, suggested):
+    registry = spark.createDataFrame(
+        [("www.x.org", "https://www.x.org/rss", "mine", False, "own", None, None)],
+        "site string, RSS string, source string, active boolean, category string, added_date timestamp, last_updated timestamp",
+    )
+    out = X.accept(suggested, registry, AS_OF)
+    assert out.count() == 9 and out.columns == registry.columns
+    kept = out.where("RSS = 'https://www.x.org/rss'").collect()
+    assert [(r.source, r.active) for r in kept] == [("mine", False)]
+    new = out.where("RSS = 'https://www.x.org/one.xml'").first()
+    assert (new.site, new.category, new.active, new.added_date) == ("www.x.org", "discovered", True, datetime(2024, 1, 31))
+    assert X.accept(suggested, out, AS_OF).count() == 9
