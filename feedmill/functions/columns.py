@@ -46,15 +46,10 @@ def bound(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def newest_first(date_col: str, seq_col: str | None) -> Column:
-    """Ordering key whose maximum is the newest row; equal dates keep the first one seen.
-
-    A null date compares lowest, so it is the oldest.
-    """
-    parts = [quoted(date_col)]
-    if seq_col:
-        parts.append(-quoted(seq_col))
-    return F.struct(*parts)
+def newest_first(date_col: str, seq_col: str | None) -> list[Column]:
+    """Sort order: newest first, null dates last, equal dates in order of arrival."""
+    arrival = [quoted(seq_col).asc()] if seq_col else []
+    return [quoted(date_col).desc_nulls_last(), *arrival]
 
 
 def fingerprint(df: DataFrame, columns: Iterable[str]) -> Column:

@@ -152,8 +152,7 @@ def confirm(wanted: DataFrame, probes: DataFrame) -> DataFrame:
 
 def dedupe_feeds(found: DataFrame) -> DataFrame:
     """First find per domain and URL: link elements, then anchors, then probed addresses."""
-    order = F.struct(-F.col("priority"), -F.col("page"), -F.col("pos"))
-    return keep_one(found, ["domain", "url"], order)
+    return keep_one(found, ["domain", "url"], F.asc("priority"), F.asc("page"), F.asc("pos"))
 
 
 def page_feeds(pages: DataFrame, page_col: str = "page_id") -> DataFrame:
@@ -217,18 +216,17 @@ def accept(
     site = F.when(F.col("domain").startswith("www."), F.col("domain")).otherwise(
         F.concat(F.lit("www."), F.col("domain"))
     )
-    order = F.struct(*[-F.col(c) for c in ("priority", "page", "pos") if c in suggested.columns], F.col("feed_title"))
-    offered = suggested.select(
-        site.alias("site"),
+    order = [c for c in ("priority", "page", "pos") if c in suggested.columns] + ["feed_title"]
+    first = keep_one(suggested.withColumn("site", site), ["site", "feed_url"], *[F.asc(c) for c in order])
+    offered = first.select(
+        "site",
         F.col("feed_url").alias("RSS"),
         F.col("feed_title").alias("source"),
         F.lit(True).alias("active"),
         F.lit(category).alias("category"),
         stamp.alias("added_date"),
         stamp.alias("last_updated"),
-        order.alias("_order"),
     )
-    first = keep_one(offered, ["site", "RSS"], F.col("_order")).drop("_order")
     known = registry.select("site", "RSS").distinct()
-    fresh = first.join(known, ["site", "RSS"], "left_anti")
+    fresh = offered.join(known, ["site", "RSS"], "left_anti")
     return registry.unionByName(fresh, allowMissingColumns=True)

@@ -101,7 +101,7 @@ def run_status(
     seen = runs.select(*names)
     start, active = F.col(start_col).try_cast("timestamp"), F.col(active_col).try_cast("timestamp")
     now = F.lit(str(as_of)).cast("timestamp")
-    latest = keep_one(seen, [key], F.struct(start, active))
+    latest = keep_one(seen, [key], start.desc_nulls_last(), active.desc_nulls_last())
     elapsed = F.unix_timestamp(now) - F.unix_timestamp(start)
     alive = F.coalesce(F.unix_timestamp(now) - F.unix_timestamp(active) <= alive_minutes * 60, F.lit(False))
     return latest.select(

@@ -28,7 +28,7 @@ def require_columns(df: DataFrame, columns: Sequence[str] = REQUIRED) -> DataFra
 
 def last_in_batch(batch: DataFrame, keys: Sequence[str] = ("url",), seq_col: str = "ingest_seq") -> DataFrame:
     """Ordered writes: the last record of a key wins."""
-    return keep_one(batch, keys, F.col(seq_col))
+    return keep_one(batch, keys, quoted(seq_col).desc())
 
 
 def existing_keys(batch: DataFrame, store: DataFrame, key: str = "url") -> DataFrame:
@@ -40,16 +40,12 @@ def existing_keys(batch: DataFrame, store: DataFrame, key: str = "url") -> DataF
     return store.select(key).join(wanted, matches([key], "_b_"), "left_semi").distinct()
 
 
-def new_rows(batch: DataFrame, store: DataFrame, key: str = "url") -> DataFrame:
-    known = prefixed(existing_keys(batch, store, key), "_s_")
-    return batch.join(known, matches([key], "_s_"), "left_anti")
-
-
 def insert_new(
     batch: DataFrame, store: DataFrame, key: str = "url", seq_col: str = "ingest_seq"
 ) -> DataFrame:
     """Rows to append: unseen keys only, last record of each. Stored rows never change."""
-    return new_rows(last_in_batch(batch, [key], seq_col), store, key)
+    known = prefixed(existing_keys(batch, store, key), "_s_")
+    return last_in_batch(batch, [key], seq_col).join(known, matches([key], "_s_"), "left_anti")
 
 
 def upsert(
@@ -75,7 +71,7 @@ def upsert(
 
     names = list(store.columns) + [c for c in batch.columns if c not in store.columns]
     kept = store.join(incoming, matches(keys, "_b_"), "left").select(*[pick(n) for n in names])
-    wanted = incoming.select(*[quoted("_b_" + k) for k in keys])
+    wanted = prefixed(batch.select(*keys).distinct(), "_b_")
     known = store.select(*keys).join(wanted, matches(keys, "_b_"), "left_semi").distinct()
     fresh = final.join(prefixed(known, "_s_"), matches(keys, "_s_"), "left_anti")
     return kept.unionByName(fresh, allowMissingColumns=True)

@@ -61,7 +61,7 @@ def prepare(records: DataFrame, job: Ingest, registry: DataFrame | None = None)
     else:
         articles = to_articles(normalize_search(records))
     cleaned = clean(articles, job.phrases, batch_keys=["searchKey"])
-    return keep_one(cleaned, ["url"], -F.col("ingest_seq"))
+    return keep_one(cleaned, ["url"], F.asc("ingest_seq"))
 
 
 def _save_batch(job: Ingest, registry: DataFrame | None, records: DataFrame, batch_id: int) -> None:

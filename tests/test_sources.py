@@ -97,3 +97,17 @@ def test_logs(spark, tmp_path):
         ("Api", "start"), ("Api", "eback"), ("Api", " - no"),
     ]
     assert df.agg(F.max("logged_at")).first()[0] == datetime(2024, 1, 2, 3, 5, 5)
+
+
+def test_tail_of_a_log_read_in_many_splits(spark, tmp_path):
+    from feedmill.operators.health import tail_health
+
+    lines = [f"2024-01-02 03:04:05,678 - INFO - {i}" for i in range(3000)]
+    (tmp_path / "Big.log").write_text("\n".join(lines) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")
+    try:
+        df = L.read_logs(spark, str(tmp_path))
+        assert df.select("block").distinct().count() > 10
+        assert tail_health(df, "log", ["block", "line_no"]).first().last_lines == lines[-10:]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
