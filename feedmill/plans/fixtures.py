@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 AS_OF = "2024-01-31 00:00:00"
 STORE_CUT = "2024-01-16 00:00:00"
@@ -20,8 +21,16 @@ TOPICS = (
 )
 
 
+_SCHEMAS: dict[tuple[str, str, str], T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A base table; its schema is read from the file footer once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    path = f"{sf_dir}/{name}.parquet"
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
 
 
 _ROWS: dict[tuple[str, str, str], int] = {}

@@ -46,11 +46,17 @@ def plain(df: DataFrame) -> DataFrame:
     )
 
 
-def store_and_batch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The corpus of the first fortnight, one row per URL, and the later articles as a batch."""
+def early_and_late(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The articles of the first fortnight and the later ones."""
     articles = fx.articles(spark, sf_dir)
     early = F.col("date") < F.lit(fx.STORE_CUT).cast("timestamp_ntz")
-    return C.newest_by_key(articles.where(early)), articles.where(~early)
+    return articles.where(early), articles.where(~early)
+
+
+def store_and_batch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The early articles as a store with one row per URL, the later ones as a batch."""
+    early, late = early_and_late(spark, sf_dir)
+    return C.newest_by_key(early), late
 
 
 # Sources
@@ -199,7 +205,7 @@ def clean_batch(spark, sf_dir):
 
 @query
 def existing_keys(spark, sf_dir):
-    store, batch = store_and_batch(spark, sf_dir)
+    store, batch = early_and_late(spark, sf_dir)
     return K.existing_keys(batch, store)
 
 
@@ -212,7 +218,7 @@ def upsert_by_url(spark, sf_dir):
 
 @query
 def insert_new_only(spark, sf_dir):
-    store, batch = store_and_batch(spark, sf_dir)
+    store, batch = early_and_late(spark, sf_dir)
     return K.insert_new(batch, store).select("body", *SHORT)
 
 
