@@ -52,13 +52,20 @@ def newest_first(date_col: str, seq_col: str | None) -> list[Column]:
     return [quoted(date_col).desc_nulls_last(), *arrival]
 
 
+def comparable(df: DataFrame, name: str) -> Column:
+    """A column in a form that can be compared and grouped: maps as their sorted entries."""
+    if isinstance(df.schema[name].dataType, T.MapType):
+        return F.array_sort(F.map_entries(quoted(name)))
+    return quoted(name)
+
+
 def fingerprint(df: DataFrame, columns: Iterable[str]) -> Column:
     """SHA-256 over an injective text form of the columns (length-prefixed, nulls marked)."""
     parts = []
     for name in columns:
-        dtype = df.schema[name].dataType
-        nested = isinstance(dtype, (T.StructType, T.ArrayType, T.MapType))
-        text = F.to_json(F.struct(quoted(name))) if nested else quoted(name).cast("string")
+        nested = isinstance(df.schema[name].dataType, (T.StructType, T.ArrayType, T.MapType))
+        value = comparable(df, name)
+        text = F.to_json(F.struct(value.alias("v"))) if nested else value.cast("string")
         parts.append(
             F.when(quoted(name).isNull(), F.lit(NULL_TAG)).otherwise(
                 F.concat(F.lit("v"), F.length(text).cast("string"), F.lit(":"), text)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedmill.functions.columns import newest_first, quoted
+from feedmill.functions.columns import comparable, newest_first, quoted
 from feedmill.functions.dates import to_utc
 from feedmill.operators.ranking import CHUNK_ROWS, number_newest_first
 from feedmill.schema import BOILERPLATE
@@ -22,7 +22,11 @@ def keep_one(df: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
     Spark limits each group to one row per task before the shuffle (WindowGroupLimit), so a hot
     key sends one row per task. For wide rows this is twice as fast as an aggregate over structs.
     """
-    first = Window.partitionBy(*[quoted(k) for k in keys]).orderBy(*order)
+    return _first_of(df, [quoted(k) for k in keys], *order)
+
+
+def _first_of(df: DataFrame, keys: Sequence[Column], *order: Column) -> DataFrame:
+    first = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_copy", F.row_number().over(first)).where(F.col("_copy") == 1).drop("_copy")
 
 
@@ -41,7 +45,7 @@ def dedupe_except(
     Of equal rows the first one seen gives the ignored columns.
     """
     loose = {*ignore, seq_col}
-    return keep_one(df, [c for c in df.columns if c not in loose], quoted(seq_col).asc())
+    return _first_of(df, [comparable(df, c) for c in df.columns if c not in loose], quoted(seq_col).asc())
 
 
 def has_boilerplate(phrases: Iterable[str] = BOILERPLATE, body_col: str = "body") -> Column:

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedmill.functions.columns import fingerprint, matches, prefixed, quoted
 from feedmill.functions.dates import to_utc
@@ -53,8 +54,8 @@ def upsert(
 ) -> DataFrame:
     """The store after an ordered upsert.
 
-    A match takes all batch columns, nulls included, and keeps columns only the store has; the
-    rest is inserted. Rows of the store stay in place (left join), inserts are added, so a
+    A match takes all batch columns, nulls included, and keeps columns only the store has, as
+    well as the keys only its maps have; the rest is inserted. Rows of the store stay in place (left join), inserts are added, so a
     small batch costs no shuffle of the store.
     """
     keys = list(keys)
@@ -67,6 +68,9 @@ def upsert(
         new = quoted("_b_" + name)
         if name not in store.columns:
             return new.alias(name)
+        if isinstance(store.schema[name].dataType, T.MapType):
+            old = F.map_filter(quoted(name), lambda k, _: ~F.coalesce(F.map_contains_key(new, k), F.lit(False)))
+            new = F.coalesce(F.map_concat(old, new), new, old)
         return F.when(F.col("_hit"), new).otherwise(quoted(name)).alias(name)
 
     names = list(store.columns) + [c for c in batch.columns if c not in store.columns]

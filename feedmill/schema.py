@@ -14,6 +14,8 @@ ARTICLE = T.StructType(
         T.StructField("searchKey", T.StringType()),
         T.StructField("image", T.StringType()),
         T.StructField("ingest_seq", T.LongType()),
+        # whatever other keys a record carries; nested values as JSON text
+        T.StructField("extra", T.MapType(T.StringType(), T.StringType())),
     ]
 )
 
@@ -48,13 +50,32 @@ AGGREGATOR_RECORD = T.StructType(
     ]
 )
 
-# One RSS <item>; element names as they stand in the XML.
+# One RSS <item>; element names as they stand in the XML, without name spaces.
 RSS_ITEM = T.StructType(
     [
         T.StructField("link", T.StringType()),
         T.StructField("title", T.StringType()),
         T.StructField("description", T.StringType()),
+        T.StructField("encoded", T.StringType()),
         T.StructField("pubDate", T.StringType()),
+        T.StructField(
+            "guid",
+            T.StructType([T.StructField("_VALUE", T.StringType()), T.StructField("_isPermaLink", T.StringType())]),
+        ),
+    ]
+)
+
+# One Atom <entry>.
+ATOM_ENTRY = T.StructType(
+    [
+        T.StructField("title", T.StringType()),
+        T.StructField("summary", T.StringType()),
+        T.StructField("content", T.StringType()),
+        T.StructField("published", T.StringType()),
+        T.StructField(
+            "link",
+            T.ArrayType(T.StructType([T.StructField("_href", T.StringType()), T.StructField("_rel", T.StringType())])),
+        ),
     ]
 )
 

@@ -2,70 +2,91 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedmill.schema import AGGREGATOR_RECORD, RSS_ITEM, SEARCH_RECORD
+from feedmill.schema import AGGREGATOR_RECORD, ATOM_ENTRY, RSS_ITEM, SEARCH_RECORD
 
 CORRUPT = "_corrupt_record"
 
 
-def with_corrupt(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+def records(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """JSON lines (``value``) as records of ``schema``.
 
+    Keys the schema lacks are kept in ``extra``; a line that cannot be read is kept apart in
+    ``_corrupt_record``.
+    """
+    whole = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    record = F.from_json("value", whole, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    every = F.from_json("value", T.MapType(T.StringType(), T.StringType()))
+    extra = F.map_filter(every, lambda k, _: ~k.isin(schema.fieldNames()))
+    return lines.select(record.alias("r"), F.when(F.size(extra) > 0, extra).alias("extra")).select("r.*", "extra")
 
-def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """JSON lines; a line that cannot be read is kept apart in ``_corrupt_record``."""
-    return spark.read.schema(with_corrupt(schema)).option("mode", "PERMISSIVE").json(path)
 
+def read_search(spark: SparkSession, path: str) -> DataFrame:
+    return records(spark.read.text(path), SEARCH_RECORD)
 
-def readable(records: DataFrame) -> DataFrame:
-    """Records without the lines that could not be read."""
-    if CORRUPT not in records.columns:
-        return records
-    return records.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
+def read_aggregator(spark: SparkSession, path: str) -> DataFrame:
+    return records(spark.read.text(path), AGGREGATOR_RECORD)
 
-def read_search(spark: SparkSession, path: str) -> DataFrame:
-    return read_json(spark, path, SEARCH_RECORD)
 
+def readable(df: DataFrame) -> DataFrame:
+    """Records without the lines that could not be read."""
+    return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT) if CORRUPT in df.columns else df
 
-def read_aggregator(spark: SparkSession, path: str) -> DataFrame:
-    return read_json(spark, path, AGGREGATOR_RECORD)
 
+def _feed() -> Column:
+    """Feed address from a folder ``feed=…``: URL-encoded there, and once more as a file path."""
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"/feed=([^/]+)/", 1)
+    return F.url_decode(F.url_decode(folder)).alias("RSS")
 
-def rss_items(raw: DataFrame) -> DataFrame:
-    """XML <item> rows with feed parser names.
 
-    Folders like ``feed=…`` (URL-encoded feed address) tell which feed an item came from.
-    """
-    feed = F.regexp_extract(F.col("_metadata.file_path"), r"/feed=([^/]+)/", 1)
+def rss_items(raw: DataFrame) -> DataFrame:
+    """RSS <item> rows under feed parser names; a permanent guid stands in for a missing link."""
+    lasting = F.coalesce(F.lower("guid._isPermaLink"), F.lit("true")) == "true"
     return raw.select(
-        F.col("link"),
+        F.coalesce("link", F.when(lasting, F.col("guid._VALUE"))).alias("link"),
         F.col("title"),
-        F.col("description").alias("summary"),
+        F.coalesce("description", "encoded").alias("summary"),
         F.col("pubDate").alias("published"),
-        # A file path has its own escapes on top of those of the folder name.
-        F.url_decode(F.url_decode(feed)).alias("RSS"),
+        _feed(),
+    )
+
+
+def atom_entries(raw: DataFrame) -> DataFrame:
+    """Atom <entry> rows under the same names; of several links the alternate one counts."""
+    alternate = F.filter("link", lambda l: F.coalesce(l["_rel"], F.lit("alternate")) == "alternate")
+    return raw.select(
+        F.get(alternate, F.lit(0))["_href"].alias("link"),
+        F.col("title"),
+        F.coalesce("summary", "content").alias("summary"),
+        F.col("published"),
+        _feed(),
     )
 
 
-def rss_reader(reader):
-    """Options for a batch or stream reader of RSS files."""
+def feed_reader(reader, row_tag: str, schema: T.StructType):
+    """A batch or stream reader of feed XML."""
     return (
         reader.format("xml")
-        .option("rowTag", "item")
+        .option("rowTag", row_tag)
         .option("mode", "PERMISSIVE")
         .option("ignoreNamespace", "true")
         .option("recursiveFileLookup", "true")
-        .schema(RSS_ITEM)
+        .schema(schema)
     )
 
 
 def read_rss(spark: SparkSession, path: str) -> DataFrame:
     """RSS items below ``path``, one row per <item>."""
-    return with_arrival(rss_items(rss_reader(spark.read).load(path)))
+    return with_arrival(rss_items(feed_reader(spark.read, "item", RSS_ITEM).load(path)))
+
+
+def read_atom(spark: SparkSession, path: str) -> DataFrame:
+    """Atom entries below ``path``, one row per <entry>."""
+    return with_arrival(atom_entries(feed_reader(spark.read, "entry", ATOM_ENTRY).load(path)))
 
 
 def with_arrival(df: DataFrame, seq_col: str = "ingest_seq") -> DataFrame:

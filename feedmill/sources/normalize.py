@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedmill.functions.columns import quoted
 from feedmill.functions.dates import to_utc
 from feedmill.schema import ARTICLE, NO_SUMMARY
 
@@ -65,9 +66,12 @@ def union_feeds(*lanes: DataFrame) -> DataFrame:
 
 
 def to_articles(df: DataFrame) -> DataFrame:
-    """The article columns in order and type; a string date is parsed, unknown columns go to ``extra``."""
+    """The article columns in order and type.
+
+    A string date is parsed; unknown columns go to ``extra``, next to what is there already.
+    """
     columns = []
-    for field in ARTICLE.fields:
+    for field in ARTICLE.fields[:-1]:
         if field.name not in df.columns:
             value = F.lit(None)
         elif field.name == "date" and dict(df.dtypes)["date"] == "string":
@@ -75,10 +79,13 @@ def to_articles(df: DataFrame) -> DataFrame:
         else:
             value = F.col(field.name)
         columns.append(value.cast(field.dataType).alias(field.name))
-    extra = [c for c in df.columns if c not in ARTICLE.fieldNames() and not c.startswith("_")]
-    if not extra:
-        return df.select(*columns)
-    pairs = F.map_from_arrays(
-        F.array(*[F.lit(c) for c in extra]), F.array(*[F.col(f"`{c}`").cast("string") for c in extra])
-    )
-    return df.select(*columns, F.map_filter(pairs, lambda _, v: v.isNotNull()).alias("extra"))
+    unknown = [c for c in df.columns if c not in ARTICLE.fieldNames() and not c.startswith("_")]
+    maps = [F.col("extra")] if "extra" in df.columns else []
+    if unknown:
+        pairs = F.map_from_arrays(
+            F.array(*[F.lit(c) for c in unknown]), F.array(*[quoted(c).cast("string") for c in unknown])
+        )
+        pairs = F.map_filter(pairs, lambda _, v: v.isNotNull())
+        maps = [F.coalesce(F.map_concat(pairs, *maps), pairs)]
+    extra = maps[0] if maps else F.lit(None)
+    return df.select(*columns, extra.cast(ARTICLE["extra"].dataType).alias("extra"))

@@ -11,9 +11,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from feedmill.operators.clean import clean, keep_one
 from feedmill.operators.store import insert_counts, insert_new
-from feedmill.schema import AGGREGATOR_RECORD, ARTICLE, BOILERPLATE, SEARCH_RECORD
+from feedmill.schema import AGGREGATOR_RECORD, ARTICLE, ATOM_ENTRY, BOILERPLATE, RSS_ITEM, SEARCH_RECORD
 from feedmill.session import use_utc
-from feedmill.sources.landing import readable, rss_items, rss_reader, with_arrival, with_corrupt
+from feedmill.sources.landing import atom_entries, feed_reader, readable, records, rss_items, with_arrival
 from feedmill.sources.normalize import normalize_aggregator, normalize_rss, normalize_search, to_articles
 from feedmill.sources.sink import BUCKETS, append_articles, near_store, read_store
 
@@ -25,7 +25,7 @@ METRICS = "found long, kept long, skipped long, saved long"
 class Ingest:
     """What an ingest reads and where it writes; all folders belong in shared storage.
 
-    ``lane`` is ``search``, ``aggregator`` or ``rss``; the last one needs the source registry.
+    ``lane`` is ``search``, ``aggregator``, ``rss`` or ``atom``; the last two need the source registry.
     """
 
     landing: str
@@ -42,29 +42,30 @@ def landed(spark: SparkSession, job: Ingest) -> DataFrame:
     """The landing folder as a stream of new files."""
     reader = spark.readStream.option("maxFilesPerTrigger", job.max_files)
     if job.lane == "rss":
-        return rss_items(rss_reader(reader).load(job.landing))
-    schema = {"search": SEARCH_RECORD, "aggregator": AGGREGATOR_RECORD}[job.lane]
-    return reader.schema(with_corrupt(schema)).option("mode", "PERMISSIVE").json(job.landing)
+        return rss_items(feed_reader(reader, "item", RSS_ITEM).load(job.landing))
+    if job.lane == "atom":
+        return atom_entries(feed_reader(reader, "entry", ATOM_ENTRY).load(job.landing))
+    return records(reader.text(job.landing), {"search": SEARCH_RECORD, "aggregator": AGGREGATOR_RECORD}[job.lane])
 
 
-def prepare(records: DataFrame, job: Ingest, registry: DataFrame | None = None) -> DataFrame:
+def prepare(found: DataFrame, job: Ingest, registry: DataFrame | None = None) -> DataFrame:
     """One lane's records as the articles to save; unreadable lines are left out.
 
     API lanes are cleaned topic by topic; of a URL found under several topics the first topic's
-    copy is kept, as topics are saved one after the other. RSS entries are saved as they come.
+    copy is kept, as topics are saved one after the other. Feed entries are saved as they come.
     """
-    records = with_arrival(readable(records))
-    if job.lane == "rss":
-        return to_articles(normalize_rss(records, registry, F.current_timestamp()))
+    found = with_arrival(readable(found))
+    if job.lane in ("rss", "atom"):
+        return to_articles(normalize_rss(found, registry, F.current_timestamp()))
     if job.lane == "aggregator":
-        articles = to_articles(normalize_aggregator(records, F.current_timestamp()))
+        articles = to_articles(normalize_aggregator(found, F.current_timestamp()))
     else:
-        articles = to_articles(normalize_search(records))
+        articles = to_articles(normalize_search(found))
     cleaned = clean(articles, job.phrases, batch_keys=["searchKey"])
     return keep_one(cleaned, ["url"], F.asc("ingest_seq"))
 
 
-def _save_batch(job: Ingest, registry: DataFrame | None, records: DataFrame, batch_id: int) -> None:
+def _save_batch(job: Ingest, registry: DataFrame | None, found: DataFrame, batch_id: int) -> None:
     """Append the unseen URLs of one micro-batch, after noting its counts.
 
     A stored URL is dropped by an exact anti-join, however long ago it came, so a batch that is
@@ -72,13 +73,13 @@ def _save_batch(job: Ingest, registry: DataFrame | None, records: DataFrame, bat
     written and are kept if they are there already, so they always tell what the batch found
     when it first came.
     """
-    spark = records.sparkSession
-    batch = prepare(records, job, registry).select(*ARTICLE.fieldNames()).persist()
+    spark = found.sparkSession
+    batch = prepare(found, job, registry).select(*ARTICLE.fieldNames()).persist()
     try:
         store = near_store(read_store(spark, job.store), batch, job.buckets)
         if ingest_metrics(spark, job).where(F.col("batch") == batch_id).isEmpty():
             tally = insert_counts(store, batch).first()
-            row = (records.count(), tally["found"], tally["skipped"], tally["saved"])
+            row = (found.count(), tally["found"], tally["skipped"], tally["saved"])
             spark.createDataFrame([row], METRICS).coalesce(1).write.mode("overwrite").parquet(
                 f"{job.metrics}/batch={batch_id}"
             )
@@ -94,7 +95,7 @@ def start_ingest(
     use_utc(spark)
     writer = (
         landed(spark, job)
-        .writeStream.foreachBatch(lambda records, batch_id: _save_batch(job, registry, records, batch_id))
+        .writeStream.foreachBatch(lambda found, batch_id: _save_batch(job, registry, found, batch_id))
         .option("checkpointLocation", job.checkpoint)
     )
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=poll)).start()

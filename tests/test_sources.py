@@ -12,12 +12,13 @@ from feedmill.sources import normalize as N
 
 NOW = datetime(2024, 1, 31)
 
-RSS = """<?xml version="1.0"?><rss version="2.0" xmlns:media="http://search.yahoo.com/mrss/"><channel><title>Feed</title>
+RSS = """<?xml version="1.0"?><rss version="2.0" xmlns:media="http://search.yahoo.com/mrss/" xmlns:content="http://purl.org/rss/1.0/modules/content/"><channel><title>Feed</title>
 <item><title>One &amp; two</title><link>https://a.com/1</link><description><![CDATA[<p>body</p>]]></description>
 <pubDate>Tue, 02 Jan 2024 03:04:05 +0200</pubDate><media:content url="x"/></item>
 <item><title>No date</title><link>https://a.com/2</link></item>
 <item><title>Bad date</title><link>https://a.com/3</link><description>d</description><pubDate>soon</pubDate></item>
-<item><title>No link</title><description>d</description></item>
+<item><title>No link</title><description>d</description><guid isPermaLink="false">https://a.com/no</guid></item>
+<item><title>By guid</title><guid>https://a.com/6</guid><content:encoded>long</content:encoded></item>
 <item><link>https://a.com/5</link></item>
 </channel></rss>"""
 
@@ -50,6 +51,22 @@ def test_rss(spark, tmp_path):
         ("https://a.com/1", "One & two", "<p>body</p>", datetime(2024, 1, 2, 1, 4, 5), "A", None, None),
         ("https://a.com/2", "No date", "No Summary Available", NOW, "A", None, None),
         ("https://a.com/3", "Bad date", "d", None, "A", None, None),
+        ("https://a.com/6", "By guid", "long", NOW, "A", None, None),
+    ]
+
+
+ATOM = """<?xml version="1.0"?><feed xmlns="http://www.w3.org/2005/Atom"><title>F</title><link href="https://a.com/"/>
+<entry><title type="html">One</title><link rel="self" href="https://a.com/self"/><link href="https://a.com/1"/>
+<summary>s</summary><published>2024-01-02T03:04:05+02:00</published></entry>
+<entry><title>Two</title><link rel="alternate" href="https://a.com/2"/><content type="html">c</content></entry>
+<entry><title>None</title><link rel="edit" href="https://a.com/3"/></entry></feed>"""
+
+
+def test_atom(spark, tmp_path):
+    land(tmp_path, "https://a.com/rss?x=1", ATOM)
+    got = N.normalize_rss(L.read_atom(spark, str(tmp_path)), registry(spark), NOW).orderBy("url").collect()
+    assert [(r.url, r.title, r.body, r.date) for r in got] == [
+        ("https://a.com/1", "One", "s", datetime(2024, 1, 2, 1, 4, 5)), ("https://a.com/2", "Two", "c", NOW),
     ]
 
 
@@ -82,6 +99,8 @@ def test_unknown_columns_are_kept(spark):
     df = spark.createDataFrame([("u", 7, None)], "url string, `a.b` int, other string")
     row = N.to_articles(df).first()
     assert row.extra == {"a.b": "7"} and row.title is None
+    more = df.withColumn("extra", F.create_map(F.lit("k"), F.lit("v")))
+    assert N.to_articles(more).first().extra == {"a.b": "7", "k": "v"}
 
 
 def test_search_lane_may_be_tagged_already(spark):

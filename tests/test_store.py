@@ -111,7 +111,7 @@ def test_repair(spark):
 
 def articles(spark, *records):
     whole = [
-        (url, title, "b", datetime(2024, 1, 1), "s", None, None, seq) for url, title, seq in records
+        (url, title, "b", datetime(2024, 1, 1), "s", None, None, seq, {"k": title}) for url, title, seq in records
     ]
     return spark.createDataFrame(whole, ARTICLE)
 
@@ -146,3 +146,13 @@ def test_sink_upsert_leaves_other_buckets_alone(spark, tmp_path):
     touched = {f.parent.name for f in before if before[f] != after.get(f)}
     assert len(touched) == 1
     assert read_store(spark, str(path)).count() == 40
+
+
+def test_upsert_keeps_keys_only_the_store_has(spark):
+    schema = "url string, extra map<string,string>, ingest_seq long"
+    store = spark.createDataFrame([("a", {"x": "1", "y": "1"}, 0), ("b", None, 0), ("c", {"z": "1"}, 0)], schema)
+    batch = spark.createDataFrame([("a", {"y": "2"}, 1), ("b", {"n": "2"}, 2), ("c", None, 3)], schema)
+    got = {r.url: r.extra for r in K.upsert(store, batch).collect()}
+    assert got == {"a": {"x": "1", "y": "2"}, "b": {"n": "2"}, "c": {"z": "1"}}
+    assert K.upsert_counts(store, batch).first().modified == 3
+    assert K.upsert_counts(store, store).first().modified == 0

@@ -41,7 +41,7 @@ FIRST = [
     record("a", "gold", 2, date="2024-01-03T00:00:00Z"),
     record("b", "gold", 3, body=BOILERPLATE[0]),
     record("a", "tin", 4, date="2024-01-09T00:00:00Z"),  # gold was saved before tin
-    record("c", "tin", 5),
+    record("c", "tin", 5, relative_time="1h", nested={"a": [1]}),
     "{broken",
 ]
 SECOND = [record("a", "gold", 6), record("d", "gold", 7), record("d", "gold", 8, date="2023-01-01")]
@@ -52,6 +52,7 @@ def test_one_shot(spark, tmp_path):
     land(j, "1", *FIRST)
     I.start_ingest(spark, j, once=True).awaitTermination()
     assert stored(spark, j) == [("a", "t2", "gold"), ("c", "t5", "tin")]
+    assert read_store(spark, j.store).where("url = 'c'").first().extra == {"relative_time": "1h", "nested": '{"a":[1]}'}
     I.start_ingest(spark, j, once=True).awaitTermination()  # nothing new
     land(j, "2", *SECOND)
     I.start_ingest(spark, j, once=True).awaitTermination()
@@ -74,9 +75,9 @@ def test_continuous_gives_the_same_store(spark, tmp_path):
 def test_a_batch_run_again_adds_nothing(spark, tmp_path):
     j = job(tmp_path)
     land(j, "1", *FIRST)
-    records = spark.read.schema(I.with_corrupt(I.SEARCH_RECORD)).json(j.landing)
+    found = I.records(spark.read.text(j.landing), I.SEARCH_RECORD)
     for _ in range(2):
-        I._save_batch(j, None, records, 0)
+        I._save_batch(j, None, found, 0)
     assert read_store(spark, j.store).count() == 2
     assert metrics(spark, j) == [(0, 6, 2, 0, 2)]  # still what the first run found
 
