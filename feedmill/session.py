@@ -20,8 +20,6 @@ RECOMMENDED = {
     # Top-k per key is cut to k rows per task before the shuffle, for any k one may ask for.
     "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Articles are long texts: small Arrow batches keep Python workers small.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"

@@ -2,7 +2,9 @@
 
 Inserts append. An upsert rewrites only the buckets it touches: their new content is written to
 the shared scratch folder first, as Spark cannot overwrite files it is reading, and then
-replaces those partitions. Running an interrupted upsert again gives the same store.
+replaces those partitions. An upsert that failed before the replacement can simply be run again;
+after a failure within it the staged copy still holds every touched bucket, and
+``replace_buckets`` puts it in place.
 """
 
 from __future__ import annotations
@@ -93,6 +95,18 @@ def insert_articles(
     return saved
 
 
+def replace_buckets(
+    spark: SparkSession,
+    staged: str,
+    path: str,
+    schema: T.StructType = ARTICLE,
+    buckets: int = BUCKETS,
+    files_per_bucket: int = 1,
+) -> None:
+    """Put staged buckets in place of the stored ones; may be repeated."""
+    _write(spark.read.schema(schema).parquet(staged), path, "url", buckets, files_per_bucket, "overwrite")
+
+
 def upsert_articles(
     batch: DataFrame,
     path: str,
@@ -100,17 +114,19 @@ def upsert_articles(
     required: Sequence[str] = REQUIRED,
     buckets: int = BUCKETS,
     files_per_bucket: int = 1,
+    staged: str | None = None,
 ) -> int:
-    """Upsert a batch by URL; the number of effective writes."""
+    """Upsert a batch by URL; the number of effective writes.
+
+    ``staged`` names the folder of the staged copy, by default a new one in shared scratch.
+    """
     if not set(required) <= set(batch.columns):
         return 0
     spark = batch.sparkSession
-    store = read_store(spark, path, schema)
-    near = near_store(store, batch, buckets)
+    near = near_store(read_store(spark, path, schema), batch, buckets)
     saved = upsert_counts(near, batch).first()["saved"]
     if saved:
-        staged = scratch_path(spark, "upsert")
-        upsert(near, batch).select(*schema.fieldNames()).write.parquet(staged)
-        _write(spark.read.schema(schema).parquet(staged), path, "url", buckets, files_per_bucket, "overwrite")
+        staged = staged or scratch_path(spark, "upsert")
+        upsert(near, batch).select(*schema.fieldNames()).write.mode("overwrite").parquet(staged)
+        replace_buckets(spark, staged, path, schema, buckets, files_per_bucket)
     return saved
-
