@@ -15,8 +15,9 @@ LINK_TAG = r"""(?is)<link(?=[\s/>])(?:"[^"]*"|'[^']*'|[^'">]++)*+>"""
 ANCHOR = r"""(?is)<a(?=[\s>])(?:"[^"]*"|'[^']*'|[^'">]++)*+>(?:[^<]++|<(?!a[\s>]|/a\s*>))*+</a\s*>"""
 OPEN_ANCHOR = r"""(?is)^<a(?:"[^"]*"|'[^']*'|[^'">]++)*+>"""
 ATTRIBUTE = r"""[^\s"'>/=]+\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""
-# One text inside any chain of wrapping elements.
-SOLE_TEXT = r"(?is)^((?:<[a-z][^<>]*>)*)([^<>]*)((?:</[a-z][^<>]*>)*)$"
+# One text inside any chain of wrapping elements. Possessive quantifiers, here and above, keep
+# the matcher from recursing over long inputs.
+SOLE_TEXT = r"(?is)^((?:<[a-z][^<>]*>)*+)([^<>]*+)((?:</[a-z][^<>]*>)*+)$"
 # The character references that occur in attribute values and link texts.
 REFERENCES = (
     ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#34;", '"'), ("&apos;", "'"),

@@ -15,13 +15,14 @@ def records(lines: DataFrame, schema: T.StructType) -> DataFrame:
     """JSON lines (``value``) as records of ``schema``.
 
     Keys the schema lacks are kept in ``extra``; a line that cannot be read is kept apart in
-    ``_corrupt_record``.
+    ``_corrupt_record``, blank lines are none.
     """
     whole = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     record = F.from_json("value", whole, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     every = F.from_json("value", T.MapType(T.StringType(), T.StringType()))
     extra = F.map_filter(every, lambda k, _: ~k.isin(schema.fieldNames()))
-    return lines.select(record.alias("r"), F.when(F.size(extra) > 0, extra).alias("extra")).select("r.*", "extra")
+    filled = lines.where(F.trim("value") != "")
+    return filled.select(record.alias("r"), F.when(F.size(extra) > 0, extra).alias("extra")).select("r.*", "extra")
 
 
 def read_search(spark: SparkSession, path: str) -> DataFrame:

@@ -139,10 +139,15 @@ def test_links_agree_with_the_standard_parser(spark):
     assert [(r.href, r.title) for r in X.feed_links(pages).orderBy("pos").collect()] == parser.found
 
 
-def test_unclosed_anchors_take_linear_time(spark):
-    html = "<a href=/x>rss " * 20_000
-    pages = spark.createDataFrame([(1, "x.org", html)], "page_id int, domain string, html string")
-    assert X.feed_anchors(pages).count() == 0
+def test_long_and_broken_pages(spark):
+    unclosed = "<a href=/x>rss " * 20_000
+    nested = "<a href=/x>" + "<b>" * 20_000 + "rss" + "</b>" * 20_000 + "</a>"
+    comment = "<!--" + " rss" * 200_000 + "--><a href=/y>rss</a>"
+    pages = spark.createDataFrame(
+        [(i, "x.org", html) for i, html in enumerate([unclosed, nested, comment])],
+        "page_id int, domain string, html string",
+    )
+    assert sorted((r.page, r.href) for r in X.feed_anchors(pages).collect()) == [(1, "/x"), (2, "/y")]
 
 
 def test_candidates_confirm_and_dedupe(spark):

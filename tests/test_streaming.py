@@ -43,6 +43,7 @@ FIRST = [
     record("a", "tin", 4, date="2024-01-09T00:00:00Z"),  # gold was saved before tin
     record("c", "tin", 5, relative_time="1h", nested={"a": [1]}),
     "{broken",
+    "  ",
 ]
 SECOND = [record("a", "gold", 6), record("d", "gold", 7), record("d", "gold", 8, date="2023-01-01")]
 
