@@ -58,16 +58,16 @@ def log_status(
     return log_sizes(lines, key, text, time_col).join(tail_health(lines, key, order, text, n, marker), key)
 
 
-def _minutes_since(then: Column, as_of: Column) -> Column:
-    seconds = F.unix_timestamp(as_of.cast("timestamp")) - F.unix_timestamp(then.cast("timestamp"))
-    return F.floor(seconds / 60)
+def _seconds_between(then: Column, now: Column) -> Column:
+    """Whole seconds, rounded down; both instants may have fractions."""
+    micros = F.unix_micros(now.cast("timestamp")) - F.unix_micros(then.cast("timestamp"))
+    return F.floor(micros / 1_000_000)
 
 
 def staleness(lines: DataFrame, key: str, time_col: str, as_of: datetime | str, text: str = "line") -> DataFrame:
     """Per log: size, last write and whole minutes since then."""
-    return log_sizes(lines, key, text, time_col).withColumn(
-        "minutes_ago", _minutes_since(F.col("last_modified"), time_literal(lines, time_col, as_of))
-    )
+    age = _seconds_between(F.col("last_modified"), time_literal(lines, time_col, as_of))
+    return log_sizes(lines, key, text, time_col).withColumn("minutes_ago", F.floor(age / 60))
 
 
 def uptime(seconds: Column) -> Column:
@@ -102,10 +102,9 @@ def run_status(
     start, active = F.col(start_col).try_cast("timestamp"), F.col(active_col).try_cast("timestamp")
     now = F.lit(str(as_of)).cast("timestamp")
     latest = keep_one(seen, [key], start.desc_nulls_last(), active.desc_nulls_last())
-    elapsed = F.unix_timestamp(now) - F.unix_timestamp(start)
-    alive = F.coalesce(F.unix_timestamp(now) - F.unix_timestamp(active) <= alive_minutes * 60, F.lit(False))
+    alive = F.coalesce(_seconds_between(active, now) <= alive_minutes * 60, F.lit(False))
     return latest.select(
         *names,
         F.when(alive, "RUNNING").otherwise("STOPPED").alias("status"),
-        uptime(elapsed).alias("uptime"),
+        uptime(_seconds_between(start, now)).alias("uptime"),
     )

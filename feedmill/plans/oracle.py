@@ -170,7 +170,7 @@ def _hits(word: str, days: int, columns: str, more: str = "") -> str:
           and (contains(lower(title), '{word}') or contains(lower(body), '{word}')) {more}"""
 
 
-_UPTIME = f"date_diff('second', date_trunc('second', max(start_time)), timestamp '{AS_OF}')"
+_UPTIME = f"(epoch_us(timestamp '{AS_OF}') - epoch_us(max(start_time))) // 1000000"
 
 # What two ingested waves leave in the store: per wave the first cleaned copy of each unseen URL.
 _WAVE = """
@@ -412,12 +412,11 @@ ORACLE = {
     "staleness": with_views(f"""
         select script_id, count(*) as lines, cast(sum(length(line) + 1) as bigint) as size,
           max(start_time) as last_modified,
-          cast(floor(date_diff('second', date_trunc('second', max(start_time)), timestamp '{AS_OF}') / 60) as bigint)
-            as minutes_ago
+          (epoch_us(timestamp '{AS_OF}') - epoch_us(max(start_time))) // 60000000 as minutes_ago
         from runs group by script_id"""),
     "run_status": with_views(f"""
         select script_id, start_time, start_time + interval 1 day as last_active,
-          case when date_diff('second', date_trunc('second', start_time + interval 1 day), timestamp '{AS_OF}') <= 3600
+          case when (epoch_us(timestamp '{AS_OF}') - epoch_us(start_time + interval 1 day)) // 1000000 <= 3600
                then 'RUNNING' else 'STOPPED' end as status,
           coalesce(nullif(concat_ws(' ', case when s // 86400 <> 0 then concat(cast(s // 86400 as varchar), 'd') end,
             case when s % 86400 // 3600 <> 0 then concat(cast(s % 86400 // 3600 as varchar), 'h') end,

@@ -38,6 +38,8 @@ def test_status_and_staleness(spark):
     row = H.log_status(df, "log", "n", "at").first()
     assert (row["size"], row.lines, row.has_errors, row.last_lines) == (12, 2, True, ["xé", "y ERROR"])
     assert H.staleness(df, "log", "at", AS_OF).first().minutes_ago == 2
+    assert H.staleness(df, "log", "at", "2024-01-31 00:00:00.9").first().minutes_ago == 2
+    assert H.staleness(df, "log", "at", "2024-01-31 00:00:01").first().minutes_ago == 3
 
 
 def test_uptime_and_runs(spark):
@@ -47,8 +49,9 @@ def test_uptime_and_runs(spark):
 
     runs = spark.createDataFrame(
         [("a", "2024-01-29T22:00:00", "2024-01-30T23:59:00"), ("a", "2024-01-01T00:00:00", "2024-01-30T23:59:59"),
+         ("d", "2024-01-30T23:58:00.5", "2024-01-30T23:55:00"),
          ("b", "bad", "2024-01-30T10:00:00"), ("c", None, None)],
         "script string, start_time string, last_active string",
     )
     got = {r.script: (r.status, r.uptime) for r in H.run_status(runs, AS_OF).collect()}
-    assert got == {"a": ("RUNNING", "1d 2h"), "b": ("STOPPED", "unknown"), "c": ("STOPPED", "unknown")}
+    assert got == {"a": ("RUNNING", "1d 2h"), "d": ("RUNNING", "1m 59s"), "b": ("STOPPED", "unknown"), "c": ("STOPPED", "unknown")}
