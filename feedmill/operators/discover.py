@@ -142,9 +142,10 @@ def confirm(wanted: DataFrame, probes: DataFrame) -> DataFrame:
 
     ``probes`` is the crawler's landed result: ``url, status, n_entries, title``.
     """
-    good = probes.where((F.col("status") == 200) & (F.col("n_entries") > 0)).select(
-        "url", F.coalesce("title", F.lit(UNTITLED_FEED)).alias("title")
-    )
+    title = F.coalesce("title", F.lit(UNTITLED_FEED))
+    answered = probes.where((F.col("status") == 200) & (F.col("n_entries") > 0))
+    # One row per address, however often it was probed.
+    good = answered.groupBy("url").agg(F.min(title).alias("title"))
     return wanted.join(good, "url").select(
         "domain", F.lit(FROM_PROBE).alias("priority"), F.lit(0).cast("long").alias("page"), "pos", "title", "url"
     )

@@ -107,7 +107,18 @@ def ingest_metrics(spark: SparkSession, job: Ingest) -> DataFrame:
 
 
 def dedupe_stream(
-    articles: DataFrame, horizon: str, date_col: str = "date", keys: Sequence[str] = ("url",)
+    articles: DataFrame, horizon: str, date_col: str = "date", keys: Sequence[str] = ("url",), spread: int = 32
 ) -> DataFrame:
-    """Bounded-state variant: a URL is let through once within ``horizon`` of event time."""
-    return articles.withWatermark(date_col, horizon).dropDuplicatesWithinWatermark(list(keys))
+    """Bounded-state variant: a URL is let through once within ``horizon`` of event time.
+
+    Copies are first thinned out in ``spread`` parts per URL, by the task that read them, so that
+    a hot URL does not send all its rows to one task; at most ``spread`` of them meet in the end.
+    """
+    part = F.pmod(F.spark_partition_id(), F.lit(spread))
+    thinned = (
+        articles.withColumn("_part", part)
+        .withWatermark(date_col, horizon)
+        .dropDuplicatesWithinWatermark([*keys, "_part"])
+        .drop("_part")
+    )
+    return thinned.dropDuplicatesWithinWatermark(list(keys))

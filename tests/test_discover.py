@@ -157,7 +157,7 @@ def test_candidates_confirm_and_dedupe(spark):
     assert wanted.where("domain = 'www.y.org' and path = '/rss'").first().url == "https://www.y.org/rss"
     probes = spark.createDataFrame(
         [("https://www.x.org/rss", 200, 3, None), ("https://www.x.org/feed", 200, 0, "t"),
-         ("https://www.x.org/feeds", 404, 3, "t"), ("https://www.x.org/atom.xml", 200, 1, "Atom"),
+         ("https://www.x.org/feeds", 404, 3, "t"), ("https://www.x.org/rss", 200, 9, None), ("https://www.x.org/atom.xml", 200, 1, "Atom"),
          ("https://elsewhere.org/rss", 200, 1, "no candidate")],
         "url string, status int, n_entries long, title string",
     )

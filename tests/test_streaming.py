@@ -107,12 +107,16 @@ def test_aggregator_and_rss_lanes(spark, tmp_path):
 
 def test_bounded_dedupe(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
-    rows = [("a", datetime(2024, 1, 1)), ("a", datetime(2024, 1, 2)), ("b", datetime(2024, 1, 2)), (None, datetime(2024, 1, 2)), (None, datetime(2024, 1, 2))]
-    df = spark.createDataFrame(rows, "url string, date timestamp")
-    df.write.parquet(source)
-    stream = I.dedupe_stream(spark.readStream.schema(df.schema).parquet(source), "30 days")
-    stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start(out).awaitTermination()
-    assert sorted((r.url for r in spark.read.parquet(out).collect()), key=repr) == ["a", "b", None]
+    rows = [("a", datetime(2024, 1, 1)), ("a", datetime(2024, 1, 2)), ("b", datetime(2024, 1, 2)), (None, datetime(2024, 1, 2))]
+    df = spark.createDataFrame(rows * 25, "url string, date timestamp")
+    (tmp_path / "in").mkdir()
+    stream = I.dedupe_stream(spark.readStream.schema(df.schema).parquet(source), "30 days", spread=3)
+    for later in (df, df.union(spark.createDataFrame([("c", datetime(2024, 1, 3))] * 9, df.schema))):
+        later.repartition(6).write.mode("append").parquet(source)
+        writer = stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp"))
+        writer.trigger(availableNow=True).start(out).awaitTermination()
+        got = sorted((r.url for r in spark.read.parquet(out).collect()), key=repr)
+        assert got == (["a", "b", None] if later is df else ["a", "b", "c", None])
 
 
 @pytest.mark.parametrize("master, ok", [("local[4]", True), ("local", True), ("yarn", False), ("spark://h:7077", False)])
