@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedmill.llm import exact_dedup, language_id, packing, simhash
+from feedmill.llm import byte_bpe, exact_dedup, html_main, language_id, packing, simhash, url_filter
 from feedmill.llm.frames import remainder
 
 
@@ -23,6 +23,22 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = url_filter.judge_urls(_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return found.select("doc.page_id", "host", "path", "rule", "verdict")
+
+
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    found = byte_bpe.encode_decode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return found.select(
+        "doc.doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_dedup(_table(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select("doc.doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
@@ -38,11 +54,19 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_main.extract_main_text(_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return found.select("doc.page_id", "doc.url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op4_url_filter": op4_url_filter,
+    "op5_byte_bpe": op5_byte_bpe,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_packing": op9_packing,
+    "op10_main_text": op10_main_text,
 }
 
 EXACT_SQL = """
@@ -55,4 +79,4 @@ select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size,
 from folded window w as (partition by t)
 """
 
-ORACLE = {"op7_exact_dedup": EXACT_SQL}
+ORACLE = {"op4_url_filter": url_filter.oracle_sql(), "op7_exact_dedup": EXACT_SQL}
