@@ -6,7 +6,9 @@ import os
 
 import numpy as np
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 800_000
+BATCH_WORDS = 20_000
+WORD_END = "</w>"
 
 
 class WordEncoder:
@@ -25,19 +27,53 @@ class WordEncoder:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.cache: dict[bytes, bytes] = {}
         self.cache_words = cache_words
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
+
+    def _each(self, words: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in found]
+
+    def _together(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters only, encoded as one text and cut after each word's last id."""
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        if ends.size != len(words) or (ends.size and ends[-1] != ids.size):
+            return self._each(words)  # folding the case of some letter has split its word
+        whole, cuts = ids.tobytes(), (4 * ends).tolist()
+        return [whole[a:b] for a, b in zip([0, *cuts[:-1]], cuts)]
+
+    def _learn(self, fresh: list[bytes]) -> None:
+        """Encode new words. Letters and the punctuation behind them never share a token."""
+        letters: dict[bytes, tuple[str, str]] = {}
+        odd: list[tuple[bytes, str]] = []
+        for word in fresh:
+            text = word.decode()
+            core = text.rstrip(".,;:!?")
+            if core.isalpha():
+                letters[word] = (core, text[len(core) :])
+            else:
+                odd.append((word, text))
+        cores = sorted({c for c, _ in letters.values()})
+        known: dict[str, bytes] = {}
+        for at in range(0, len(cores), 100):
+            some = cores[at : at + 100]
+            known.update(zip(some, self._together(some)))
+        tails = sorted({t for _, t in letters.values()})
+        known_tails = dict(zip(tails, self._each(tails)))
+        self.cache.update((w, known[c] + known_tails[t]) for w, (c, t) in letters.items())
+        self.cache.update(zip([w for w, _ in odd], self._each([t for _, t in odd])))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         parts = [t.split() for t in texts]
         if len(self.cache) > self.cache_words:
             self.cache.clear()
-        cache = self.cache
-        fresh = list(set().union(*parts).difference(cache))
-        for at in range(0, len(fresh), 20_000):
-            some = fresh[at : at + 20_000]
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
-            cache.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(some, found))
-        return [b"".join(map(cache.__getitem__, p)) for p in parts]
+        fresh = list(set().union(*parts).difference(self.cache))
+        for at in range(0, len(fresh), BATCH_WORDS):
+            self._learn(fresh[at : at + BATCH_WORDS])
+        return [b"".join(map(self.cache.__getitem__, p)) for p in parts]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
