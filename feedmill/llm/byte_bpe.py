@@ -13,7 +13,8 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,10 +22,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedmill.llm.frames import DOC, binary, chunks, packed, texts_of
+from feedmill.llm.frames import DOC, binary, bounded_batches, gathered, packed, texts_of
 
-CACHE_PARTS = 300_000
-CHUNK_BYTES = 4_000_000
+CACHE_PARTS = 400_000
+MERGE_PARTS = 250_000
+GATHER_BYTES = 24_000_000
 #: The pattern that splits a text into pre-tokens before the merges (a fixed value of the rank files).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Code points of white space.
@@ -89,24 +91,31 @@ class ByteBpe:
         for token, rank in self.ranks.items():
             self.tokens[rank] = token
         self.of_byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
-        pairs = [
-            (self.ranks[t[:i]] * self.size + self.ranks[t[i:]], r)
+        sides = [
+            (self.ranks[t[:i]], self.ranks[t[i:]], r)
             for t, r in self.ranks.items()
             for i in range(1, len(t))
             if t[:i] in self.ranks and t[i:] in self.ranks
         ]
-        pairs.sort()
-        self.pair_keys = np.array([k for k, _ in pairs] + [np.iinfo(np.int64).max], np.int64)
-        self.pair_ranks = np.array([r for _, r in pairs] + [-1], np.int64)
+        left, right, joined = np.array(sides or [(0, 0, -1)], np.int64).T
+        self.stop = self.size  # stands for a break; no pair holds it
+        keys = left * (self.size + 1) + right
+        order = np.argsort(keys)
+        self.pair_keys = np.append(keys[order], np.iinfo(np.int64).max)
+        self.pair_ranks = np.append(joined[order], -1)
+        # Tokens that may be merged on at a lower rank than they were made at.
+        self.hasty = np.zeros(self.size, bool)
+        self.hasty[left[joined < left]] = True
+        self.hasty[right[joined < right]] = True
         self.split = regex.compile(pattern).findall
         self.cache: dict[str, bytes] = {}
         self.cache_parts = cache_parts
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each joined pair, -1 where the joined bytes are no token or a side is a break."""
-        keys = left * self.size + right
+        keys = left * (self.size + 1) + right
         at = np.searchsorted(self.pair_keys, keys)
-        return np.where((self.pair_keys[at] == keys) & (left >= 0) & (right >= 0), self.pair_ranks[at], -1)
+        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], -1)
 
     def merge(self, parts: list[bytes]) -> list[bytes]:
         """Ids of each pre-token, as little-endian unsigned 32-bit integers."""
@@ -115,8 +124,8 @@ class ByteBpe:
         n = data.size
         breaks = np.cumsum(sizes + 1) - 1
         token = self.of_byte[data]
-        token[breaks] = -1
-        token = np.concatenate([token, [-1]])  # place n: a break after the end, and before the start
+        token[breaks] = self.stop
+        token = np.concatenate([token, [self.stop]])  # place n: a break after the end, and before the start
         following = np.arange(1, n + 2)
         following[n] = n
         previous = np.arange(-1, n)
@@ -139,8 +148,8 @@ class ByteBpe:
             starts_run[1:] = following[at[:-1]] != at[1:]
             index = np.arange(at.size)
             left = at[(index - np.maximum.accumulate(np.where(starts_run, index, 0))) & 1 == 0]
-            early = self._early(token, following, previous, left, rank)
-            if early.any():
+            early = self._early(token, following, previous, left, rank) if self.hasty[rank] else None
+            if early is not None and early.any():
                 # A merge makes a pair that must go before the other merges of this rank: such a
                 # pre-token is taken out and merged one pair at a time.
                 owners = np.unique(np.searchsorted(breaks, left[early]))
@@ -221,16 +230,22 @@ class ByteBpe:
         keep = new >= 0
         queue.push(new[keep], changed[keep])
 
-    def _learn(self, parts: set[str]) -> None:
+    def _learn(self, fresh: list[str]) -> None:
         """Put the ids of new parts (stretches that split on their own) into the cache."""
-        fresh = list(parts)
-        split = [self.split(p) for p in fresh]
-        words = list({w for pieces in split for w in pieces})
-        raw = [w.encode() for w in words]
-        known = {w: np.array([self.ranks[r]], "<u4").tobytes() for w, r in zip(words, raw) if r in self.ranks}
-        rest = [(w, r) for w, r in zip(words, raw) if w not in known]
-        if rest:
-            known.update(zip([w for w, _ in rest], self.merge([r for _, r in rest])))
+        split: list[list[str]] = []
+        for part in fresh:
+            # Letters and the punctuation behind them need no pattern.
+            core = part.rstrip(".,;:!?")
+            if core.isalpha() or (core[:1] == " " and core[1:].isalpha()):
+                split.append([core, part[len(core) :]] if len(core) < len(part) else [part])
+            else:
+                split.append(self.split(part))
+        known = {w: self.ranks.get(w.encode(), -1) for w in set(chain.from_iterable(split))}
+        rest = [w for w, rank in known.items() if rank < 0]
+        known = {w: rank.to_bytes(4, "little") for w, rank in known.items() if rank >= 0}
+        for at in range(0, len(rest), MERGE_PARTS):
+            some = rest[at : at + MERGE_PARTS]
+            known.update(zip(some, self.merge([w.encode() for w in some])))
         self.cache.update((p, b"".join(map(known.__getitem__, pieces))) for p, pieces in zip(fresh, split))
 
     def _parts(self, text: str) -> list[str]:
@@ -244,15 +259,19 @@ class ByteBpe:
         first, *rest = text.split(" ")
         return [first, *(" " + p for p in rest)]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        parts = [self._parts(t) for t in texts]
+    def meet(self, texts: Iterable[str]) -> None:
+        """Learn all parts of some texts that are not in the cache."""
         if len(self.cache) > self.cache_parts:
             self.cache.clear()
-        fresh = set().union(*parts).difference(self.cache)
+        fresh: set[str] = set()
+        for text in texts:
+            fresh.update(set(self._parts(text)).difference(self.cache))
         if fresh:
-            self._learn(fresh)
-        return [b"".join(map(self.cache.__getitem__, p)) for p in parts]
+            self._learn(list(fresh))
+
+    def encode(self, text: str) -> bytes:
+        """Ids of a text whose parts have been met, as little-endian unsigned 32-bit integers."""
+        return b"".join(map(self.cache.__getitem__, self._parts(text)))
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -271,12 +290,13 @@ def codec(path: str) -> ByteBpe:
 def _coder(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(path)
-        for batch in batches:
-            sizes = np.array([len(t) for t in texts_of(batch.column(1))], np.int64)
-            for part in chunks(batch, sizes, CHUNK_BYTES):
-                ids = bpe.encode([t.decode() for t in texts_of(part.column(1))])
+        for group in gathered(batches, GATHER_BYTES):
+            bpe.meet(t.decode() for batch in group for t in texts_of(batch.column(1)))
+            for batch in group:
+                ids = [bpe.encode(t.decode()) for t in texts_of(batch.column(1))]
+                counts = pa.array([len(i) // 4 for i in ids], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(i) // 4 for i in ids], pa.int64()), binary(ids), binary([bpe.decode(i) for i in ids])],
+                    [batch.column(0), counts, binary(ids), binary([bpe.decode(i) for i in ids])],
                     [DOC, "n_tokens", "ids", "decoded"],
                 )
 
@@ -289,6 +309,7 @@ def encode_decode(docs: DataFrame, ranks: str, text_col: str = "text", keep: tup
     ``ids`` are little-endian unsigned 32-bit integers; special tokens are never made. A null or
     empty text has no ids. ``ranks`` is a file of base-64 tokens and ranks that has all 256 bytes.
     """
+    bounded_batches(docs.sparkSession)
     rows = docs.select(packed(docs.select(*keep)), F.col(f"`{text_col}`").cast("string").alias("text"))
     schema = f"{DOC} {rows.schema[DOC].dataType.simpleString()}, n_tokens long, ids binary, decoded binary"
     return rows.mapInArrow(_coder(ranks), schema)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedmill.llm.frames import DOC, packed, staged, texts_of
+from feedmill.llm.frames import DOC, bounded_batches, packed, staged, texts_of
 
 OWNER_ROWS = 4_000_000
 SPARE_BITS = 8
@@ -156,6 +156,7 @@ def exact_dedup(
     whatever the input; more rows make more waves.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     text = F.col(DOC).getField(text_col)
     whole = docs.select(packed(docs))
     whole = whole.withColumn("text_sha256", _digest(text))

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +14,8 @@ from feedmill.functions.columns import quoted
 from feedmill.session import scratch_path
 
 DOC = "doc"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+DEFAULT_BATCH_BYTES = "67108864b"
 
 
 def packed(df: DataFrame) -> Column:
@@ -56,5 +58,24 @@ def chunks(batch: pa.RecordBatch, sizes: np.ndarray, most: int) -> Iterator[pa.R
         yield batch.slice(begin)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches in lists of about ``most`` bytes."""
+    group, total = [], 0
+    for batch in batches:
+        group.append(batch)
+        total += batch.nbytes
+        if total >= most:
+            yield group
+            group, total = [], 0
+    if group:
+        yield group
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Rows of whole documents go to Python in batches of a few MB, unless the session already says how large."""
+    if spark.conf.get(BATCH_BYTES) == DEFAULT_BATCH_BYTES:
+        spark.conf.set(BATCH_BYTES, "4m")
+
+
 def binary(values: list[bytes]) -> pa.Array:
     return pa.array(values, pa.binary())

@@ -20,7 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from feedmill.functions.columns import quoted
-from feedmill.llm.frames import DOC, packed, texts_of
+from feedmill.llm.frames import DOC, bounded_batches, packed, texts_of
 
 PROFILE = 300
 MAX_LANGUAGES = 2_000
@@ -163,6 +163,7 @@ def detect_languages(docs: DataFrame, training: DataFrame, text_col: str = "text
     Null and empty texts, and texts without any letter, are ``und`` with score 0. Without any labelled
     training text every document is ``und``.
     """
+    bounded_batches(docs.sparkSession)
     profiles = learn_profiles(training, text_col, lang_col)
     found = identify(F.col(DOC).getField(text_col).cast("string"), profiles, docs.sparkSession)
     return docs.select(packed(docs)).withColumn("found", found).select(DOC, "found.lang_pred", "found.score")

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedmill.functions.columns import quoted
-from feedmill.llm.frames import chunks, texts_of
+from feedmill.llm.frames import bounded_batches, chunks, texts_of
 from feedmill.llm.words import encoder
 
 TIERS = (256, 512, 1024, 2048)
@@ -145,6 +145,7 @@ def pack(
     step_id (windows of one size whose tokens make up one step). A null or empty text is its ``end_id`` alone.
     ``tokenizer`` is a file for ``tokenizers``; about ``pool_tokens`` ids are packed together.
     """
+    bounded_batches(docs.sparkSession)
     tiers = tuple(sorted(tiers))
     if any(t & (t - 1) for t in tiers):
         raise ValueError("context sizes must be powers of two")

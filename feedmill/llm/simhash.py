@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedmill.llm.components import components
-from feedmill.llm.frames import DOC, packed, staged, texts_of
+from feedmill.llm.frames import DOC, bounded_batches, packed, staged, texts_of
 
 WORDS = 3
 SEED = 42
@@ -188,6 +188,7 @@ def simhash_dedup(
     included (null only if no id there is set). A null or empty text has print 0 and is linked like any
     other. One row of each component is kept: one with the smallest id.
     """
+    bounded_batches(docs.sparkSession)
     doc_id = F.col(DOC).getField(id_col)
     rows = docs.select(packed(docs)).withColumn("print", fingerprint(F.col(DOC).getField(text_col), words))
     rows = staged(rows.withColumn("row", F.monotonically_increasing_id()), "simhash")
