@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedmill.llm.frames import DOC, packed, texts_of
+from feedmill.llm.frames import DOC, bounded_batches, packed, staged, texts_of
 from feedmill.llm.url_filter import host_of
 
 MIN_PAGES = 5
@@ -252,7 +252,7 @@ def site_templates(
     A host's list has at most as many entries as its mean page has subtrees, divided by ``min_share``.
     """
     counts = pages.select(host_col, html_col).mapInArrow(_hashes, "host string, hash long, n long")
-    counts = counts.groupBy("host", "hash").agg(F.sum("n").alias("n"))
+    counts = staged(counts.groupBy("host", "hash").agg(F.sum("n").alias("n")), "site-subtrees")
     sizes = counts.where("hash is null").select("host", F.col("n").alias("pages"))
     common = counts.where(F.col("hash").isNotNull() & (F.col("n") >= min_pages)).join(sizes, "host")
     return common.where(F.col("n") >= min_share * F.col("pages")).groupBy("host").agg(
@@ -282,6 +282,9 @@ def extract_main_text(
     """
     rows = pages.select(packed(pages)).withColumn("host", host_of(F.col(DOC).getField(url_col)))
     html = F.col(DOC).getField(html_col)
+    bounded_batches(pages.sparkSession)
+    # Written out, so that both sides of the join are shuffled for it and the pages of a large host can be split.
     templates = site_templates(rows.select("host", html.alias("html")), "host", "html", min_pages, min_share)
+    templates = staged(templates, "site-templates")
     read = F.arrow_udf(_main_text, "string")
     return rows.join(templates, "host", "left").select(DOC, read(html, F.col("template")).alias("text"))
