@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedmill.llm import byte_bpe, exact_dedup, html_main, language_id, packing, simhash, url_filter
+from feedmill.llm import ann, byte_bpe, exact_dedup, html_main, language_id, lm_score, packing, simhash, token_files, url_filter
 from feedmill.llm.frames import remainder
+from feedmill.session import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -23,6 +24,16 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return lm_score.score(docs, remainder(F.col("doc_id"), 10) == 0)
+
+
+def op3_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return ann.search(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = url_filter.judge_urls(_table(spark, sf_dir, "pages", "page_id", "url", "html"))
     return found.select("doc.page_id", "host", "path", "rule", "verdict")
@@ -49,6 +60,14 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc.doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents, from flat token files that are written for it first."""
+    path = scratch_path(spark, "token-files")
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    token_files.write_token_files(docs, path, public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.count_tokens(spark, path).select(F.col("key").alias("doc_id"), "n_tokens")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     return packing.digest(packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")))
@@ -61,10 +80,13 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_lm_score": op2_lm_score,
+    "op3_multi_index_hashing": op3_multi_index_hashing,
     "op4_url_filter": op4_url_filter,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_token_counts": op8_token_counts,
     "op9_packing": op9_packing,
     "op10_main_text": op10_main_text,
 }
