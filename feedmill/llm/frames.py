@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +13,7 @@ from feedmill.functions.columns import quoted
 from feedmill.session import scratch_path
 
 DOC = "doc"
+ROW_GROUP_BYTES = 16 << 20
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 DEFAULT_BATCH_BYTES = "67108864b"
 
@@ -31,7 +31,7 @@ def unpacked(df: DataFrame, schema: T.StructType) -> DataFrame:
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back: lineage ends there."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -46,18 +46,6 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [v or b"" for v in column.cast(kind).to_pylist()]
 
 
-def chunks(batch: pa.RecordBatch, sizes: np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch of about ``most`` bytes of text each, never less than a row."""
-    begin, total = 0, 0
-    for i, size in enumerate(sizes.tolist()):
-        if total and total + size > most:
-            yield batch.slice(begin, i - begin)
-            begin, total = i, 0
-        total += size
-    if begin < batch.num_rows:
-        yield batch.slice(begin)
-
-
 def gathered(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[list[pa.RecordBatch]]:
     """Batches in lists of about ``most`` bytes."""
     group, total = [], 0
@@ -72,9 +60,9 @@ def gathered(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[list[pa.R
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Rows of whole documents go to Python in batches of a few MB, unless the session already says how large."""
+    """Rows of whole documents go to Python in batches of a MB, unless the session already says how large."""
     if spark.conf.get(BATCH_BYTES) == DEFAULT_BATCH_BYTES:
-        spark.conf.set(BATCH_BYTES, "4m")
+        spark.conf.set(BATCH_BYTES, "1m")
 
 
 def binary(values: list[bytes]) -> pa.Array:

@@ -25,7 +25,7 @@ from feedmill.llm.frames import DOC, bounded_batches, packed, texts_of
 PROFILE = 300
 MAX_LANGUAGES = 2_000
 UNKNOWN = "und"
-MERGE_ROWS = 4_000_000
+MERGE_ROWS = 500_000
 
 
 @cache

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedmill.functions.columns import quoted
-from feedmill.llm.frames import bounded_batches, chunks, texts_of
+from feedmill.llm.frames import bounded_batches, gathered, texts_of
 from feedmill.llm.words import encoder
 
 TIERS = (256, 512, 1024, 2048)
@@ -113,9 +113,8 @@ def _packer(path: str, tiers: tuple[int, ...], end_id: int, pool_tokens: int, st
                 [keys.take(pa.array(picked, pa.int64())), *(pa.array(rows[n], k) for n, k in zip(fields[1:], kinds))], fields
             )
 
-        for batch in batches:
-            texts = batch.column(1)
-            for part in chunks(batch, np.array([len(t) for t in texts_of(texts)], np.int64), 4 * pool_tokens):
+        for group in gathered(batches, 2 * pool_tokens):
+            for part in pa.Table.from_batches(group).combine_chunks().to_batches():
                 docs = [ids + end for ids in encode(texts_of(part.column(1)))]
                 pieces, whole = [], []
                 for i, ids in enumerate(docs):
@@ -143,7 +142,7 @@ def pack(
     Columns: the id, start (ids of its document before it), length, ids (little-endian unsigned 32-bit),
     doc_tokens (``end_id`` included), sequence_id, offset (in the sequence), window (the sequence's size) and
     step_id (windows of one size whose tokens make up one step). A null or empty text is its ``end_id`` alone.
-    ``tokenizer`` is a file for ``tokenizers``; about ``pool_tokens`` ids are packed together.
+    ``tokenizer`` is a file for ``tokenizers``; about ``pool_tokens`` ids (two bytes of text each) are packed together.
     """
     bounded_batches(docs.sparkSession)
     tiers = tuple(sorted(tiers))

@@ -6,8 +6,8 @@ import os
 
 import numpy as np
 
-CACHE_WORDS = 800_000
-BATCH_WORDS = 20_000
+CACHE_WORDS = 500_000
+BATCH_WORDS = 30_000
 WORD_END = "</w>"
 
 
@@ -15,7 +15,7 @@ class WordEncoder:
     """Encodes texts by a tokenizer that drops white space and never joins words across it.
 
     Such a tokenizer's ids for a text are those of its white-space-separated parts in turn, so parts
-    are looked up in a table, which is emptied when it holds ``cache_words``. Parts are cut only at ASCII
+    are looked up in a table; when it holds ``cache_words``, only those of the texts at hand stay. Parts are cut only at ASCII
     white space; any other kind stays inside a part for the tokenizer itself to drop.
     """
 
@@ -36,41 +36,44 @@ class WordEncoder:
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
     def _together(self, words: list[str]) -> list[bytes]:
-        """Ids of words of letters only, encoded as one text and cut after each word's last id."""
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
-        ends = np.flatnonzero(self.ends_word[ids]) + 1
-        if ends.size != len(words) or (ends.size and ends[-1] != ids.size):
-            return self._each(words)  # folding the case of some letter has split its word
-        whole, cuts = ids.tobytes(), (4 * ends).tolist()
-        return [whole[a:b] for a, b in zip([0, *cuts[:-1]], cuts)]
+        """Ids of words of letters only, many encoded as one text and cut after each word's last id."""
+        groups = [words[at : at + 100] for at in range(0, len(words), 100)]
+        out: list[bytes] = []
+        for group, found in zip(groups, self._each([" ".join(g) for g in groups])):
+            ends = np.flatnonzero(self.ends_word[np.frombuffer(found, "<u4")]) + 1
+            if ends.size != len(group) or 4 * ends[-1] != len(found):
+                out += self._each(group)  # folding the case of some letter has split its word
+                continue
+            cuts = (4 * ends).tolist()
+            out += [found[a:b] for a, b in zip([0, *cuts[:-1]], cuts)]
+        return out
 
     def _learn(self, fresh: list[bytes]) -> None:
-        """Encode new words. Letters and the punctuation behind them never share a token."""
-        letters: dict[bytes, tuple[str, str]] = {}
-        odd: list[tuple[bytes, str]] = []
+        """Encode new words. A letter and the punctuation behind it never share a token."""
+        tailed, need = [], set()
         for word in fresh:
-            text = word.decode()
-            core = text.rstrip(".,;:!?")
-            if core.isalpha():
-                letters[word] = (core, text[len(core) :])
+            core = word.rstrip(b".,;:!?")
+            if len(core) < len(word) and core and core.decode()[-1].isalpha():
+                tailed.append((word, core))
+                need.add(core)
             else:
-                odd.append((word, text))
-        cores = sorted({c for c, _ in letters.values()})
-        known: dict[str, bytes] = {}
-        for at in range(0, len(cores), 100):
-            some = cores[at : at + 100]
-            known.update(zip(some, self._together(some)))
-        tails = sorted({t for _, t in letters.values()})
-        known_tails = dict(zip(tails, self._each(tails)))
-        self.cache.update((w, known[c] + known_tails[t]) for w, (c, t) in letters.items())
-        self.cache.update(zip([w for w, _ in odd], self._each([t for _, t in odd])))
+                need.add(word)
+        texts = [w.decode() for w in need.difference(self.cache)]
+        letters = [t for t in texts if t.isalpha()]
+        odd = [t for t in texts if not t.isalpha()]
+        self.cache.update(zip(map(str.encode, letters), self._together(letters)))
+        self.cache.update(zip(map(str.encode, odd), self._each(odd)))
+        tails = list({w[len(c) :] for w, c in tailed})
+        ids = dict(zip(tails, self._each([t.decode() for t in tails])))
+        self.cache.update((w, self.cache[c] + ids[w[len(c) :]]) for w, c in tailed)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         parts = [t.split() for t in texts]
+        met = set().union(*parts)
         if len(self.cache) > self.cache_words:
-            self.cache.clear()
-        fresh = list(set().union(*parts).difference(self.cache))
+            self.cache = {w: self.cache[w] for w in met.intersection(self.cache)}
+        fresh = list(met.difference(self.cache))
         for at in range(0, len(fresh), BATCH_WORDS):
             self._learn(fresh[at : at + BATCH_WORDS])
         return [b"".join(map(self.cache.__getitem__, p)) for p in parts]

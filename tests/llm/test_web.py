@@ -1,0 +1,187 @@
+"""URL verdicts and main texts."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+
+from feedmill.llm import html_main, url_filter
+
+SCHEMA = "page_id long, url string, html string, host string, verdict string, text string"
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(i, u, h, "h", "v", "t") for i, u, h in rows], SCHEMA).repartition(3)
+
+
+def parts_of(url):
+    if not url or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest)[0]
+    lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+    return lower, re.match(r"[^?#]*", rest[len(host) :])[0]
+
+
+def rule_of(host, path):
+    fitting = []
+    for verdict, rule in url_filter.RULES:
+        domain, _, rest = rule.partition("/")
+        if (host == domain or host.endswith("." + domain)) and path.startswith("/" + rest):
+            fitting.append((len(rule), rule, verdict))
+    return max(fitting)[1:] if fitting else (None, None)
+
+
+URLS = [
+    None, "", "no scheme", "http://", "http://A.Example.NET/en/x", "http://example.net", "http://example.net/", "http://example.net?/en/",
+    "https://example.com/de/1#x", "https://example.com/de", "x://org/fr/", "http://notexample.net/en/", "http://xnet/", "http://É.org/fr/1",
+    "a://b://net/", "//net/", "http://u@example.com:80/de/", "http://www.example.com/DE/", "http://net", "http://a.net/en/", "\nhttp://a.org/fr/",
+]
+
+
+def test_rules_hosts_and_paths(spark):
+    rows = [(i, u, None) for i, u in enumerate(URLS)]
+    got = url_filter.judge_urls(table(spark, rows)).select("doc.*", *("host path rule verdict".split())).collect()
+    assert len(got) == len(rows)
+    for r in url_filter.judge_urls(table(spark, rows)).collect():
+        host, path = parts_of(r["doc"]["url"])
+        rule, verdict = rule_of(host, path)
+        assert (r["host"], r["path"], r["rule"]) == (host, path, rule)
+        if rule:
+            assert r["verdict"] == verdict
+
+
+def brute_flow(rows, damping, rounds):
+    """Trust and distrust of every host by plain iteration."""
+    pages, links = {}, {}
+    for _, url, page in rows:
+        host, path = parts_of(url)
+        if host:
+            pages.setdefault(host, []).append(rule_of(host, path)[1])
+            for target in re.findall(r'<a href="https?://([^/"]+)', page or ""):
+                if target != host:
+                    links[host, target] = links.get((host, target), 0) + 1
+
+    def flow(seeds, edges):
+        total = {}
+        for (a, _), n in edges.items():
+            total[a] = total.get(a, 0) + n
+        own = {h: s * (1 - damping) for h, s in seeds.items() if s}
+        score = dict(own)
+        for _ in range(rounds if edges else 0):
+            new = dict(own)
+            for (a, b), n in edges.items():
+                if a in score:
+                    new[b] = new.get(b, 0) + damping * score[a] * n / total[a]
+            score = new
+        return {h: s / (1 - damping) for h, s in score.items()}
+
+    share = lambda verdict: {h: v.count(verdict) / len(v) for h, v in pages.items()}
+    return flow(share("allow"), links), flow(share("block"), {(b, a): n for (a, b), n in links.items()})
+
+
+def linked_rows():
+    link = lambda *hosts: " ".join(f'<a href="https://{h}/x">t</a>' for h in hosts)
+    return [
+        (1, "http://good.example.org/fr/1", link("friend.example.org", "other.example.com")),
+        (2, "http://friend.example.org/en/1", link("good.example.org")),
+        (3, "http://farm.example.com/en/1", link("bad.net", "bad.net", "worse.net")),
+        (4, "http://bad.net/1", link("farm.example.com", "worse.net")),
+        (5, "http://worse.net/1", link("bad.net")),
+        (6, "http://second.example.com/en/1", link("farm.example.com")),
+        (7, "http://mixed.example.com/en/1", link("bad.net", "friend.example.org")),
+        (8, "http://alone.example.com/x", None),
+        (9, None, link("bad.net")),
+    ]
+
+
+def test_flow_over_links(spark):
+    rows = linked_rows()
+    trust, distrust = brute_flow(rows, url_filter.DAMPING, url_filter.ROUNDS)
+    got = {r["doc"]["page_id"]: r for r in url_filter.judge_urls(table(spark, rows)).collect()}
+    for i, url, _ in rows:
+        host, path = parts_of(url)
+        want = rule_of(host, path)[1] or ("block" if distrust.get(host, 0) - trust.get(host, 0) > url_filter.THRESHOLD else "allow")
+        assert got[i]["verdict"] == want, url
+    assert got[3]["verdict"] == "block" and got[2]["verdict"] == got[8]["verdict"] == got[9]["verdict"] == "allow"
+
+
+def test_verdicts_equal_their_sql(spark):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("create table pages (page_id bigint, url varchar, html varchar)")
+    rows = [*linked_rows(), *((100 + i, u, "<a href=//bad.net>") for i, u in enumerate(URLS))]
+    con.executemany("insert into pages values (?, ?, ?)", rows)
+    want = sorted(con.execute(url_filter.oracle_sql()).fetchall())
+    got = url_filter.judge_urls(table(spark, rows)).select("doc.page_id", "host", "path", "rule", "verdict").collect()
+    assert sorted(map(tuple, got)) == want
+
+
+def test_no_urls(spark):
+    assert url_filter.judge_urls(table(spark, [(1, "x", "y")]).where("page_id < 0")).collect() == []
+
+
+def text(page, template=frozenset()):
+    return html_main.main_text(html_main.parse(page), template)
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("", ""),
+        ("plain text", "plain text"),
+        ("<article><h1>A &amp; B</h1><p>one\n two<br>three<p>four <b>fi</b>ve</article>", "A & B one two three four five"),
+        ("<body><nav>menu</nav><header>top</header><p>text</p><footer>end</footer></body>", "text"),
+        ("<article>a<aside>b</aside><form>c</form><div class='comments'>d</div><script>if (a<b) e()</script>f</article>", "a f"),
+        ("<div class=ad>x</div><main><p>y</p><section id=comment-list>z</section></main>", "y"),
+        ("<article>cut <b>off in a tag <a hre", "cut off in a tag"),
+        ("<article>a<!-- b > c --><p>d</article><div>outside</div>", "a d"),
+        ("<p>1 < 2 &lt; 3 &eacute; &#8217; &nbsp; x</p>", "1 < 2 < 3 é ’ x"),
+        ("<article><header><h1>Title</h1></header><p>Body</p></article>", "Title Body"),
+        ("<style>a{}</style><title>t</title>x<textarea><p>y</textarea>z", "x z"),
+        ("<ul><li>a<li>b<ul><li>c</ul></ul>", "a b c"),
+        ("<div class='cookie-notice'>ok?</div><div role=banner>b</div><div class=content>c</div>", "c"),
+    ],
+)
+def test_main_text(page, want):
+    assert text(page) == want
+
+
+def test_deep_and_long_pages():
+    assert text("<div>" * 20_000 + "x") == "x"
+    assert text("<article>" + "<p>word</p>" * 50_000 + "</article>") == " ".join(["word"] * 50_000)
+    assert text("<a " * 5_000) == "" and text("<" * 5_000) == "<" * 5_000
+
+
+def page_of(site, n):
+    return f"<html><body><div id=t>About {site}<ul><li>Home<li>News</ul></div><div>story {n} of {site}</div><div>Read on</div></body></html>"
+
+
+def test_site_templates_are_removed(spark):
+    rows = [(i, f"http://site.org/{i}", page_of("site", i)) for i in range(12)]
+    rows += [(100 + i, f"http://few.org/{i}", page_of("few", i)) for i in range(2)]
+    rows += [(200, None, page_of("none", 1)), (201, "http://site.org/n", None), (202, "http://site.org/e", ""), (0, "http://site.org/0", page_of("site", 0))]
+    got = html_main.extract_main_text(table(spark, rows)).select("doc.page_id", "text").collect()
+    assert len(got) == len(rows)
+    for r in got:
+        i = r["page_id"]
+        if i < 100:
+            assert r["text"] == f"story {i} of site"
+        elif i in (100, 101):
+            assert r["text"] == f"About few Home News story {i - 100} of few Read on"
+        elif i == 200:
+            assert r["text"] == "About none Home News story 1 of none Read on"
+        else:
+            assert r["text"] == ""
+
+
+def test_recurring_passages_of_articles_stay(spark):
+    rows = [(i, f"http://site.org/{i}", f"<nav>menu</nav><article><p>the same passage</p><p>{i}</p></article>") for i in range(20)]
+    got = {r["page_id"]: r["text"] for r in html_main.extract_main_text(table(spark, rows)).select("doc.page_id", "text").collect()}
+    assert got == {i: f"the same passage {i}" for i in range(20)}
+
+
+def test_no_pages(spark):
+    assert html_main.extract_main_text(table(spark, [(1, "x", "y")]).where("page_id < 0")).collect() == []
