@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pyarrow as pa
@@ -32,12 +33,7 @@ ROW_BITS = 33
 
 def _folded(text: Column) -> Column:
     """The text with A-Z lower-cased; null becomes empty."""
-
-    @F.arrow_udf("string")
-    def fold(values: pa.Array) -> pa.Array:
-        return pa.array([v.lower() for v in texts_of(values)], pa.binary()).cast(pa.string())
-
-    return fold(text)
+    return F.translate(F.coalesce(text, F.lit("")), ascii_uppercase, ascii_lowercase)
 
 
 def _digest(text: Column) -> Column:
