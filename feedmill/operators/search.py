@@ -5,22 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from datetime import datetime
 
+import ahocorasick
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedmill.functions.columns import cutoff
 
-try:
-    import ahocorasick
-except ImportError:  # larger query tables then take more passes of the inline form
-    ahocorasick = None
-
-# Up to this many queries are tested one by one inside the JVM; from there on one pass for all
-# of them is faster, in spite of the way through Python (measured at sf0.1).
-INLINE_QUERIES = 4
-# Longest list of one pass where the automaton library is missing.
-INLINE_MAX = 256
 # Bounds of one list of queries sent to the executors; more queries take more passes.
 SHARD_QUERIES = 100_000
 SHARD_CHARS = 16_000_000
@@ -116,18 +107,6 @@ def _shards(queries: DataFrame, col: str, shard_queries: int, shard_chars: int)
         yield [row.q for row in mine.orderBy("q").collect()]
 
 
-def _tag_inline(df: DataFrame, words: list[str], out: str) -> DataFrame:
-    """Every query tested in the JVM; only hits become rows."""
-    terms = F.array(*[F.struct(F.lit(w).alias("q"), F.lower(F.lit(w)).alias("low")) for w in words])
-    # Inside the lambda each text is lower-cased once, not once per query.
-    texts = F.array(F.struct(F.lower("title").alias("title"), F.lower("body").alias("body")))
-    found = F.transform(
-        texts,
-        lambda t: F.filter(terms, lambda w: t["title"].contains(w["low"]) | t["body"].contains(w["low"])),
-    )
-    return df.select(*[c for c in df.columns if c != out], F.explode(found[0]["q"]).alias(out))
-
-
 def _tag_automaton(df: DataFrame, words: list[str], out: str) -> DataFrame:
     """All queries found in one pass over each text, so the cost does not grow with their number."""
     spark = df.sparkSession
@@ -161,23 +140,19 @@ def tag_matches(
     queries: DataFrame,
     query_col: str = "query",
     out: str = "query",
-    inline_queries: int = INLINE_QUERIES,
     shard_queries: int = SHARD_QUERIES,
     shard_chars: int = SHARD_CHARS,
 ) -> DataFrame:
     """One row per article and query it mentions, with the query in ``out``.
 
-    Articles are never shuffled or joined for this. A short list is tested inside the JVM; a
-    longer one goes through a multi-pattern automaton, list by list.
+    Articles are never shuffled or joined for this: every list, short or long, goes through a
+    multi-pattern automaton. A list beyond the bounds that keep the automaton small takes another pass.
     """
-    if ahocorasick is None:
-        shard_queries = min(shard_queries, INLINE_MAX)
     tagged = None
     for words in _shards(queries, query_col, shard_queries, shard_chars):
         if not words:
             continue
-        tag = _tag_inline if ahocorasick is None or len(words) <= inline_queries else _tag_automaton
-        part = tag(df, words, out)
+        part = _tag_automaton(df, words, out)
         tagged = part if tagged is None else tagged.unionByName(part)
     if tagged is None:
         names = [c for c in df.columns if c != out]

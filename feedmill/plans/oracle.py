@@ -425,6 +425,18 @@ ORACLE = {
         from (select script_id, max(start_time) as start_time, {_UPTIME} as s from runs group by script_id)"""),
     "continuous_ingest": _ingested(f" select {SHORT} from saved"),
     "one_shot_ingest": _ingested(f" select {SHORT} from saved"),
+    "multi_lane_ingest": with_views(f"""
+        select url, cast(1 as bigint) as copies from (
+          select url from (
+            select url, body, row_number() over (partition by "searchKey", url order by date desc, ingest_seq) as rn
+            from articles where article_id % 3 <> 0)
+          where rn = 1 and not contains(body, '{PHRASE}')
+          union
+          select url from (
+            select url, case when article_id % 7 <> 0 then body end as body,
+              row_number() over (partition by "searchKey", url order by date desc, ingest_seq) as rn
+            from articles where article_id % 13 <> 0 and article_id % 2 = 0)
+          where rn = 1 and (body is null or not contains(body, '{PHRASE}')))"""),
     "stream_dedupe_url": with_views("select distinct url from articles"),
     "ingest_metrics": _ingested(f"""
         select cast(0 as bigint) as batch, (select count(*) from articles where date < timestamp '{STORE_CUT}') as found,

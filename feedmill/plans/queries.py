@@ -573,6 +573,21 @@ def one_shot_ingest(spark, sf_dir):
     return plain(two_waves(spark, sf_dir, once=True)[1].select(*SHORT))
 
 
+@query
+def multi_lane_ingest(spark, sf_dir):
+    """Search and aggregator records of overlapping URLs into one store, by one writer."""
+    root = scratch_path(spark, "lanes")
+    job = Ingest(
+        f"{root}/search", f"{root}/store", f"{root}/checkpoint", f"{root}/metrics", phrases=[fx.PHRASE], buckets=8,
+        more=(("aggregator", f"{root}/aggregator"),),
+    )
+    articles = fx.articles(spark, sf_dir)
+    land(spark, articles.where("article_id % 3 <> 0"), job.landing)
+    raw_aggregator(spark, sf_dir).where("url is not null and ingest_seq % 2 = 0").write.json(f"{root}/aggregator")
+    start_ingest(spark, job, once=True).awaitTermination()
+    return read_store(spark, job.store).groupBy("url").agg(F.count("*").alias("copies"))
+
+
 @query
 def stream_dedupe_url(spark, sf_dir):
     """Distinct URLs let through by the bounded-state dedupe."""

@@ -22,6 +22,7 @@ from feedmill.session import scratch_path
 
 BUCKET = "bucket"
 BUCKETS = 64
+WRITER = "_writer"
 
 
 def bucket_of(key: Column, buckets: int) -> Column:
@@ -57,6 +58,40 @@ def read_store(
         return spark.createDataFrame([], whole)
 
 
+def _writer_file(spark: SparkSession, path: str):
+    """The store's file system, and the file in it that names its writer (hidden from readers)."""
+    jvm = spark.sparkContext._jvm
+    file = jvm.org.apache.hadoop.fs.Path(path, WRITER)
+    return file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), file
+
+
+def claim_store(spark: SparkSession, path: str, writer: str) -> None:
+    """Make ``writer`` the one writer of a store; an error if another one is.
+
+    The name is put down once and for all, so the same writer may come back after a failure.
+    """
+    fs, file = _writer_file(spark, path)
+    try:
+        out = fs.create(file, False)
+    except Exception as refused:  # py4j hands on any Java error
+        if not fs.exists(file):
+            raise
+        stored = fs.open(file)
+        owner = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stored, "UTF-8")
+        stored.close()
+        if owner != writer:
+            raise RuntimeError(f"{path} is written by {owner}; release_store gives it free") from refused
+        return
+    out.write(bytearray(writer.encode()))
+    out.close()
+
+
+def release_store(spark: SparkSession, path: str) -> None:
+    """Let another writer claim a store whose writer has stopped for good."""
+    fs, file = _writer_file(spark, path)
+    fs.delete(file, False)
+
+
 def near_store(store: DataFrame, batch: DataFrame, buckets: int) -> DataFrame:
     """The buckets of the store that a batch can meet; others are not even listed.
 

@@ -3,21 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from feedmill.operators.clean import clean, keep_one
-from feedmill.operators.store import insert_counts, insert_new
+from feedmill.operators.store import insert_counts, insert_new, last_in_batch
 from feedmill.schema import AGGREGATOR_RECORD, ARTICLE, ATOM_ENTRY, BOILERPLATE, RSS_ITEM, SEARCH_RECORD
 from feedmill.session import use_utc
 from feedmill.sources.landing import atom_entries, feed_reader, readable, records, rss_items, with_arrival
 from feedmill.sources.normalize import normalize_aggregator, normalize_rss, normalize_search, to_articles
-from feedmill.sources.sink import BUCKETS, append_articles, near_store, read_store
+from feedmill.sources.sink import BUCKETS, append_articles, claim_store, near_store, read_store
 
 POLL = "30 seconds"
+LANE = "_lane"
 METRICS = "found long, kept long, skipped long, saved long"
 
 
@@ -26,6 +28,8 @@ class Ingest:
     """What an ingest reads and where it writes; all folders belong in shared storage.
 
     ``lane`` is ``search``, ``aggregator``, ``rss`` or ``atom``; the last two need the source registry.
+    ``more`` holds further lanes, as (lane, landing folder): a store has one writer, so collectors that share
+    a store are lanes of one ingest, not ingests of their own.
     """
 
     landing: str
@@ -36,10 +40,21 @@ class Ingest:
     phrases: Sequence[str] = BOILERPLATE
     buckets: int = BUCKETS
     max_files: int = 1000
+    more: Sequence[tuple[str, str]] = ()
+
+    def lanes(self) -> list[Ingest]:
+        """One ingest for each lane, in the order in which a URL's copies win."""
+        return [replace(self, more=()), *(replace(self, lane=lane, landing=path, more=()) for lane, path in self.more)]
 
 
 def landed(spark: SparkSession, job: Ingest) -> DataFrame:
-    """The landing folder as a stream of new files."""
+    """The landing folder as a stream of new files; of several lanes each in a struct of its own."""
+    if job.more:
+        lanes = [
+            landed(spark, one).select(F.lit(i).alias(LANE), F.struct("*").alias(f"{LANE}{i}"))
+            for i, one in enumerate(job.lanes())
+        ]
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), lanes)
     reader = spark.readStream.option("maxFilesPerTrigger", job.max_files)
     if job.lane == "rss":
         return rss_items(feed_reader(reader, "item", RSS_ITEM).load(job.landing))
@@ -53,7 +68,16 @@ def prepare(found: DataFrame, job: Ingest, registry: DataFrame | None = None) ->
 
     API lanes are cleaned topic by topic; of a URL found under several topics the first topic's
     copy is kept, as topics are saved one after the other. Feed entries are saved as they come.
+    Of a URL found in several lanes the copy of the first lane is kept.
     """
+    if job.more:
+        parts = [
+            last_in_batch(prepare(found.where(F.col(LANE) == i).select(f"{LANE}{i}.*"), one, registry))
+            .select(*ARTICLE.fieldNames())
+            .withColumn(LANE, F.lit(i))
+            for i, one in enumerate(job.lanes())
+        ]
+        return keep_one(reduce(DataFrame.unionByName, parts), ["url"], F.asc(LANE)).drop(LANE)
     found = with_arrival(readable(found))
     if job.lane in ("rss", "atom"):
         return to_articles(normalize_rss(found, registry, F.current_timestamp()))
@@ -91,8 +115,12 @@ def _save_batch(job: Ingest, registry: DataFrame | None, found: DataFrame, batch
 def start_ingest(
     spark: SparkSession, job: Ingest, once: bool = False, registry: DataFrame | None = None, poll: str = POLL
 ) -> StreamingQuery:
-    """Poll the landing folder for ever, or with ``once`` take what is there and stop."""
+    """Poll the landing folders for ever, or with ``once`` take what is there and stop.
+
+    The job claims its store under the name of its checkpoint: a second job on the same store is an error.
+    """
     use_utc(spark)
+    claim_store(spark, job.store, job.checkpoint)
     writer = (
         landed(spark, job)
         .writeStream.foreachBatch(lambda found, batch_id: _save_batch(job, registry, found, batch_id))

@@ -171,3 +171,31 @@ def test_dates(spark):
     df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(DATES)], "i int, date string")
     got = [r.date for r in C.parse_dates(df).orderBy("i").collect()]
     assert got == [want for _, want in DATES]
+
+
+AS_THE_READER_DOES = [
+    "2024/01/02 10:00", "20240102T030405Z", "20240102T0304", "Tue, 02 Jan 2024 03:04:05.123 GMT", "02.01.2024 10:00", "13.01.2024",
+    "Tue Jan  2 03:04:05 2024", "Tue Jan 2 03:04:05 UTC 2024", "Jan 2, 2024 3pm", "2024-01-02 3:04 PM", "2024-01-02 10:00 Z",
+    " 2024-01-02 10:00 UTC", "2024-01-02T03:04:05.678901+05:30", "2 January 2024", "January 2nd, 2024", "2nd of January 2024", "1/2/2024",
+    "25/12/2023 8:15", "12-25-2023", "2024.01.02 03:04:05", "2 Jan 24 03:04", "Jan 2 2024 12:00 AM", "Jan 2 2024 12:30 pm", "2024 Jan 2 04:05",
+    "Sat, 3 Feb 2024 23:59:59 -0800", "3 Feb 2024 01:02 +02", "Sept 5, 2023 7:08 a.m.", "2024-1-5", "2024-02-29 00:00:00", "5 May 1999 11:12:13",
+]
+
+
+def test_dates_as_an_independent_parser_reads_them(spark):
+    from datetime import timezone
+
+    from dateutil import parser
+
+    df = spark.createDataFrame(list(enumerate(AS_THE_READER_DOES)), "i int, date string")
+    got = [r.date for r in C.parse_dates(df).orderBy("i").collect()]
+    for text, date in zip(AS_THE_READER_DOES, got):
+        want = parser.parse(text)
+        want = want.astimezone(timezone.utc).replace(tzinfo=None) if want.tzinfo else want
+        assert date == want, text
+
+
+def test_what_is_no_date(spark):
+    texts = ["tomorrow", "12", "2024", "10:00", "32 Jan 2024", "2024-02-30", "Jan 2024 or so", "see 2024-01-02 in the paper", "1/2/3/4", "99/99/2024"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, date string")
+    assert [r.date for r in C.parse_dates(df).orderBy("i").collect()] == [None] * len(texts)

@@ -59,7 +59,7 @@ def test_widening(corpus):
 
 @pytest.mark.parametrize(
     "bounds",
-    [{"inline_queries": 100}, {"inline_queries": 0}, {"inline_queries": 1, "shard_queries": 2}, {"shard_chars": 4}],
+    [{}, {"shard_queries": 2}, {"shard_queries": 1}, {"shard_chars": 4}],
 )
 def test_tagging_against_brute_force(spark, bounds):
     words = ["the", "The", "he", "her", "a", "ß", "É", "", None, "there is", "zzz", "a+b", "the"]
@@ -78,14 +78,6 @@ def test_tagging_against_brute_force(spark, bounds):
     assert got == want
 
 
-def test_tagging_without_the_automaton_library(spark, monkeypatch):
-    monkeypatch.setattr(Q, "ahocorasick", None)
-    monkeypatch.setattr(Q, "INLINE_MAX", 3)
-    df = spark.createDataFrame([(1, "abc", "def")], "id int, title string, body string")
-    queries = spark.createDataFrame([(c,) for c in "abcdefgh"], "query string")
-    assert sorted(r.query for r in Q.tag_matches(df, queries).collect()) == list("abcdef")
-
-
 def test_tagging_with_no_queries(corpus, spark):
     out = Q.tag_matches(corpus, spark.createDataFrame([], "query string"))
     assert out.count() == 0 and out.columns == [*corpus.columns, "query"]

@@ -137,3 +137,44 @@ def test_no_machine_local_scratch_on_a_cluster(monkeypatch, master, ok):
             session.scratch_root(fake)
         conf[session.CHECKPOINT_DIR] = "hdfs:///shared"
         assert session.scratch_path(fake, "x").startswith("hdfs:///shared/x-")
+
+
+def rss_landing(path, feed, links):
+    folder = path / f"feed={quote(feed, safe='')}"
+    folder.mkdir(parents=True)
+    items = "".join(f"<item><title>rss</title><link>{u}</link><pubDate>Tue, 02 Jan 2024 03:04:05 GMT</pubDate></item>" for u in links)
+    (folder / "1.xml").write_text(f"<rss><channel>{items}</channel></rss>")
+
+
+def test_several_lanes_into_one_store(spark, tmp_path):
+    for name in ("agg", "rss"):
+        (tmp_path / name).mkdir()
+    j = job(tmp_path, more=(("aggregator", str(tmp_path / "agg")), ("rss", str(tmp_path / "rss"))))
+    registry = seed_sources(spark, datetime(2024, 1, 1))
+    land(j, "1", *[record(f"u{i}", "gold", i) for i in range(20)])
+    with open(tmp_path / "agg" / "1.json", "w") as out:
+        out.writelines(json.dumps({"url": f"u{i}", "title": "agg", "description": "d", "publisher": {"href": "h"}, "topic": "tin"}) + "\n" for i in range(10, 30))
+    rss_landing(tmp_path / "rss", "https://www.politico.eu/rss", [f"u{i}" for i in range(25, 40)] + ["u39"])
+    for _ in range(2):
+        I.start_ingest(spark, j, once=True, registry=registry).awaitTermination()
+    got = {r.url: r.title for r in read_store(spark, j.store).collect()}
+    assert read_store(spark, j.store).count() == 40
+    assert got == {f"u{i}": f"t{i}" if i < 20 else "agg" if i < 30 else "rss" for i in range(40)}
+    assert metrics(spark, j) == [(0, 56, 40, 0, 40)]
+
+
+def test_a_second_writer_is_refused(spark, tmp_path):
+    from dataclasses import replace
+
+    from feedmill.sources.sink import release_store
+
+    j = job(tmp_path)
+    land(j, "1", record("a", "gold", 1))
+    I.start_ingest(spark, j, once=True).awaitTermination()
+    other = replace(j, checkpoint=str(tmp_path / "other"))
+    with pytest.raises(RuntimeError, match="is written by"):
+        I.start_ingest(spark, other, once=True)
+    I.start_ingest(spark, j, once=True).awaitTermination()
+    release_store(spark, j.store)
+    I.start_ingest(spark, other, once=True).awaitTermination()
+    assert stored(spark, j) == [("a", "t1", "gold")]
