@@ -204,8 +204,9 @@ def search(
     """The ``k`` largest inner products found for each query: query_id, rank (from 1), vec_id, score.
 
     ``queries`` and ``base`` share their columns; a query never finds rows of its own id. Ties go to the
-    smaller id. Vectors that are null, zero, or hold null or non-finite components take no part, nor do rows
-    with a null id or with another length than most vectors have. The rotation and, unless given, the radius are
+    smaller id. An id that is asked several times is asked once, with its smallest vector; as rows to be found, repeated
+    ids are rows of their own. Vectors that are null, zero, or hold null or non-finite components take no part, nor do
+    rows with a null id or with another length than most vectors have. The rotation and, unless given, the radius are
     learnt on at most ``sample`` rows (those with the smallest hash of their id); every row is indexed.
     """
     spark = base.sparkSession
@@ -220,6 +221,7 @@ def search(
     if lengths is None:
         return spark.createDataFrame([], schema)
     rows, asked = (df.where(F.size("vector") == lengths["length"]) for df in (rows, asked))
+    asked = asked.groupBy("id").agg(F.min("vector").alias("vector"))
     learnt = rows.orderBy(F.xxhash64("id"), "id").limit(sample).select("vector").toArrow()
     vectors = _matrix(learnt["vector"])
     learnt_codes = learn_codes(vectors)
@@ -228,10 +230,12 @@ def search(
 
     blocks = max(1, -(-lengths["n"] // block_rows))
     groups = max(1, -(-asked.count() // query_rows))
-    dealt = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+    # Rows are dealt by their place as well as their id, so that no id can fill a block with its rows.
+    spread = F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(blocks)).cast("int")
+    dealt = F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    base_side = rows.select("id", "vector", dealt(blocks).alias("block"), every(groups).alias("part"))
-    query_side = asked.select("id", "vector", every(blocks).alias("block"), dealt(groups).alias("part"))
+    base_side = rows.withColumn("block", spread).select("id", "vector", "block", every(groups).alias("part"))
+    query_side = asked.select("id", "vector", every(blocks).alias("block"), dealt.alias("part"))
     found = (
         query_side.groupBy("block", "part")
         .cogroup(base_side.groupBy("block", "part"))

@@ -28,6 +28,7 @@ from feedmill.llm.frames import DOC, bounded_batches, packed, staged, texts_of
 WORDS = 3
 SEED = 42
 DISTANCE = 2
+SPLIT_PRINTS = 1 << 14
 SEGMENTS = ((0, 23), (23, 23), (46, 18))
 GENERATOR = 0b110001110101  # of the binary Golay code: x^11+x^10+x^6+x^5+x^4+x^2+1
 
@@ -134,6 +135,26 @@ def spanning(prints: np.ndarray, distance: int) -> Iterator[tuple[int, np.ndarra
                 rest = rest[~near]
 
 
+def near_pairs(prints: np.ndarray, distance: int, split: int = SPLIT_PRINTS) -> Iterator[tuple[int, np.ndarray]]:
+    """Links that connect all distinct prints within ``distance`` bits of each other, like ``spanning``.
+
+    More than ``split`` prints are first divided: of the bits in which they vary, cut into ``distance`` + 1 parts, near
+    prints agree in at least one whole part. So comparing those with an equal part, part after part, misses none.
+    """
+    varying = int(np.bitwise_or.reduce(prints ^ prints[0]))
+    places = [b for b in range(64) if varying >> b & 1]
+    if prints.size <= split or len(places) <= distance + 1:
+        yield from spanning(prints, distance)
+        return
+    for i in range(distance + 1):
+        part = prints & np.uint64(sum(1 << b for b in places[i :: distance + 1]))
+        order = np.argsort(part, kind="stable")
+        edges = np.flatnonzero(np.diff(part[order])) + 1
+        for same in np.split(prints[order], edges):
+            if same.size > 1:
+                yield from near_pairs(same, distance, split)
+
+
 def _links(distance: int):
     """Links within each key; the rows come sorted by key."""
 
@@ -145,7 +166,7 @@ def _links(distance: int):
         near = np.bitwise_count(prints[two] ^ prints[two + 1]) <= distance
         us, vs = [prints[two][near]], [prints[two + 1][near]]
         for a, b in zip(starts[sizes > 2].tolist(), ends[sizes > 2].tolist()):
-            for one, found in spanning(prints[a:b], distance):
+            for one, found in near_pairs(prints[a:b], distance):
                 us.append(np.full(found.size, one, np.uint64))
                 vs.append(found)
         u, v = np.concatenate(us).view(np.int64), np.concatenate(vs).view(np.int64)

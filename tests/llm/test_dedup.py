@@ -131,6 +131,18 @@ def test_links_connect_what_is_near_and_nothing_else(spark):
     assert roots_of(prints, near) == roots_of(prints, [(whole(r["u"]), whole(r["v"])) for r in links])
 
 
+@pytest.mark.parametrize("split", [2, 7, 100, 1 << 14])
+def test_near_pairs_are_the_same_however_divided(split):
+    rng = random.Random(split)
+    base = rng.getrandbits(64)
+    prints = {base ^ sum(1 << b for b in rng.sample(range(64), rng.choice([1, 2, 3, 9, 12]))) for _ in range(400)}
+    prints = sorted(prints)
+    near = [(a, b) for a in prints for b in prints if a < b and (a ^ b).bit_count() <= 2]
+    found = [(int(u), int(v)) for u, vs in simhash.near_pairs(np.array(prints, np.uint64), 2, split) for v in vs]
+    assert all((u ^ v).bit_count() <= 2 for u, v in found)
+    assert roots_of(prints, near) == roots_of(prints, found)
+
+
 @pytest.mark.parametrize("shape", ["chain", "star", "random", "none"])
 def test_components(spark, shape):
     rng = random.Random(shape)

@@ -186,6 +186,15 @@ def test_ann_with_few_or_no_candidates(spark):
     assert ann.search(rows, none).collect() == []
 
 
+def test_ann_with_repeated_rows(spark):
+    rows = vectors(spark, n=41).where("vec_id in (0, 3, 20, 21)")
+    several = rows.union(rows.where("vec_id in (0, 3)")).repartition(3)
+    got = ann.search(several, several.where("vec_id % 20 = 0"), block_rows=2, query_rows=1).collect()
+    found = {q: sorted((r["rank"], r["vec_id"]) for r in got if r["query_id"] == q) for q in (0, 20)}
+    assert [r for r, _ in found[0]] == [1, 2, 3, 4] and sorted(v for _, v in found[0]) == [3, 3, 20, 21]
+    assert [r for r, _ in found[20]] == [1, 2, 3, 4, 5] and sorted(v for _, v in found[20]) == [0, 0, 3, 3, 21]
+
+
 @pytest.mark.parametrize("radius", [0, 3, 9, 14, 64])
 def test_probing_finds_every_code_within_the_radius(radius):
     rng = np.random.default_rng(radius)
