@@ -188,6 +188,20 @@ def _ingested(body: str) -> str:
     return with_views("select 1 from articles").rsplit("select 1 from articles", 1)[0].rstrip() + "," + _INGESTED + body
 
 
+#: A batch whose even rows are written once more.
+WRITES = """
+    select url, ingest_seq * 2 as n, struct_pack(t := title, x := body, k := "searchKey", i := image) as cur from batch
+    union all
+    select url, ingest_seq * 2 + 1, struct_pack(t := title, x := body, k := "searchKey", i := image) from batch where ingest_seq % 2 = 0"""
+#: Feeds found in pages and, after them, those that a probe has confirmed.
+CONFIRMED_TOO = """
+    select domain, feed_url, feed_title, "references" from (
+      select *, row_number() over (partition by domain, feed_url order by priority) as rn from (
+        select domain, url as feed_url, title as feed_title, priority, "references" from suggested
+        union all
+        select c.domain, c.url, c.title, 3, w."references" from confirmed c join wanted w on w.domain = c.domain))
+    where rn = 1"""
+
 ORACLE = {
     "normalize_search_feed": with_views(f"select body, {SHORT} from search_lane"),
     "normalize_aggregator_feed": with_views(f"select body, {SHORT} from aggregator_lane"),
@@ -224,6 +238,7 @@ ORACLE = {
     "existing_keys": with_views("select distinct url from batch where url in (select url from store)"),
     "upsert_by_url": with_views("""
         select coalesce(b.url, s.url) as url, case when b.url is null then s.title else b.title end as title,
+          case when b.url is null then s.body else b.body end as body,
           case when b.url is null then s.date else b.date end as date, b.image,
           case when b.url is null then s.ingest_seq else b.ingest_seq end as ingest_seq, s.source as first_source
         from store s full join batch_last b on b.url = s.url"""),
@@ -231,16 +246,14 @@ ORACLE = {
     "write_counts": with_views("""
         select 'upsert' as mode, count(*) filter (where prev is null or prev is distinct from cur) as saved,
           cast(0 as bigint) as skipped
-        from (select struct_pack(k := b."searchKey", i := b.image) as cur,
-                coalesce(lag(struct_pack(k := b."searchKey", i := b.image)) over (partition by b.url order by b.ingest_seq),
-                         case when s.url is not null then struct_pack(k := s."searchKey", i := s.image) end) as prev
-              from batch b left join store s on s.url = b.url)
+        from (select w.cur, coalesce(lag(w.cur) over (partition by w.url order by w.n),
+                case when s.url is not null then struct_pack(t := s.title, x := s.body, k := s."searchKey", i := s.image) end) as prev
+              from writes w left join store s on s.url = w.url)
         union all
         select 'insert', count(*) filter (where s.url is null and (prev is null or prev is distinct from cur)),
           count(*) filter (where s.url is not null)
-        from (select b.url, struct_pack(k := b."searchKey", i := b.image) as cur,
-                lag(struct_pack(k := b."searchKey", i := b.image)) over (partition by b.url order by b.ingest_seq) as prev
-              from batch b) b left join store s on s.url = b.url"""),
+        from (select url, cur, lag(cur) over (partition by url order by n) as prev from writes) w
+        left join store s on s.url = w.url""".replace("from writes", f"from ({WRITES})")),
     "repair_string_dates": with_views("""
         select article_id, case when article_id % 3 <> 0 then date
           when article_id % 5 <> 0 then date_trunc('second', date) end as date from articles"""),
@@ -250,6 +263,7 @@ ORACLE = {
     "sink_articles": with_views(f"""
         select body, {SHORT} from store where url not in (select url from batch)
         union all select body, {SHORT} from batch_last"""),
+    "compact_store": with_views(f"select body, {SHORT} from store"),
     "keyword_search": with_views(_hits("the", 7, f"article_id, {SHORT}")),
     "source_filter": with_views(
         _hits("the", 30, f"article_id, {SHORT}", "and source in ('src1', 'src2', 'src7')")
@@ -381,22 +395,16 @@ ORACLE = {
     "feed_path_candidates": with_views("select domain, path, url from addresses"),
     "confirm_feeds": with_views("select domain, url, title from confirmed"),
     "dedupe_feeds": with_views("select domain, url, title, priority, page from feeds"),
-    "suggest_sources": with_views("""
-        select domain, feed_url, feed_title, "references" from (
-          select *, row_number() over (partition by domain, feed_url order by priority) as rn from (
-            select domain, url as feed_url, title as feed_title, priority, "references" from suggested
-            union all
-            select c.domain, c.url, c.title, 3, w."references" from confirmed c join wanted w on w.domain = c.domain))
-        where rn = 1"""),
-    "suggestion_report": with_views("""
+    "suggest_sources": with_views(f'select domain, feed_url, feed_title, "references" from ({CONFIRMED_TOO})'),
+    "suggestion_report": with_views(f"""
         select domain, max("references") over (partition by domain) as "references",
-          count(*) over (partition by domain) as feeds, title as feed_title, url as feed_url from suggested"""),
+          count(*) over (partition by domain) as feeds, feed_title, feed_url from ({CONFIRMED_TOO})"""),
     "accept_suggestions": with_views(f"""
         select site, "RSS", source, category, active, cast(null as timestamp) as added_date,
           cast(null as timestamp) as last_updated from sources
         union all
-        select concat('www.', domain), url, title, 'discovered', true, timestamp '{AS_OF}', timestamp '{AS_OF}'
-        from suggested where (concat('www.', domain), url) not in (select (site, "RSS") from sources)"""),
+        select concat('www.', domain), feed_url, feed_title, 'discovered', true, timestamp '{AS_OF}', timestamp '{AS_OF}'
+        from ({CONFIRMED_TOO}) where (concat('www.', domain), feed_url) not in (select (site, "RSS") from sources)"""),
     "article_count": with_views("select count(*) as articles from articles"),
     "unique_url_count": with_views("""
         select count(*) as unique_urls from (
@@ -437,6 +445,8 @@ ORACLE = {
               row_number() over (partition by "searchKey", url order by date desc, ingest_seq) as rn
             from articles where article_id % 13 <> 0 and article_id % 2 = 0)
           where rn = 1 and (body is null or not contains(body, '{PHRASE}')))"""),
+    "rejected_records": with_views("""
+        select concat('{"lost": ', ingest_seq) as line, 'search' as lane from articles where ingest_seq % 10 = 0"""),
     "stream_dedupe_url": with_views("select distinct url from articles"),
     "ingest_metrics": _ingested(f"""
         select cast(0 as bigint) as batch, (select count(*) from articles where date < timestamp '{STORE_CUT}') as found,

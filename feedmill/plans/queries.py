@@ -21,7 +21,7 @@ from feedmill.operators import topics as T
 from feedmill.plans import fixtures as fx
 from feedmill.session import scratch_path, use_utc
 from feedmill.sources.normalize import normalize_aggregator, normalize_rss, normalize_search, to_articles, union_feeds
-from feedmill.sources.sink import insert_articles, read_store, upsert_articles
+from feedmill.sources.sink import compact_store, insert_articles, read_store, upsert_articles
 from feedmill.streaming.ingest import Ingest, dedupe_stream, ingest_metrics, start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -212,8 +212,8 @@ def existing_keys(spark, sf_dir):
 @query
 def upsert_by_url(spark, sf_dir):
     store, batch = store_and_batch(spark, sf_dir)
-    held = store.select("url", "title", "date", "ingest_seq", F.col("source").alias("first_source"))
-    return K.upsert(held, batch.select("url", "title", "date", "image", "ingest_seq"))
+    held = store.select("url", "title", "body", "date", "ingest_seq", F.col("source").alias("first_source"))
+    return K.upsert(held, batch.select("url", "title", "body", "date", "image", "ingest_seq"))
 
 
 @query
@@ -224,8 +224,10 @@ def insert_new_only(spark, sf_dir):
 
 @query
 def write_counts(spark, sf_dir):
-    # Few columns, so that many writes change nothing.
-    store, batch = (df.select("url", "searchKey", "image", "ingest_seq") for df in store_and_batch(spark, sf_dir))
+    """Of a batch whose even rows are written once more, so that many writes change nothing."""
+    store, batch = (df.select("url", "title", "body", "searchKey", "image", "ingest_seq") for df in store_and_batch(spark, sf_dir))
+    again = batch.where("ingest_seq % 2 = 0").withColumn("ingest_seq", F.col("ingest_seq") * 2 + 1)
+    batch = batch.withColumn("ingest_seq", F.col("ingest_seq") * 2).union(again)
     upserts = K.upsert_counts(store, batch).select(
         F.lit("upsert").alias("mode"), "saved", F.lit(0).cast("long").alias("skipped")
     )
@@ -266,6 +268,17 @@ def sink_articles(spark, sf_dir):
     return plain(read_store(spark, path).select("body", *SHORT))
 
 
+@query
+def compact_store_(spark, sf_dir):
+    """Four appended batches merged, then read back."""
+    path = scratch_path(spark, "compacted")
+    store, _ = store_and_batch(spark, sf_dir)
+    for part in range(4):
+        insert_articles(to_articles(store.where(F.col("ingest_seq") % 4 == part).drop("article_id")), path, buckets=8)
+    compact_store(spark, path, buckets=8)
+    return plain(read_store(spark, path).select("body", *SHORT))
+
+
 # Search
 
 
@@ -488,12 +501,12 @@ def suggest_sources(spark, sf_dir):
 
 @query
 def suggestion_report(spark, sf_dir):
-    return X.suggestion_report(suggested(spark, sf_dir))
+    return X.suggestion_report(suggested(spark, sf_dir, with_probes=True))
 
 
 @query
 def accept_suggestions(spark, sf_dir):
-    merged = X.accept(suggested(spark, sf_dir), fx.sources(spark, sf_dir), fx.AS_OF)
+    merged = X.accept(suggested(spark, sf_dir, with_probes=True), fx.sources(spark, sf_dir), fx.AS_OF)
     return plain(merged)
 
 
@@ -588,6 +601,23 @@ def multi_lane_ingest(spark, sf_dir):
     return read_store(spark, job.store).groupBy("url").agg(F.count("*").alias("copies"))
 
 
+@query
+def rejected_records(spark, sf_dir):
+    """Lines of which the last characters were lost, as an ingest keeps them apart."""
+    root = scratch_path(spark, "rejects")
+    job = Ingest(
+        f"{root}/landing", f"{root}/store", f"{root}/checkpoint", f"{root}/metrics", phrases=[fx.PHRASE], buckets=8,
+        rejects=f"{root}/rejects",
+    )
+    articles = fx.articles(spark, sf_dir).select("url", "title", "body", F.col("searchKey").alias("topic"), "ingest_seq")
+    line = F.to_json(F.struct("url", "title", "body", "topic", "ingest_seq"))
+    # A cut line still tells its number at the front.
+    cut = F.when(F.col("ingest_seq") % 10 == 0, F.concat(F.lit('{"lost": '), F.col("ingest_seq").cast("string"))).otherwise(line)
+    articles.select(cut.alias("value")).write.text(job.landing)
+    start_ingest(spark, job, once=True).awaitTermination()
+    return spark.read.schema("line string, lane string, batch long").parquet(job.rejects).select("line", "lane")
+
+
 @query
 def stream_dedupe_url(spark, sf_dir):
     """Distinct URLs let through by the bounded-state dedupe."""

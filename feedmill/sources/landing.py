@@ -38,6 +38,11 @@ def readable(df: DataFrame) -> DataFrame:
     return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT) if CORRUPT in df.columns else df
 
 
+def rejected(df: DataFrame) -> DataFrame:
+    """The lines that could not be read, as ``line``."""
+    return df.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line"))
+
+
 def _feed() -> Column:
     """Feed address from a folder ``feed=…``: URL-encoded there, and once more as a file path."""
     folder = F.regexp_extract(F.col("_metadata.file_path"), r"/feed=([^/]+)/", 1)

@@ -1,28 +1,30 @@
-"""The stored corpus: Parquet in buckets of the URL hash.
+"""The stored corpus: Parquet in buckets of the URL hash, each bucket in its current version.
 
-Inserts append. An upsert rewrites only the buckets it touches: their new content is written to
-the shared scratch folder first, as Spark cannot overwrite files it is reading, and then
-replaces those partitions. An upsert that failed before the replacement can simply be run again;
-after a failure within it the staged copy still holds every touched bucket, and
-``replace_buckets`` puts it in place.
+Files lie in ``bucket=<b>/version=<v>``; a small file beside them says which version of a bucket counts. Inserts
+append to the current versions. An upsert, or a compaction, writes the next version of the buckets it touches, once,
+and then switches all of them with one new ``_current`` file: readers see the store before it or after it. What an
+interrupted one left behind is never read, and the next one writes over it. The version before the current one
+stays for readers that are still at it; older ones are removed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import uuid
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedmill.operators.store import insert_counts, insert_new, upsert, upsert_counts
+from feedmill.operators.store import existing_keys, insert_counts, insert_new, upsert, upsert_counts
 from feedmill.schema import ARTICLE, REQUIRED
-from feedmill.session import scratch_path
 
-BUCKET = "bucket"
+BUCKET, VERSION = "bucket", "version"
 BUCKETS = 64
 WRITER = "_writer"
+CURRENT = "_current."
 
 
 def bucket_of(key: Column, buckets: int) -> Column:
@@ -30,39 +32,100 @@ def bucket_of(key: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
-def _write(df: DataFrame, path: str, key: str, buckets: int, files_per_bucket: int, mode: str) -> None:
-    """One shuffle puts a bucket's rows into ``files_per_bucket`` tasks, so files stay few and even."""
-    placed = df.withColumn(BUCKET, bucket_of(F.col(key), buckets))
+def _files(spark: SparkSession, path: str, name: str | None = None):
+    """File system and Hadoop path of a store, or of something in it."""
+    jvm = spark.sparkContext._jvm
+    file = jvm.org.apache.hadoop.fs.Path(path, name) if name else jvm.org.apache.hadoop.fs.Path(path)
+    return file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), file
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    """What lies directly in a store: buckets and switches, no data files."""
+    fs, folder = _files(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+
+
+def _text(spark: SparkSession, path: str, name: str) -> str:
+    fs, file = _files(spark, path, name)
+    stored = fs.open(file)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stored, "UTF-8")
+    finally:
+        stored.close()
+
+
+def _put(spark: SparkSession, path: str, name: str, text: str) -> None:
+    fs, file = _files(spark, path, name)
+    out = fs.create(file, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def current_versions(spark: SparkSession, path: str) -> dict[int, int]:
+    """Version of every bucket that an upsert or a compaction has rewritten; all others are at 0."""
+    switches = [int(n.removeprefix(CURRENT)) for n in _names(spark, path) if n.startswith(CURRENT)]
+    if not switches:
+        return {}
+    return {int(b): v for b, v in json.loads(_text(spark, path, f"{CURRENT}{max(switches)}")).items()}
+
+
+def _switch(spark: SparkSession, path: str, versions: dict[int, int]) -> None:
+    """Make ``versions`` the current ones. The file gets its name when it is whole, and none is ever written over."""
+    switches = sorted(int(n.removeprefix(CURRENT)) for n in _names(spark, path) if n.startswith(CURRENT))
+    number = switches[-1] + 1 if switches else 0
+    made = f"_{uuid.uuid4().hex}"
+    _put(spark, path, made, json.dumps(versions))
+    fs, ready = _files(spark, path, made)
+    if not fs.rename(ready, _files(spark, path, f"{CURRENT}{number}")[1]):
+        raise RuntimeError(f"{path} was switched by another writer")
+    for old in switches[:-1]:
+        fs.delete(_files(spark, path, f"{CURRENT}{old}")[1], False)
+
+
+def _write(
+    df: DataFrame,
+    path: str,
+    versions: dict[int, int],
+    key: str = "url",
+    buckets: int = BUCKETS,
+    files_per_bucket: int = 1,
+    mode: str = "append",
+) -> None:
+    """One shuffle puts a bucket's rows into ``files_per_bucket`` tasks, so files stay few and even.
+
+    Rows are in order of date within a file, so that a look-back can skip row groups.
+    """
+    known = {b: v for b, v in versions.items() if v}
+    version = F.lit(0)
+    if known:
+        numbers = F.create_map(*[F.lit(n) for pair in known.items() for n in pair])
+        version = F.coalesce(F.try_element_at(numbers, F.col(BUCKET)), version)
+    placed = df.withColumn(BUCKET, bucket_of(F.col(key), buckets)).withColumn(VERSION, version)
     part = F.pmod(F.xxhash64(F.col(key), F.lit(1)), F.lit(files_per_bucket))
+    order = [BUCKET, VERSION, *(["date"] if "date" in df.columns else [])]
     (
         placed.repartition(F.col(BUCKET), part)
+        .sortWithinPartitions(*order)
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET)
+        .partitionBy(BUCKET, VERSION)
         .parquet(path)
     )
 
 
 def read_store(
-    spark: SparkSession, path: str, schema: T.StructType | str = ARTICLE, partition: str = f"{BUCKET} int"
+    spark: SparkSession, path: str, schema: T.StructType = ARTICLE, only: Iterable[int] | None = None
 ) -> DataFrame:
-    """A stored table with its partition column; empty if nothing was written yet."""
-    if isinstance(schema, str):
-        schema = T.StructType.fromDDL(schema)
-    whole = T.StructType([*schema.fields, *T.StructType.fromDDL(partition).fields])
-    try:
-        return spark.read.schema(whole).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], whole)
-
-
-def _writer_file(spark: SparkSession, path: str):
-    """The store's file system, and the file in it that names its writer (hidden from readers)."""
-    jvm = spark.sparkContext._jvm
-    file = jvm.org.apache.hadoop.fs.Path(path, WRITER)
-    return file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), file
+    """The stored rows, or those of ``only`` some buckets; no other bucket is listed or read."""
+    stored = {int(n.removeprefix(f"{BUCKET}=")) for n in _names(spark, path) if n.startswith(f"{BUCKET}=")}
+    versions = current_versions(spark, path)
+    folders = []
+    for bucket in sorted(stored if only is None else stored.intersection(only)):
+        folder = f"{BUCKET}={bucket}/{VERSION}={versions.get(bucket, 0)}"
+        fs, place = _files(spark, path, folder)
+        if fs.exists(place):
+            folders.append(f"{path.rstrip('/')}/{folder}")
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
 
 def claim_store(spark: SparkSession, path: str, writer: str) -> None:
@@ -70,42 +133,60 @@ def claim_store(spark: SparkSession, path: str, writer: str) -> None:
 
     The name is put down once and for all, so the same writer may come back after a failure.
     """
-    fs, file = _writer_file(spark, path)
     try:
-        out = fs.create(file, False)
+        _put(spark, path, WRITER, writer)
     except Exception as refused:  # py4j hands on any Java error
+        fs, file = _files(spark, path, WRITER)
         if not fs.exists(file):
             raise
-        stored = fs.open(file)
-        owner = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stored, "UTF-8")
-        stored.close()
+        owner = _text(spark, path, WRITER)
         if owner != writer:
             raise RuntimeError(f"{path} is written by {owner}; release_store gives it free") from refused
-        return
-    out.write(bytearray(writer.encode()))
-    out.close()
 
 
 def release_store(spark: SparkSession, path: str) -> None:
     """Let another writer claim a store whose writer has stopped for good."""
-    fs, file = _writer_file(spark, path)
+    fs, file = _files(spark, path, WRITER)
     fs.delete(file, False)
 
 
-def near_store(store: DataFrame, batch: DataFrame, buckets: int) -> DataFrame:
-    """The buckets of the store that a batch can meet; others are not even listed.
+@contextmanager
+def sole_writer(spark: SparkSession, path: str, writer: str | None) -> Iterator[None]:
+    """Hold the claim on a store as ``writer``, or for a while as a nameless one.
 
-    At most ``buckets`` numbers are fetched, and only folder names are compared with them.
+    A nameless claim is given up in the end; only a driver that dies leaves it, for ``release_store``.
     """
-    numbers = batch.select(bucket_of(F.col("url"), buckets).alias(BUCKET)).distinct()
-    return store.where(F.col(BUCKET).isin([row[BUCKET] for row in numbers.collect()])).drop(BUCKET)
+    claim_store(spark, path, writer or f"call {uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        if not writer:
+            release_store(spark, path)
+
+
+def touched(batch: DataFrame, buckets: int) -> list[int]:
+    """The buckets that a batch can meet: at most ``buckets`` numbers."""
+    return [row[0] for row in batch.select(bucket_of(F.col("url"), buckets)).distinct().collect()]
+
 
+def append_articles(fresh: DataFrame, path: str, buckets: int = BUCKETS, files_per_bucket: int = 1) -> None:
+    """Add rows whose URLs the store does not have; the caller holds the claim."""
+    versions = current_versions(fresh.sparkSession, path)
+    _write(fresh, path, versions, buckets=buckets, files_per_bucket=files_per_bucket)
 
-def append_articles(
-    fresh: DataFrame, path: str, buckets: int = BUCKETS, files_per_bucket: int = 1
+
+def rewrite_buckets(
+    rows: DataFrame, path: str, numbers: Iterable[int], buckets: int = BUCKETS, files_per_bucket: int = 1
 ) -> None:
-    """Add rows whose URLs the store does not have."""
-    _write(fresh, path, "url", buckets, files_per_bucket, "append")
+    """Put ``rows`` in place of the given buckets, all at once; the caller holds the claim."""
+    spark = rows.sparkSession
+    before = current_versions(spark, path)
+    after = {**before, **{b: before.get(b, 0) + 1 for b in numbers}}
+    _write(rows, path, after, buckets=buckets, files_per_bucket=files_per_bucket, mode="overwrite")
+    _switch(spark, path, after)
+    for b in numbers:
+        fs, old = _files(spark, path, f"{BUCKET}={b}/{VERSION}={after[b] - 2}")
+        fs.delete(old, True)
 
 
 def insert_articles(
@@ -115,33 +196,29 @@ def insert_articles(
     required: Sequence[str] = REQUIRED,
     buckets: int = BUCKETS,
     files_per_bucket: int = 1,
+    writer: str | None = None,
 ) -> int:
     """Append the unseen URLs of a batch; the number of effective writes.
 
-    An empty batch, or one without the required columns, writes nothing and gives 0.
+    An empty batch, or one without the required columns, writes nothing and gives 0. The stored keys are read
+    once, and the batch is held, so that what is counted is what is written.
     """
     if not set(required) <= set(batch.columns):
         return 0
     spark = batch.sparkSession
-    store = near_store(read_store(spark, path, schema), batch, buckets)
-    saved = insert_counts(store, batch).first()["saved"]
-    if saved:
-        append_articles(insert_new(batch, store).select(*schema.fieldNames()), path, buckets, files_per_bucket)
+    with sole_writer(spark, path, writer):
+        batch = batch.persist()
+        known = existing_keys(batch, read_store(spark, path, schema, touched(batch, buckets))).persist()
+        try:
+            saved = insert_counts(known, batch).first()["saved"]
+            if saved:
+                append_articles(insert_new(batch, known).select(*schema.fieldNames()), path, buckets, files_per_bucket)
+        finally:
+            known.unpersist()
+            batch.unpersist()
     return saved
 
 
-def replace_buckets(
-    spark: SparkSession,
-    staged: str,
-    path: str,
-    schema: T.StructType = ARTICLE,
-    buckets: int = BUCKETS,
-    files_per_bucket: int = 1,
-) -> None:
-    """Put staged buckets in place of the stored ones; may be repeated."""
-    _write(spark.read.schema(schema).parquet(staged), path, "url", buckets, files_per_bucket, "overwrite")
-
-
 def upsert_articles(
     batch: DataFrame,
     path: str,
@@ -149,19 +226,41 @@ def upsert_articles(
     required: Sequence[str] = REQUIRED,
     buckets: int = BUCKETS,
     files_per_bucket: int = 1,
-    staged: str | None = None,
+    writer: str | None = None,
 ) -> int:
-    """Upsert a batch by URL; the number of effective writes.
-
-    ``staged`` names the folder of the staged copy, by default a new one in shared scratch.
-    """
+    """Upsert a batch by URL; the number of effective writes. A bucket it touches is written once and switched."""
     if not set(required) <= set(batch.columns):
         return 0
     spark = batch.sparkSession
-    near = near_store(read_store(spark, path, schema), batch, buckets)
-    saved = upsert_counts(near, batch).first()["saved"]
-    if saved:
-        staged = staged or scratch_path(spark, "upsert")
-        upsert(near, batch).select(*schema.fieldNames()).write.mode("overwrite").parquet(staged)
-        replace_buckets(spark, staged, path, schema, buckets, files_per_bucket)
+    with sole_writer(spark, path, writer):
+        batch = batch.persist()
+        try:
+            numbers = touched(batch, buckets)
+            near = read_store(spark, path, schema, numbers)
+            saved = upsert_counts(near, batch).first()["saved"]
+            if saved:
+                rows = upsert(near, batch).select(*schema.fieldNames())
+                rewrite_buckets(rows, path, numbers, buckets, files_per_bucket)
+        finally:
+            batch.unpersist()
     return saved
+
+
+def compact_store(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType = ARTICLE,
+    only: Iterable[int] | None = None,
+    buckets: int = BUCKETS,
+    files_per_bucket: int = 1,
+    writer: str | None = None,
+) -> None:
+    """Merge the many files of appended batches into ``files_per_bucket`` for each bucket, in order of date.
+
+    ``only`` names the buckets, by default all of them. ``buckets`` must be what the store was written with.
+    """
+    with sole_writer(spark, path, writer):
+        rows = read_store(spark, path, schema, only)
+        numbers = touched(rows, buckets)
+        if numbers:
+            rewrite_buckets(rows, path, numbers, buckets, files_per_bucket)

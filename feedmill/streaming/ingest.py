@@ -6,21 +6,24 @@ from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from feedmill.operators.clean import clean, keep_one
-from feedmill.operators.store import insert_counts, insert_new, last_in_batch
+from feedmill.operators.store import existing_keys, insert_counts, insert_new, last_in_batch
 from feedmill.schema import AGGREGATOR_RECORD, ARTICLE, ATOM_ENTRY, BOILERPLATE, RSS_ITEM, SEARCH_RECORD
 from feedmill.session import use_utc
-from feedmill.sources.landing import atom_entries, feed_reader, readable, records, rss_items, with_arrival
+from feedmill.sources.landing import (
+    CORRUPT, atom_entries, feed_reader, readable, records, rejected, rss_items, with_arrival,
+)
 from feedmill.sources.normalize import normalize_aggregator, normalize_rss, normalize_search, to_articles
-from feedmill.sources.sink import BUCKETS, append_articles, claim_store, near_store, read_store
+from feedmill.sources.sink import BUCKETS, append_articles, claim_store, read_store, touched
 
 POLL = "30 seconds"
 LANE = "_lane"
-METRICS = "found long, kept long, skipped long, saved long"
+METRICS = T.StructType([T.StructField(n, T.LongType()) for n in ("found", "kept", "skipped", "saved")])
 
 
 @dataclass(frozen=True)
@@ -29,7 +32,8 @@ class Ingest:
 
     ``lane`` is ``search``, ``aggregator``, ``rss`` or ``atom``; the last two need the source registry.
     ``more`` holds further lanes, as (lane, landing folder): a store has one writer, so collectors that share
-    a store are lanes of one ingest, not ingests of their own.
+    a store are lanes of one ingest, not ingests of their own. Lines that cannot be read go to ``rejects``,
+    where it is set.
     """
 
     landing: str
@@ -41,6 +45,7 @@ class Ingest:
     buckets: int = BUCKETS
     max_files: int = 1000
     more: Sequence[tuple[str, str]] = ()
+    rejects: str | None = None
 
     def lanes(self) -> list[Ingest]:
         """One ingest for each lane, in the order in which a URL's copies win."""
@@ -63,21 +68,34 @@ def landed(spark: SparkSession, job: Ingest) -> DataFrame:
     return records(reader.text(job.landing), {"search": SEARCH_RECORD, "aggregator": AGGREGATOR_RECORD}[job.lane])
 
 
-def prepare(found: DataFrame, job: Ingest, registry: DataFrame | None = None) -> DataFrame:
-    """One lane's records as the articles to save; unreadable lines are left out.
+def lane_records(found: DataFrame, job: Ingest) -> list[tuple[Ingest, DataFrame]]:
+    """What was found, lane by lane."""
+    if not job.more:
+        return [(job, found)]
+    return [(one, found.where(F.col(LANE) == i).select(f"{LANE}{i}.*")) for i, one in enumerate(job.lanes())]
+
+
+def prepare(
+    found: DataFrame, job: Ingest, registry: DataFrame | None = None, counters: list[Observation] | None = None
+) -> DataFrame:
+    """The records of all lanes as the articles to save; unreadable lines are left out.
 
     API lanes are cleaned topic by topic; of a URL found under several topics the first topic's
     copy is kept, as topics are saved one after the other. Feed entries are saved as they come.
-    Of a URL found in several lanes the copy of the first lane is kept.
+    Of a URL found in several lanes the copy of the first lane is kept. ``counters`` receives one observation
+    of ``found`` for each lane, which the first run of the result fills.
     """
-    if job.more:
-        parts = [
-            last_in_batch(prepare(found.where(F.col(LANE) == i).select(f"{LANE}{i}.*"), one, registry))
-            .select(*ARTICLE.fieldNames())
-            .withColumn(LANE, F.lit(i))
-            for i, one in enumerate(job.lanes())
-        ]
-        return keep_one(reduce(DataFrame.unionByName, parts), ["url"], F.asc(LANE)).drop(LANE)
+    parts = []
+    for i, (one, mine) in enumerate(lane_records(found, job)):
+        if counters is not None:
+            counters.append(Observation())
+            mine = mine.observe(counters[-1], F.count(F.lit(1)).alias("found"))
+        part = prepare_lane(mine, one, registry).select(*ARTICLE.fieldNames())
+        parts.append(last_in_batch(part).withColumn(LANE, F.lit(i)) if job.more else part)
+    return keep_one(reduce(DataFrame.unionByName, parts), ["url"], F.asc(LANE)).drop(LANE) if job.more else parts[0]
+
+
+def prepare_lane(found: DataFrame, job: Ingest, registry: DataFrame | None = None) -> DataFrame:
     found = with_arrival(readable(found))
     if job.lane in ("rss", "atom"):
         return to_articles(normalize_rss(found, registry, F.current_timestamp()))
@@ -89,26 +107,37 @@ def prepare(found: DataFrame, job: Ingest, registry: DataFrame | None = None) ->
     return keep_one(cleaned, ["url"], F.asc("ingest_seq"))
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    file = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(file)
+
+
 def _save_batch(job: Ingest, registry: DataFrame | None, found: DataFrame, batch_id: int) -> None:
     """Append the unseen URLs of one micro-batch, after noting its counts.
 
-    A stored URL is dropped by an exact anti-join, however long ago it came, so a batch that is
+    The landing files are read once, and so are the keys of the buckets that the batch meets; no other bucket
+    is listed. A stored URL is dropped by an exact anti-join, however long ago it came, so a batch that is
     run again after a failure adds nothing twice. Its counts are taken before the rows are
     written and are kept if they are there already, so they always tell what the batch found
     when it first came.
     """
     spark = found.sparkSession
-    batch = prepare(found, job, registry).select(*ARTICLE.fieldNames()).persist()
+    counters: list[Observation] = []
+    batch = prepare(found, job, registry, counters).persist()
+    known = existing_keys(batch, read_store(spark, job.store, only=touched(batch, job.buckets))).persist()
     try:
-        store = near_store(read_store(spark, job.store), batch, job.buckets)
-        if ingest_metrics(spark, job).where(F.col("batch") == batch_id).isEmpty():
-            tally = insert_counts(store, batch).first()
-            row = (found.count(), tally["found"], tally["skipped"], tally["saved"])
-            spark.createDataFrame([row], METRICS).coalesce(1).write.mode("overwrite").parquet(
-                f"{job.metrics}/batch={batch_id}"
-            )
-        append_articles(insert_new(batch, store), job.store, job.buckets)
+        noted = f"{job.metrics}/batch={batch_id}"
+        if not _exists(spark, f"{noted}/_SUCCESS"):
+            tally = insert_counts(known, batch).first()
+            row = (sum(c.get["found"] for c in counters), tally["found"], tally["skipped"], tally["saved"])
+            spark.createDataFrame([row], METRICS).coalesce(1).write.mode("overwrite").parquet(noted)
+        if job.rejects:
+            lines = [rejected(mine).withColumn("lane", F.lit(one.lane)) for one, mine in lane_records(found, job) if CORRUPT in mine.columns]
+            if lines:
+                reduce(DataFrame.unionByName, lines).write.mode("overwrite").parquet(f"{job.rejects}/batch={batch_id}")
+        append_articles(insert_new(batch, known), job.store, job.buckets)
     finally:
+        known.unpersist()
         batch.unpersist()
 
 
@@ -131,7 +160,10 @@ def start_ingest(
 
 def ingest_metrics(spark: SparkSession, job: Ingest) -> DataFrame:
     """Per micro-batch: records found, kept by cleaning, skipped as known, saved."""
-    return read_store(spark, job.metrics, METRICS, partition="batch long")
+    whole = T.StructType([*METRICS.fields, T.StructField("batch", T.LongType())])
+    if not _exists(spark, job.metrics):
+        return spark.createDataFrame([], whole)
+    return spark.read.schema(whole).parquet(job.metrics)
 
 
 def dedupe_stream(
@@ -139,6 +171,9 @@ def dedupe_stream(
 ) -> DataFrame:
     """Bounded-state variant: a URL is let through once within ``horizon`` of event time.
 
+    Rows whose date is more than ``horizon`` behind the newest date met so far are dropped, and one wrong date in the
+    future moves that bar for good. ``start_ingest`` has no such bar.
+
     Copies are first thinned out in ``spread`` parts per URL, by the task that read them, so that
     a hot URL does not send all its rows to one task; at most ``spread`` of them meet in the end.
     """

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from feedmill.operators import store as K
 from feedmill.schema import ARTICLE
-from feedmill.sources.sink import insert_articles, read_store, replace_buckets, upsert_articles
+from feedmill.sources import sink
+from feedmill.sources.sink import compact_store, insert_articles, read_store, upsert_articles
 
 COLS = "url string, title string, image string, ingest_seq long"
 
@@ -121,7 +122,7 @@ def test_sink(spark, tmp_path):
     assert read_store(spark, path).count() == 0
     assert insert_articles(articles(spark), path) == 0
     assert insert_articles(articles(spark, ("a", "1", 1)).drop("body"), path) == 0
-    assert not (tmp_path / "store").exists()  # nothing was written
+    assert not list((tmp_path / "store").rglob("*.parquet"))  # nothing was written
 
     first = articles(spark, ("a", "1", 1), ("b", "1", 2), (None, "1", 3), ("b", "2", 4))
     assert insert_articles(first, path, buckets=4) == 4  # the rewrite of b counts too
@@ -129,9 +130,7 @@ def test_sink(spark, tmp_path):
     assert rows(read_store(spark, path), "url", "title") == sorted([("a", "1"), ("b", "2"), (None, "1")], key=repr)
 
     second = articles(spark, ("a", "9", 5), ("c", "1", 6), (None, "7", 7), ("b", "2", 8))
-    staged = str(tmp_path / "staged")
-    assert upsert_articles(second, path, buckets=4, staged=staged) == 3
-    replace_buckets(spark, staged, path, buckets=4)  # as after a failure
+    assert upsert_articles(second, path, buckets=4) == 3
     want = sorted([("a", "9"), ("b", "2"), ("c", "1"), (None, "7")], key=repr)
     assert rows(read_store(spark, path), "url", "title") == want
     assert upsert_articles(second, path, buckets=4) == 0
@@ -145,11 +144,69 @@ def test_sink_upsert_leaves_other_buckets_alone(spark, tmp_path):
     before = {f: f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
     upsert_articles(articles(spark, ("u3", "2", 99)), str(path), buckets=8)
     after = {f: f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
-    touched = {f.parent.name for f in before if before[f] != after.get(f)}
-    assert len(touched) == 1
+    assert all(after.get(f) == at for f, at in before.items())  # the version before the switch stays for its readers
+    assert len({f.parent.parent.name for f in after if f not in before}) == 1
     assert read_store(spark, str(path)).count() == 40
 
 
+@pytest.mark.parametrize("step", ["_write", "_switch"])
+def test_a_failed_upsert_changes_nothing_and_can_be_run_again(spark, tmp_path, monkeypatch, step):
+    path = str(tmp_path / "store")
+    insert_articles(articles(spark, *[(f"u{i}", "1", i) for i in range(20)]), path, buckets=4)
+    before = rows(read_store(spark, path), "url", "title")
+    batch = articles(spark, *[(f"u{i}", "2", 100 + i) for i in range(10, 30)])
+    work = getattr(sink, step)
+
+    def fail(*args, **kw):
+        if step == "_write":
+            work(*args, **kw)  # all is written when it fails
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(sink, step, fail)
+        with pytest.raises(OSError):
+            upsert_articles(batch, path, buckets=4)
+    assert rows(read_store(spark, path), "url", "title") == before
+    assert upsert_articles(batch, path, buckets=4) == 20
+    want = sorted([(f"u{i}", "1" if i < 10 else "2") for i in range(30)])
+    assert rows(read_store(spark, path), "url", "title") == want
+
+
+def test_compaction_merges_files_and_old_versions_go(spark, tmp_path):
+    path = tmp_path / "store"
+    for n in range(3):
+        insert_articles(articles(spark, *[(f"u{n}-{i}", "1", i) for i in range(20)]), str(path), buckets=2)
+    before = rows(read_store(spark, str(path)), "url", "title")
+    assert len(list(path.rglob("*.parquet"))) == 6
+    for n in range(3):
+        compact_store(spark, str(path), buckets=2)
+        assert rows(read_store(spark, str(path)), "url", "title") == before
+        assert len(read_store(spark, str(path)).inputFiles()) == 2
+    assert sorted({f.parent.name for f in path.rglob("*.parquet")}) == ["version=2", "version=3"]
+    assert insert_articles(articles(spark, ("new", "1", 1), ("u1-1", "1", 2)), str(path), buckets=2) == 1
+    assert read_store(spark, str(path)).count() == 61
+
+
+def test_only_touched_buckets_are_listed(spark, tmp_path):
+    path = str(tmp_path / "store")
+    insert_articles(articles(spark, *[(f"u{i}", "1", i) for i in range(200)]), path, buckets=16)
+    numbers = sink.touched(articles(spark, ("u3", "2", 1)), 16)
+    assert len(numbers) == 1
+    files = read_store(spark, path, only=numbers).inputFiles()
+    assert files and all(f"/bucket={numbers[0]}/" in f for f in files)
+
+
+def test_a_claimed_store_is_written_by_nobody_else(spark, tmp_path):
+    path = str(tmp_path / "store")
+    sink.claim_store(spark, path, "job")
+    for write in (insert_articles, upsert_articles):
+        with pytest.raises(RuntimeError, match="is written by job"):
+            write(articles(spark, ("a", "1", 1)), path, buckets=2)
+    assert insert_articles(articles(spark, ("a", "1", 1)), path, buckets=2, writer="job") == 1
+    sink.release_store(spark, path)
+    assert upsert_articles(articles(spark, ("a", "2", 2)), path, buckets=2) == 1
+
+
 def test_upsert_keeps_keys_only_the_store_has(spark):
     schema = "url string, extra map<string,string>, ingest_seq long"
     store = spark.createDataFrame([("a", {"x": "1", "y": "1"}, 0), ("b", None, 0), ("c", {"z": "1"}, 0)], schema)

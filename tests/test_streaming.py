@@ -61,6 +61,14 @@ def test_one_shot(spark, tmp_path):
     assert metrics(spark, j) == [(0, 6, 2, 0, 2), (1, 3, 2, 1, 1)]
 
 
+def test_unreadable_lines_are_kept(spark, tmp_path):
+    j = job(tmp_path, rejects=str(tmp_path / "rejects"))
+    land(j, "1", *FIRST)
+    I.start_ingest(spark, j, once=True).awaitTermination()
+    assert [(r.line, r.lane) for r in spark.read.parquet(j.rejects).collect()] == [("{broken", "search")]
+    assert metrics(spark, j) == [(0, 6, 2, 0, 2)]
+
+
 def test_continuous_gives_the_same_store(spark, tmp_path):
     j = job(tmp_path)
     query = I.start_ingest(spark, j, poll="200 milliseconds")
