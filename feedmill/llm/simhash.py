@@ -33,19 +33,26 @@ SEGMENTS = ((0, 23), (23, 23), (46, 18))
 GENERATOR = 0b110001110101  # of the binary Golay code: x^11+x^10+x^6+x^5+x^4+x^2+1
 
 
-def fingerprint_of(text: bytes, words: int = WORDS, seed: int = SEED) -> int:
-    """SimHash over the word shingles of a text; 0 if it has no word."""
+def shingle_hashes(text: bytes, words: int = WORDS, seed: int = SEED) -> np.ndarray:
+    """Hashes of the word shingles of a text, in order; a text of fewer words is one shingle, one without words none."""
     parts = text.lower().split()  # of bytes: A-Z only, and exactly the six ASCII white-space bytes
     if not parts:
-        return 0
+        return np.zeros(0, "<u8")
     joined = b" ".join(parts)
     ends = np.cumsum([len(p) + 1 for p in parts]) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     span = min(words, len(parts)) - 1
     digest = xxhash.xxh64_intdigest
-    hashes = np.array(
+    return np.array(
         [digest(joined[a:b], seed) for a, b in zip(starts[: len(parts) - span].tolist(), ends[span:].tolist())], "<u8"
     )
+
+
+def fingerprint_of(text: bytes, words: int = WORDS, seed: int = SEED) -> int:
+    """SimHash over the word shingles of a text; 0 if it has no word."""
+    hashes = shingle_hashes(text, words, seed)
+    if not hashes.size:
+        return 0
     counts = np.zeros(64, np.int64)
     for at in range(0, hashes.size, 65536):
         part = hashes[at : at + 65536]
@@ -220,7 +227,12 @@ def simhash_dedup(
         ),
         "simhash-prints",
     )
-    roots = components(near_links(by_print, distance))
+    return keep_first(rows, by_print, near_links(by_print, distance))
+
+
+def keep_first(rows: DataFrame, by_print: DataFrame, links: DataFrame) -> DataFrame:
+    """Rows with their component over ``links`` of prints; kept is one of each component, with the smallest id."""
+    roots = components(links)
     labelled = by_print.join(roots, by_print["print"] == roots["node"], "left").select(
         "print", "id", "row", "any_row", F.coalesce("root", "print").alias("root")
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import random
 import sys
 
 import pytest
@@ -13,7 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import __spark_entry__ as entry  # noqa: E402
 import corpus_pipeline  # noqa: E402
 from compare import difference, duck  # noqa: E402
-from feedmill.llm import exact_dedup, simhash  # noqa: E402
+from feedmill.llm import exact_dedup, shingle_dedup, simhash  # noqa: E402
 from feedmill.llm.queries import ORACLE, QUERIES  # noqa: E402
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept boolean"
@@ -69,3 +70,42 @@ def test_run_keeps_what_its_operators_keep(spark, sf):
     exact = exact_dedup.exact_dedup(lettered).where("kept").select("doc.*")
     near = {r["doc_id"] for r in simhash.simhash_dedup(exact).where("kept").select("doc.doc_id").collect()}
     assert packed == near
+
+
+def shingle_set(text):
+    words = text.lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def test_near_stage_drops_copies_of_similarity_from_four_fifths(spark):
+    rng = random.Random(5)
+    rows = []
+    for group in range(30):
+        base = [f"w{rng.randrange(5000)}" for _ in range(rng.choice([40, 120, 400, 3000]))]
+        rows.append(" ".join(base))
+        for share in (0.02, 0.05, 0.1, 0.16):
+            changed = list(base)
+            for _ in range(max(1, int(len(base) * share / 5))):
+                changed[rng.randrange(len(base))] = f"x{rng.randrange(10**6)}"
+            rows.append(" ".join(changed))
+    sets = [shingle_set(t) for t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if 5 * both >= 4 * (len(sets[i]) + len(sets[j]) - both):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    want = {i for i in range(len(rows)) if find(i) == i}
+    assert 30 < len(want) < 90  # copies below 0.8 stay
+    table = spark.createDataFrame([(i, t, "en", "s", 0, True) for i, t in enumerate(rows)], SCHEMA).repartition(3)
+    for all_pairs in (shingle_dedup.ALL_PAIRS, 1):  # 1: every key has a centre
+        kept = shingle_dedup.shingle_dedup(table, all_pairs=all_pairs).where("kept").select("doc.doc_id").collect()
+        assert {r["doc_id"] for r in kept} == want
+    assert {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, table, "").collect()} == want
