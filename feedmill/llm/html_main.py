@@ -1,8 +1,8 @@
 """Main text of web pages, by removing what a site repeats and what pages mark as apart.
 
-Every page is read as a tree of elements. The subtrees outside the main content are hashed bottom up, their
-hashes are counted per host in Spark, and a subtree that recurs across many pages of its host is deleted
-as part of the site's template. Menus, headers, footers, sidebars, notices, adverts, forms and reader
+Every page is read as a tree of elements. Its subtrees, in an article or main its blocks too, are hashed bottom up,
+their hashes are counted per host in Spark, once for each distinct main content, and a subtree that recurs across many
+of these is deleted as part of the site's template. Menus, headers, footers, sidebars, notices, adverts, forms and reader
 comments are also known by their elements, roles and class names, wherever they stand.
 """
 
@@ -23,7 +23,6 @@ from feedmill.llm.frames import DOC, bounded_batches, packed, staged, texts_of
 from feedmill.llm.url_filter import host_of
 
 MIN_PAGES = 5
-MIN_SHARE = 0.2
 
 #: Elements without content, and elements whose content is not markup.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -39,6 +38,8 @@ APART = frozenset(
     "menu head title noembed noframes audio video map".split()
 )
 MAIN = frozenset(("article", "main"))
+#: Elements that can be template within the main content; paragraphs, headings and quotes there are the author's.
+BLOCKS = frozenset("center details div dl fieldset figure ol section table ul".split())
 #: Words of class names, ids and roles that mark what is apart from the main text anywhere ...
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adslot sponsor sponsored promo promotion banner cookie cookies consent "
@@ -75,6 +76,8 @@ class Node:
     apart: bool
     parts: list = field(default_factory=list)  # texts and nodes, in page order
     hash: int = 0
+    holds: bool = False  # the main content or a part of it, from outside
+    size: int = 0  # of the text that is not apart
 
 
 def _marks(attributes: str) -> set[str]:
@@ -100,8 +103,11 @@ def parse(page: str) -> Node:
             for part in node.parts:
                 if isinstance(part, Node):
                     digest.update(b"\0" + part.hash.to_bytes(8, "little"))
+                    node.size += 0 if part.apart else part.size
                 else:
-                    digest.update(" ".join(part.split()).encode("utf-8", "replace"))
+                    words = " ".join(part.split())
+                    digest.update(words.encode("utf-8", "replace"))
+                    node.size += len(words)
             node.hash = digest.intdigest()
         del stack[depth:]
 
@@ -158,6 +164,9 @@ def parse(page: str) -> Node:
         )
         node = Node(tag, attributes, inside and not apart, apart)
         parent.parts.append(node)
+        if node.inside and not parent.inside:
+            for holder in stack:
+                holder.holds = True
         if tag in RAW:
             closing = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(page, at)
             stop = closing.start() if closing else end
@@ -174,14 +183,34 @@ def parse(page: str) -> Node:
     return root
 
 
+def _inside_size(root: Node) -> int:
+    """The size of all main content of a page."""
+    total, todo = 0, [root]
+    while todo:
+        node = todo.pop()
+        for part in node.parts:
+            if isinstance(part, Node) and part.inside:
+                total += part.size
+            elif isinstance(part, Node) and part.holds:
+                todo.append(part)
+    return total
+
+
+def removable(node: Node, inside_size: int) -> bool:
+    """Whether a node can be template: neither the page's frame, nor what holds main content, nor most of that itself."""
+    if node.holds or not node.parts or node.tag in ("", "html", "body", *MAIN):
+        return False
+    return not node.inside or (node.tag in BLOCKS and 2 * node.size <= inside_size)
+
+
 def subtrees(root: Node) -> set[int]:
-    """Hashes of the subtrees outside the main content that hold anything; the page's own frame is no subtree."""
-    found, todo = set(), [root]
+    """Hashes of the subtrees that can be template; what is apart goes anyway."""
+    found, todo, inside_size = set(), [root], _inside_size(root)
     while todo:
         node = todo.pop()
         for part in node.parts:
-            if isinstance(part, Node) and not part.inside:
-                if part.parts and part.tag not in ("html", "body", *MAIN):
+            if isinstance(part, Node) and not part.apart:
+                if removable(part, inside_size):
                     found.add(part.hash)
                 todo.append(part)
     return found
@@ -207,13 +236,14 @@ def main_text(root: Node, template: frozenset[int] | set[int]) -> str:
             blocks.append(words)
 
     todo2: list = [root]
+    inside_size = _inside_size(root) if template else 0
     while todo2:
         part = todo2.pop()
         if part is None:
             end_block()
         elif isinstance(part, str):
             line.append(part)
-        elif part.apart or (not part.inside and part.hash in template and part.tag not in ("html", "body", "")):
+        elif part.apart or (part.hash in template and removable(part, inside_size)):
             if part.tag not in INLINE:
                 end_block()
         else:
@@ -227,37 +257,38 @@ def main_text(root: Node, template: frozenset[int] | set[int]) -> str:
     return " ".join(blocks)
 
 
-def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(host, hash, n)``: pages of a host that hold a subtree, counted within a batch; hash null: all pages."""
+def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(host, page, content, hashes)``: of a page the hash of its main text and, sorted, those of its subtrees."""
     for batch in batches:
-        counts: dict[tuple[str, int | None], int] = {}
-        for host, page in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
-            for key in ((host, None), *((host, h) for h in subtrees(parse(page.decode())))):
-                counts[key] = counts.get(key, 0) + 1
+        contents, hashes = [], []
+        for page in texts_of(batch.column(2)):
+            root = parse(page.decode())
+            contents.append(xxhash.xxh64_intdigest(main_text(root, frozenset()).encode("utf-8", "replace")))
+            hashes.append(np.sort(np.array(list(subtrees(root)), np.uint64).view(np.int64)).tolist())
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array([h for h, _ in counts], pa.string()),
-                pa.array([None if x is None else int(np.uint64(x).view(np.int64)) for _, x in counts], pa.int64()),
-                pa.array(list(counts.values()), pa.int64()),
+                batch.column(0),
+                batch.column(1),
+                pa.array(np.array(contents, np.uint64).view(np.int64)),
+                pa.array(hashes, pa.list_(pa.int64())),
             ],
-            ["host", "hash", "n"],
+            ["host", "page", "content", "hashes"],
         )
 
 
-def site_templates(
-    pages: DataFrame, host_col: str, html_col: str, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE
-) -> DataFrame:
-    """``(host, template)``: hashes of the subtrees on at least ``min_pages`` and ``min_share`` of a host's pages.
+def site_templates(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """``(host, page, template)`` of pages ``(host, page, html)``: those hashes of a page's subtrees that recur.
 
-    A host's list has at most as many entries as its mean page has subtrees, divided by ``min_share``.
+    They stand on pages of at least ``min_pages`` distinct main contents of the host; copies of a page count once. A
+    page's list holds its own subtrees alone, however large its host is.
     """
-    counts = pages.select(host_col, html_col).mapInArrow(_hashes, "host string, hash long, n long")
-    counts = staged(counts.groupBy("host", "hash").agg(F.sum("n").alias("n")), "site-subtrees")
-    sizes = counts.where("hash is null").select("host", F.col("n").alias("pages"))
-    common = counts.where(F.col("hash").isNotNull() & (F.col("n") >= min_pages)).join(sizes, "host")
-    return common.where(F.col("n") >= min_share * F.col("pages")).groupBy("host").agg(
-        F.collect_list("hash").alias("template")
-    )
+    records = staged(pages.mapInArrow(_records, "host string, page string, content long, hashes array<long>"), "site-pages")
+    distinct = records.groupBy("host", "content").agg(F.min("hashes").alias("hashes"))
+    counts = distinct.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("n"))
+    common = counts.where(F.col("n") >= min_pages).select("host", "hash")
+    own = records.groupBy("host", "page").agg(F.any_value("hashes").alias("hashes"))
+    own = own.select("host", "page", F.explode("hashes").alias("hash"))
+    return own.join(common, ["host", "hash"]).groupBy("host", "page").agg(F.collect_list("hash").alias("template"))
 
 
 def _main_text(pages: pa.Array, templates: pa.Array) -> pa.Array:
@@ -273,7 +304,6 @@ def extract_main_text(
     html_col: str = "html",
     url_col: str = "url",
     min_pages: int = MIN_PAGES,
-    min_share: float = MIN_SHARE,
 ) -> DataFrame:
     """Every input row as struct ``doc``, with its main text: empty for a null or empty page.
 
@@ -283,8 +313,8 @@ def extract_main_text(
     rows = pages.select(packed(pages)).withColumn("host", host_of(F.col(DOC).getField(url_col)))
     html = F.col(DOC).getField(html_col)
     bounded_batches(pages.sparkSession)
+    rows = rows.withColumn("page", F.md5(html.cast("binary")))
     # Written out, so that both sides of the join are shuffled for it and the pages of a large host can be split.
-    templates = site_templates(rows.select("host", html.alias("html")), "host", "html", min_pages, min_share)
-    templates = staged(templates, "site-templates")
+    templates = staged(site_templates(rows.select("host", "page", html.alias("html")), min_pages), "site-templates")
     read = F.arrow_udf(_main_text, "string")
-    return rows.join(templates, "host", "left").select(DOC, read(html, F.col("template")).alias("text"))
+    return rows.join(templates, ["host", "page"], "left").select(DOC, read(html, F.col("template")).alias("text"))

@@ -185,3 +185,27 @@ def test_recurring_passages_of_articles_stay(spark):
 
 def test_no_pages(spark):
     assert html_main.extract_main_text(table(spark, [(1, "x", "y")]).where("page_id < 0")).collect() == []
+
+
+def test_template_inside_articles_is_removed(spark):
+    box = "<div><p>Read our daily letter</p></div>"
+    pages = [f"<article><p>story {i} of the day, told at some length</p>{box}</article>" for i in range(6)]
+    rows = [(i, f"http://site.org/{i}", p) for i, p in enumerate(pages)]
+    got = {r["page_id"]: r["text"] for r in html_main.extract_main_text(table(spark, rows)).select("doc.page_id", "text").collect()}
+    assert got == {i: f"story {i} of the day, told at some length" for i in range(6)}
+    assert text(pages[0]).endswith("Read our daily letter")  # without the template
+
+
+def test_copies_are_no_template(spark):
+    wrapped = "<body><div id=wrap><article><p>one story</p></article></div></body>"
+    plain = "<body><div>a page without an article</div></body>"
+    dated = "<body><article><time>{}</time><div><p>the whole body of a story that was put out again</p></div></article></body>"
+    rows = [(i, f"http://a.org/{i}", wrapped) for i in range(8)] + [(10 + i, f"http://b.org/{i}", plain) for i in range(8)]
+    rows += [(20 + i, f"http://c.org/{i}", dated.format(i)) for i in range(8)]
+    # A section's own notice, on 6 of 60 pages of a large host.
+    rows += [(100 + i, f"http://d.org/{i}", f"<div>Sports desk</div><div>story {i}</div>" if i < 6 else f"<div>story {i}</div>") for i in range(60)]
+    got = {r["page_id"]: r["text"] for r in html_main.extract_main_text(table(spark, rows)).select("doc.page_id", "text").collect()}
+    assert {got[i] for i in range(8)} == {"one story"}
+    assert {got[10 + i] for i in range(8)} == {"a page without an article"}
+    assert [got[20 + i] for i in range(8)] == [f"{i} the whole body of a story that was put out again" for i in range(8)]
+    assert [got[100 + i] for i in range(60)] == [f"story {i}" for i in range(60)]
