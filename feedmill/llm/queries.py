@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedmill.llm import ann, byte_bpe, exact_dedup, html_main, language_id, lm_score, packing, simhash, token_files, url_filter
+from feedmill.llm import (
+    ann, byte_bpe, exact_dedup, html_main, language_id, license_scan, lm_score, packing, simhash, token_files, url_filter,
+)
 from feedmill.llm.frames import remainder
 from feedmill.session import scratch_path
 
@@ -78,6 +80,10 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc.page_id", "doc.url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.digest(license_scan.scan_licenses(_table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_lm_score": op2_lm_score,
@@ -89,6 +95,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_packing": op9_packing,
     "op10_main_text": op10_main_text,
+    "op11_license_scan": op11_license_scan,
 }
 
 EXACT_SQL = """
@@ -101,4 +108,8 @@ select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size,
 from folded window w as (partition by t)
 """
 
-ORACLE = {"op4_url_filter": url_filter.oracle_sql(), "op7_exact_dedup": EXACT_SQL}
+ORACLE = {
+    "op4_url_filter": url_filter.oracle_sql(),
+    "op7_exact_dedup": EXACT_SQL,
+    "op11_license_scan": license_scan.oracle_sql(),
+}
