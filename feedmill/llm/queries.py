@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedmill.llm import (
-    ann, byte_bpe, exact_dedup, html_main, language_id, license_scan, lm_score, packing, simhash, token_files, url_filter,
+    ann, byte_bpe, exact_dedup, html_main, language_id, license_scan, lm_score, packing, ranked_search, simhash,
+    token_files, url_filter,
 )
 from feedmill.llm.frames import remainder
 from feedmill.session import scratch_path
@@ -84,6 +85,11 @@ def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.digest(license_scan.scan_licenses(_table(spark, sf_dir, "documents", "doc_id", "text")))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = _table(spark, sf_dir, "benchmark", "item_id", "text")
+    return ranked_search.ranked_search(_table(spark, sf_dir, "documents", "doc_id", "text"), items)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_lm_score": op2_lm_score,
@@ -96,6 +102,7 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_main_text": op10_main_text,
     "op11_license_scan": op11_license_scan,
+    "op12_ranked_search": op12_ranked_search,
 }
 
 EXACT_SQL = """
@@ -112,4 +119,5 @@ ORACLE = {
     "op4_url_filter": url_filter.oracle_sql(),
     "op7_exact_dedup": EXACT_SQL,
     "op11_license_scan": license_scan.oracle_sql(),
+    "op12_ranked_search": ranked_search.oracle_sql(),
 }
