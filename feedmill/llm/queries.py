@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedmill.llm import (
-    ann, byte_bpe, exact_dedup, html_main, language_id, license_scan, lm_score, packing, ranked_search, simhash,
-    token_files, url_filter,
+    ann, byte_bpe, exact_dedup, html_main, language_id, license_scan, lm_score, packing, prefix_trie, ranked_search,
+    simhash, token_files, url_filter,
 )
 from feedmill.llm.frames import remainder
 from feedmill.session import scratch_path
@@ -90,6 +90,11 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.ranked_search(_table(spark, sf_dir, "documents", "doc_id", "text"), items)
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt(prefix_trie.conversations_of(turns)))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_lm_score": op2_lm_score,
@@ -103,6 +108,7 @@ QUERIES = {
     "op10_main_text": op10_main_text,
     "op11_license_scan": op11_license_scan,
     "op12_ranked_search": op12_ranked_search,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 EXACT_SQL = """
@@ -120,4 +126,5 @@ ORACLE = {
     "op7_exact_dedup": EXACT_SQL,
     "op11_license_scan": license_scan.oracle_sql(),
     "op12_ranked_search": ranked_search.oracle_sql(),
+    "op13_prefix_trie": prefix_trie.oracle_sql(),
 }
