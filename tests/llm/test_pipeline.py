@@ -7,6 +7,7 @@ import random
 import sys
 
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -14,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import __spark_entry__ as entry  # noqa: E402
 import corpus_pipeline  # noqa: E402
 from compare import difference, duck  # noqa: E402
-from feedmill.llm import exact_dedup, shingle_dedup, simhash  # noqa: E402
+from feedmill.llm.simhash import fingerprint_of  # noqa: E402
 from feedmill.llm.queries import ORACLE, QUERIES  # noqa: E402
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept boolean"
@@ -28,7 +29,7 @@ def test_queries_equal_their_sql(spark, sf, name):
 def test_every_query_is_registered():
     known = entry.queries()
     assert {*QUERIES, "pipeline"} <= set(known)
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, 14)}
 
 
 @pytest.fixture
@@ -63,49 +64,57 @@ def test_stages_of_nothing(spark, docs):
         assert stage(spark, none, "").collect() == []
 
 
-def test_run_keeps_what_its_operators_keep(spark, sf):
-    packed = {r["doc_id"] for r in corpus_pipeline.run(spark, sf).select("doc_id").distinct().collect()}
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
-    lettered = docs.where("text rlike '\\\\p{L}'")
-    exact = exact_dedup.exact_dedup(lettered).where("kept").select("doc.*")
-    near = {r["doc_id"] for r in simhash.simhash_dedup(exact).where("kept").select("doc.doc_id").collect()}
-    assert packed == near
-
-
-def shingle_set(text):
-    words = text.lower().split()
-    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
-
-
-def test_near_stage_drops_copies_of_similarity_from_four_fifths(spark):
-    rng = random.Random(5)
-    rows = []
-    for group in range(30):
-        base = [f"w{rng.randrange(5000)}" for _ in range(rng.choice([40, 120, 400, 3000]))]
-        rows.append(" ".join(base))
-        for share in (0.02, 0.05, 0.1, 0.16):
-            changed = list(base)
-            for _ in range(max(1, int(len(base) * share / 5))):
-                changed[rng.randrange(len(base))] = f"x{rng.randrange(10**6)}"
-            rows.append(" ".join(changed))
-    sets = [shingle_set(t) for t in rows]
-    root = list(range(len(rows)))
+def kept_by_brute_force(rows):
+    """Ids that stay of (doc_id, text): letters, last of equal texts, first of each group of prints within 2 bits."""
+    lettered = [(i, t) for i, t in rows if t and any(c.isalpha() for c in t)]
+    last = {}
+    for i, t in lettered:
+        last[t.encode().lower()] = max(i, last.get(t.encode().lower(), i))
+    prints = {i: fingerprint_of(t) for t, i in last.items()}
+    ids = sorted(prints)
+    root = {i: i for i in ids}
 
     def find(i):
         while root[i] != i:
             i = root[i]
         return i
 
-    for i in range(len(rows)):
-        for j in range(i):
-            both = len(sets[i] & sets[j])
-            if 5 * both >= 4 * (len(sets[i]) + len(sets[j]) - both):
+    for n, i in enumerate(ids):
+        for j in ids[:n]:
+            if (prints[i] ^ prints[j]).bit_count() <= 2:
                 a, b = sorted((find(i), find(j)))
                 root[b] = a
-    want = {i for i in range(len(rows)) if find(i) == i}
-    assert 30 < len(want) < 90  # copies below 0.8 stay
-    table = spark.createDataFrame([(i, t, "en", "s", 0, True) for i, t in enumerate(rows)], SCHEMA).repartition(3)
-    for all_pairs in (shingle_dedup.ALL_PAIRS, 1):  # 1: every key has a centre
-        kept = shingle_dedup.shingle_dedup(table, all_pairs=all_pairs).where("kept").select("doc.doc_id").collect()
-        assert {r["doc_id"] for r in kept} == want
+    return {i for i in ids if find(i) == i}
+
+
+def test_run_against_brute_force(spark, sf):
+    packed = {r["doc_id"] for r in corpus_pipeline.run(spark, sf).select("doc_id").distinct().collect()}
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    assert packed == kept_by_brute_force([tuple(d) for d in docs])
+
+
+def test_near_stage_against_brute_force(spark):
+    """A thousand variants of one text, and groups of others, by links of their prints."""
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(500)}" for _ in range(300)]
+    rows = []
+    for _ in range(1000):
+        changed = list(base)
+        changed[rng.randrange(len(base))] = f"x{rng.randrange(30)}"
+        rows.append(" ".join(changed))
+    rows += [" ".join(f"y{rng.randrange(900)}" for _ in range(50)) for _ in range(200)]
+    rows = [(i, t) for i, t in enumerate(dict.fromkeys(rows))]
+    want = kept_by_brute_force(rows)
+    assert 200 < len(want) < 700
+    table = spark.createDataFrame([(i, t, "en", "s", 0, True) for i, t in rows], SCHEMA).repartition(3)
     assert {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, table, "").collect()} == want
+
+
+def test_unlabelled_table_is_kept(spark, docs):
+    bare = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert sorted(r["doc_id"] or 0 for r in corpus_pipeline.language_id(spark, bare, "").collect()) == [0, 1, 2, 3, 7, 9, 9]
+
+
+def test_texts_in_an_unlabelled_script_are_kept(spark, docs):
+    more = docs.union(spark.createDataFrame([(20, "ოცდაათი", None, "s", 0, True)], SCHEMA))
+    assert 20 in {r["doc_id"] for r in corpus_pipeline.language_id(spark, more, "").collect()}
