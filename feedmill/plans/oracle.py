@@ -236,6 +236,7 @@ ORACLE = {
         select body, row_number() over (partition by "searchKey" order by date desc, ingest_seq) - 1 as recency, {SHORT}
         from cleaned"""),
     "existing_keys": with_views("select distinct url from batch where url in (select url from store)"),
+    "indexed_existing_keys": with_views("select distinct url from batch where url in (select url from store)"),
     "upsert_by_url": with_views("""
         select coalesce(b.url, s.url) as url, case when b.url is null then s.title else b.title end as title,
           case when b.url is null then s.body else b.body end as body,

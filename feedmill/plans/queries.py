@@ -20,6 +20,7 @@ from feedmill.operators import store as K
 from feedmill.operators import topics as T
 from feedmill.plans import fixtures as fx
 from feedmill.session import scratch_path, use_utc
+from feedmill.sources.keyindex import known_urls
 from feedmill.sources.normalize import normalize_aggregator, normalize_rss, normalize_search, to_articles, union_feeds
 from feedmill.sources.sink import compact_store, insert_articles, read_store, upsert_articles
 from feedmill.streaming.ingest import Ingest, dedupe_stream, ingest_metrics, start_ingest
@@ -209,6 +210,17 @@ def existing_keys(spark, sf_dir):
     return K.existing_keys(batch, store)
 
 
+@query
+def indexed_existing_keys(spark, sf_dir):
+    """The early articles stored in two steps, the first of them indexed; the later batch is checked against both."""
+    path = scratch_path(spark, "indexed")
+    store, batch = early_and_late(spark, sf_dir)
+    for part in range(2):
+        rows = to_articles(store.where(F.col("ingest_seq") % 2 == part).drop("article_id"))
+        insert_articles(rows, path, buckets=8, index_files=1 if part == 0 else 1000)
+    return known_urls(spark, path, batch.select("url").persist(), 8)
+
+
 @query
 def upsert_by_url(spark, sf_dir):
     store, batch = store_and_batch(spark, sf_dir)

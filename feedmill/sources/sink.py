@@ -14,72 +14,33 @@ import uuid
 from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedmill.operators.store import existing_keys, insert_counts, insert_new, upsert, upsert_counts
+from feedmill.operators.store import insert_counts, insert_new, upsert, upsert_counts
 from feedmill.schema import ARTICLE, REQUIRED
+from feedmill.sources import files
+from feedmill.sources.keyindex import (
+    BUCKET, CURRENT, INDEX_FILES, VERSION, bucket_of, current_versions, known_urls, maintain, stored_files,
+)
 
-BUCKET, VERSION = "bucket", "version"
 BUCKETS = 64
 WRITER = "_writer"
-CURRENT = "_current."
-
-
-def bucket_of(key: Column, buckets: int) -> Column:
-    """Bucket of a key; a null key hashes like any other."""
-    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-
-
-def _files(spark: SparkSession, path: str, name: str | None = None):
-    """File system and Hadoop path of a store, or of something in it."""
-    jvm = spark.sparkContext._jvm
-    file = jvm.org.apache.hadoop.fs.Path(path, name) if name else jvm.org.apache.hadoop.fs.Path(path)
-    return file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), file
-
-
-def _names(spark: SparkSession, path: str) -> list[str]:
-    """What lies directly in a store: buckets and switches, no data files."""
-    fs, folder = _files(spark, path)
-    return [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
-
-
-def _text(spark: SparkSession, path: str, name: str) -> str:
-    fs, file = _files(spark, path, name)
-    stored = fs.open(file)
-    try:
-        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stored, "UTF-8")
-    finally:
-        stored.close()
-
-
-def _put(spark: SparkSession, path: str, name: str, text: str) -> None:
-    fs, file = _files(spark, path, name)
-    out = fs.create(file, False)
-    out.write(bytearray(text.encode()))
-    out.close()
-
-
-def current_versions(spark: SparkSession, path: str) -> dict[int, int]:
-    """Version of every bucket that an upsert or a compaction has rewritten; all others are at 0."""
-    switches = [int(n.removeprefix(CURRENT)) for n in _names(spark, path) if n.startswith(CURRENT)]
-    if not switches:
-        return {}
-    return {int(b): v for b, v in json.loads(_text(spark, path, f"{CURRENT}{max(switches)}")).items()}
 
 
 def _switch(spark: SparkSession, path: str, versions: dict[int, int]) -> None:
     """Make ``versions`` the current ones. The file gets its name when it is whole, and none is ever written over."""
-    switches = sorted(int(n.removeprefix(CURRENT)) for n in _names(spark, path) if n.startswith(CURRENT))
+    names = files.listed(spark, path, f"{CURRENT}*", rf"{CURRENT}\d+")
+    switches = sorted(int(n.removeprefix(CURRENT)) for n in names)
     number = switches[-1] + 1 if switches else 0
     made = f"_{uuid.uuid4().hex}"
-    _put(spark, path, made, json.dumps(versions))
-    fs, ready = _files(spark, path, made)
-    if not fs.rename(ready, _files(spark, path, f"{CURRENT}{number}")[1]):
+    files.put(spark, path, made, json.dumps(versions))
+    fs, ready = files.located(spark, path, made)
+    if not fs.rename(ready, files.located(spark, path, f"{CURRENT}{number}")[1]):
         raise RuntimeError(f"{path} was switched by another writer")
     for old in switches[:-1]:
-        fs.delete(_files(spark, path, f"{CURRENT}{old}")[1], False)
+        files.remove(spark, path, f"{CURRENT}{old}")
 
 
 def _write(
@@ -95,11 +56,9 @@ def _write(
 
     Rows are in order of date within a file, so that a look-back can skip row groups.
     """
-    known = {b: v for b, v in versions.items() if v}
-    version = F.lit(0)
-    if known:
-        numbers = F.create_map(*[F.lit(n) for pair in known.items() for n in pair])
-        version = F.coalesce(F.try_element_at(numbers, F.col(BUCKET)), version)
+    # One constant list, so that neither the plan nor a row's look-up grows with the number of buckets.
+    numbers = F.from_json(F.lit(json.dumps([versions.get(b, 0) for b in range(buckets)])), "array<int>")
+    version = F.get(numbers, F.col(BUCKET))
     placed = df.withColumn(BUCKET, bucket_of(F.col(key), buckets)).withColumn(VERSION, version)
     part = F.pmod(F.xxhash64(F.col(key), F.lit(1)), F.lit(files_per_bucket))
     order = [BUCKET, VERSION, *(["date"] if "date" in df.columns else [])]
@@ -117,14 +76,9 @@ def read_store(
     spark: SparkSession, path: str, schema: T.StructType = ARTICLE, only: Iterable[int] | None = None
 ) -> DataFrame:
     """The stored rows, or those of ``only`` some buckets; no other bucket is listed or read."""
-    stored = {int(n.removeprefix(f"{BUCKET}=")) for n in _names(spark, path) if n.startswith(f"{BUCKET}=")}
-    versions = current_versions(spark, path)
-    folders = []
-    for bucket in sorted(stored if only is None else stored.intersection(only)):
-        folder = f"{BUCKET}={bucket}/{VERSION}={versions.get(bucket, 0)}"
-        fs, place = _files(spark, path, folder)
-        if fs.exists(place):
-            folders.append(f"{path.rstrip('/')}/{folder}")
+    stored, versions = stored_files(spark, path), current_versions(spark, path)
+    numbers = sorted(stored if only is None else set(stored).intersection(only))
+    folders = [f"{path.rstrip('/')}/{BUCKET}={b}/{VERSION}={versions.get(b, 0)}" for b in numbers]
     return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
 
@@ -134,20 +88,19 @@ def claim_store(spark: SparkSession, path: str, writer: str) -> None:
     The name is put down once and for all, so the same writer may come back after a failure.
     """
     try:
-        _put(spark, path, WRITER, writer)
+        files.put(spark, path, WRITER, writer)
     except Exception as refused:  # py4j hands on any Java error
-        fs, file = _files(spark, path, WRITER)
+        fs, file = files.located(spark, path, WRITER)
         if not fs.exists(file):
             raise
-        owner = _text(spark, path, WRITER)
+        owner = files.text(spark, path, WRITER)
         if owner != writer:
             raise RuntimeError(f"{path} is written by {owner}; release_store gives it free") from refused
 
 
 def release_store(spark: SparkSession, path: str) -> None:
     """Let another writer claim a store whose writer has stopped for good."""
-    fs, file = _files(spark, path, WRITER)
-    fs.delete(file, False)
+    files.remove(spark, path, WRITER)
 
 
 @contextmanager
@@ -185,8 +138,8 @@ def rewrite_buckets(
     _write(rows, path, after, buckets=buckets, files_per_bucket=files_per_bucket, mode="overwrite")
     _switch(spark, path, after)
     for b in numbers:
-        fs, old = _files(spark, path, f"{BUCKET}={b}/{VERSION}={after[b] - 2}")
-        fs.delete(old, True)
+        if after[b] >= 2:
+            files.remove(spark, path, f"{BUCKET}={b}/{VERSION}={after[b] - 2}")
 
 
 def insert_articles(
@@ -197,22 +150,25 @@ def insert_articles(
     buckets: int = BUCKETS,
     files_per_bucket: int = 1,
     writer: str | None = None,
+    index_files: int = INDEX_FILES,
 ) -> int:
     """Append the unseen URLs of a batch; the number of effective writes.
 
-    An empty batch, or one without the required columns, writes nothing and gives 0. The stored keys are read
-    once, and the batch is held, so that what is counted is what is written.
+    An empty batch, or one without the required columns, writes nothing and gives 0. The index of keys is asked
+    once, and the batch is held, so that what is counted is what is written. ``index_files`` data files that
+    the index does not cover are added to it.
     """
     if not set(required) <= set(batch.columns):
         return 0
     spark = batch.sparkSession
     with sole_writer(spark, path, writer):
         batch = batch.persist()
-        known = existing_keys(batch, read_store(spark, path, schema, touched(batch, buckets))).persist()
+        known = known_urls(spark, path, batch, buckets).persist()
         try:
             saved = insert_counts(known, batch).first()["saved"]
             if saved:
                 append_articles(insert_new(batch, known).select(*schema.fieldNames()), path, buckets, files_per_bucket)
+                maintain(spark, path, index_files)
         finally:
             known.unpersist()
             batch.unpersist()

@@ -12,14 +12,16 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from feedmill.operators.clean import clean, keep_one
-from feedmill.operators.store import existing_keys, insert_counts, insert_new, last_in_batch
+from feedmill.operators.store import insert_counts, insert_new, last_in_batch
 from feedmill.schema import AGGREGATOR_RECORD, ARTICLE, ATOM_ENTRY, BOILERPLATE, RSS_ITEM, SEARCH_RECORD
 from feedmill.session import use_utc
+from feedmill.sources.files import exists
+from feedmill.sources.keyindex import INDEX_FILES, known_urls, maintain
 from feedmill.sources.landing import (
     CORRUPT, atom_entries, feed_reader, readable, records, rejected, rss_items, with_arrival,
 )
 from feedmill.sources.normalize import normalize_aggregator, normalize_rss, normalize_search, to_articles
-from feedmill.sources.sink import BUCKETS, append_articles, claim_store, read_store, touched
+from feedmill.sources.sink import BUCKETS, append_articles, claim_store
 
 POLL = "30 seconds"
 LANE = "_lane"
@@ -43,6 +45,7 @@ class Ingest:
     lane: str = "search"
     phrases: Sequence[str] = BOILERPLATE
     buckets: int = BUCKETS
+    index_files: int = INDEX_FILES
     max_files: int = 1000
     more: Sequence[tuple[str, str]] = ()
     rejects: str | None = None
@@ -107,16 +110,10 @@ def prepare_lane(found: DataFrame, job: Ingest, registry: DataFrame | None = Non
     return keep_one(cleaned, ["url"], F.asc("ingest_seq"))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    file = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(file)
-
-
 def _save_batch(job: Ingest, registry: DataFrame | None, found: DataFrame, batch_id: int) -> None:
     """Append the unseen URLs of one micro-batch, after noting its counts.
 
-    The landing files are read once, and so are the keys of the buckets that the batch meets; no other bucket
-    is listed. A stored URL is dropped by an exact anti-join, however long ago it came, so a batch that is
+    The landing files are read once, and the index of stored keys is asked once. A stored URL is dropped by an exact anti-join, however long ago it came, so a batch that is
     run again after a failure adds nothing twice. Its counts are taken before the rows are
     written and are kept if they are there already, so they always tell what the batch found
     when it first came.
@@ -124,10 +121,10 @@ def _save_batch(job: Ingest, registry: DataFrame | None, found: DataFrame, batch
     spark = found.sparkSession
     counters: list[Observation] = []
     batch = prepare(found, job, registry, counters).persist()
-    known = existing_keys(batch, read_store(spark, job.store, only=touched(batch, job.buckets))).persist()
+    known = known_urls(spark, job.store, batch, job.buckets).persist()
     try:
         noted = f"{job.metrics}/batch={batch_id}"
-        if not _exists(spark, f"{noted}/_SUCCESS"):
+        if not exists(spark, f"{noted}/_SUCCESS"):
             tally = insert_counts(known, batch).first()
             row = (sum(c.get["found"] for c in counters), tally["found"], tally["skipped"], tally["saved"])
             spark.createDataFrame([row], METRICS).coalesce(1).write.mode("overwrite").parquet(noted)
@@ -136,6 +133,7 @@ def _save_batch(job: Ingest, registry: DataFrame | None, found: DataFrame, batch
             if lines:
                 reduce(DataFrame.unionByName, lines).write.mode("overwrite").parquet(f"{job.rejects}/batch={batch_id}")
         append_articles(insert_new(batch, known), job.store, job.buckets)
+        maintain(spark, job.store, job.index_files)
     finally:
         known.unpersist()
         batch.unpersist()
@@ -161,7 +159,7 @@ def start_ingest(
 def ingest_metrics(spark: SparkSession, job: Ingest) -> DataFrame:
     """Per micro-batch: records found, kept by cleaning, skipped as known, saved."""
     whole = T.StructType([*METRICS.fields, T.StructField("batch", T.LongType())])
-    if not _exists(spark, job.metrics):
+    if not exists(spark, job.metrics):
         return spark.createDataFrame([], whole)
     return spark.read.schema(whole).parquet(job.metrics)
 
