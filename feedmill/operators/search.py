@@ -10,11 +10,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedmill.functions.columns import cutoff
+from feedmill.functions.columns import cutoff, matches, prefixed
 
 # Bounds of one list of queries sent to the executors; more queries take more passes.
 SHARD_QUERIES = 100_000
 SHARD_CHARS = 16_000_000
+# Hits (key and query, no texts) that may be broadcast to fetch their rows; more are joined by a shuffle.
+LATE_ROWS = 1_000_000
 
 
 def recent(
@@ -135,6 +137,23 @@ def _tag_automaton(df: DataFrame, words: list[str], out: str) -> DataFrame:
     return df.select(*[c for c in df.columns if c != out], F.explode(found).alias(out))
 
 
+def _tag_all(
+    df: DataFrame, queries: DataFrame, query_col: str, out: str, shard_queries: int, shard_chars: int
+) -> tuple[DataFrame, int]:
+    """``tag_matches``, and the number of distinct queries."""
+    tagged, total = None, 0
+    for words in _shards(queries, query_col, shard_queries, shard_chars):
+        if not words:
+            continue
+        total += len(words)
+        part = _tag_automaton(df, words, out)
+        tagged = part if tagged is None else tagged.unionByName(part)
+    if tagged is None:
+        names = [c for c in df.columns if c != out]
+        tagged = df.limit(0).select(*names, F.lit("").alias(out))
+    return tagged, total
+
+
 def tag_matches(
     df: DataFrame,
     queries: DataFrame,
@@ -148,16 +167,7 @@ def tag_matches(
     Articles are never shuffled or joined for this: every list, short or long, goes through a
     multi-pattern automaton. A list beyond the bounds that keep the automaton small takes another pass.
     """
-    tagged = None
-    for words in _shards(queries, query_col, shard_queries, shard_chars):
-        if not words:
-            continue
-        part = _tag_automaton(df, words, out)
-        tagged = part if tagged is None else tagged.unionByName(part)
-    if tagged is None:
-        names = [c for c in df.columns if c != out]
-        return df.limit(0).select(*names, F.lit("").alias(out))
-    return tagged
+    return _tag_all(df, queries, query_col, out, shard_queries, shard_chars)[0]
 
 
 def top_per_query(
@@ -168,6 +178,46 @@ def top_per_query(
     return df.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") <= k).drop("_rank")
 
 
+def fetch_rows(df: DataFrame, hits: DataFrame, key: Sequence[str], out: str, at_most: int) -> DataFrame:
+    """The rows of ``df`` named by ``hits`` (``key`` and ``out``), one for each hit.
+
+    There are ``at_most`` hits. Up to ``LATE_ROWS`` they go to where the rows are, so no text is shuffled.
+    """
+    wanted = prefixed(hits.select(*key, out), "_h_")
+    near = F.broadcast(wanted) if at_most <= LATE_ROWS else wanted
+    columns = [F.col(f"`{c}`") for c in df.columns if c != out]
+    return df.join(near, matches(key, "_h_")).select(*columns, F.col(f"`_h_{out}`").alias(out))
+
+
+def tag_newest(
+    df: DataFrame,
+    queries: DataFrame,
+    k: int,
+    query_col: str = "query",
+    out: str = "query",
+    date_col: str = "date",
+    tie: str = "ingest_seq",
+    key: Sequence[str] | None = None,
+    shard_queries: int = SHARD_QUERIES,
+    shard_chars: int = SHARD_CHARS,
+) -> DataFrame:
+    """The newest ``k`` articles for each query that they mention, with the query in ``out``.
+
+    ``key`` names columns that together tell every article from every other. With it only key, date and tie of a
+    hit are ranked, and titles and bodies are fetched for the first ``k`` alone; without it whole rows are ranked.
+    """
+    if key and out in key:
+        raise ValueError(f"{out} holds the query and cannot be part of the key")
+    if not key:
+        return top_per_query(_tag_all(df, queries, query_col, out, shard_queries, shard_chars)[0], k, out, date_col, tie)
+    narrow = list(dict.fromkeys([*key, date_col, tie]))
+    tagged, count = _tag_all(
+        df.select(*dict.fromkeys([*narrow, "title", "body"])), queries, query_col, "_query", shard_queries, shard_chars
+    )
+    hits = top_per_query(tagged.select(*narrow, "_query"), k, "_query", date_col, tie)
+    return fetch_rows(df, hits.withColumnRenamed("_query", out), key, out, k * count)
+
+
 def search_many(
     df: DataFrame,
     queries: DataFrame,
@@ -177,11 +227,12 @@ def search_many(
     query_col: str = "query",
     date_col: str = "date",
     tie: str = "ingest_seq",
+    key: Sequence[str] | None = None,
     **bounds: int,
 ) -> DataFrame:
-    """The newest ``k`` matches for each query of a table."""
-    tagged = tag_matches(recent(df, as_of, days, date_col=date_col), queries, query_col, **bounds)
-    return top_per_query(tagged, k, "query", date_col, tie)
+    """The newest ``k`` matches for each query of a table; ``key`` as for ``tag_newest``."""
+    window = recent(df, as_of, days, date_col=date_col)
+    return tag_newest(window, queries, k, query_col, "query", date_col, tie, key, **bounds)
 
 
 def present(df: DataFrame, date_col: str = "date", tie: str = "ingest_seq") -> DataFrame:

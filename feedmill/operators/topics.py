@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from feedmill.functions.columns import is_blank
 from feedmill.operators.changes import Changes, apply_changes
-from feedmill.operators.search import recent, tag_matches, top_per_query
+from feedmill.operators.search import recent, tag_newest
 from feedmill.schema import MAX_PER_TOPIC, SEED_TOPICS, TOPIC
 
 TOPIC_CHANGES = Changes(
@@ -60,15 +61,17 @@ def tag_by_topic(
     days: int = 1,
     date_col: str = "date",
     tie: str = "ingest_seq",
+    key: Sequence[str] | None = None,
     **bounds: int,
 ) -> DataFrame:
     """For each active topic the newest ``k`` articles of the last ``days`` that mention it.
 
-    ``searchKey`` holds the topic; an article comes once per topic it mentions.
+    ``searchKey`` holds the topic; an article comes once per topic it mentions. With a ``key`` that tells every
+    article from every other, texts are fetched for the result alone.
     """
     active = topic_table.where(F.col("active"))
-    tagged = tag_matches(recent(articles, as_of, days, date_col=date_col), active, "query", "searchKey", **bounds)
-    return top_per_query(tagged, k, "searchKey", date_col, tie)
+    window = recent(articles, as_of, days, date_col=date_col)
+    return tag_newest(window, active, k, "query", "searchKey", date_col, tie, key, **bounds)
 
 
 def topic_report(tagged: DataFrame, topic_table: DataFrame, date_col: str = "date") -> DataFrame:

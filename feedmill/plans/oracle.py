@@ -155,7 +155,7 @@ def with_views(body: str) -> str:
 def _tagged(topics: str, days: int, k: int, out: str, columns: str) -> str:
     return f"""
         select {columns} from (
-          select a.article_id, a.url, a.title, a.date, a.source, a.ingest_seq, t.query as {out},
+          select a.article_id, a.url, a.title, a.body, a.date, a.source, a.ingest_seq, t.query as {out},
             row_number() over (partition by t.query order by a.date desc, a.ingest_seq) as rn
           from articles a join {topics} t
             on contains(lower(a.title), lower(t.query)) or contains(lower(a.body), lower(t.query))
@@ -281,6 +281,9 @@ ORACLE = {
     "batch_search_mined_topics": with_views(
         _tagged("mined_topics", 30, 20, "query", "query, article_id, url, date")
     ),
+    "batch_search_bodies": with_views(
+        _tagged("mined_topics", 30, 20, "query", "query, article_id, url, date, title, body")
+    ),
     "result_view": with_views(f"""
         select row_number() over (order by h.date desc, ingest_seq) as position,
           case when article_id % 2 = 0 then title else 'No title' end as title,
@@ -292,7 +295,7 @@ ORACLE = {
         select query, category, priority, case when active then 'ACTIVE' else 'INACTIVE' end as status
         from mined_topics where category = 'en'"""),
     "topic_fanout": with_views(
-        _tagged("mined_topics", 7, 50, '"searchKey"', 'article_id, url, title, date, source, "searchKey", ingest_seq')
+        _tagged("mined_topics", 7, 50, '"searchKey"', 'article_id, body, url, title, date, source, "searchKey", ingest_seq')
     ),
     "topic_articles_report": with_views(f"""
         select m.category, t."searchKey", count(*) as articles, count(distinct t.url) as urls, max(t.date) as newest

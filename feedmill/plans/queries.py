@@ -340,6 +340,14 @@ def batch_search_mined_topics(spark, sf_dir):
     )
 
 
+@query
+def batch_search_bodies(spark, sf_dir):
+    """The search of all mined topics with titles and bodies, which only the hits of the result are read for."""
+    active = fx.mined_topics(spark, sf_dir).where("active")
+    found = Q.search_many(fx.articles(spark, sf_dir), active, fx.AS_OF, days=30, k=20, key=["article_id"])
+    return found.select("query", "article_id", "url", "date", "title", "body")
+
+
 @query
 def result_view(spark, sf_dir):
     hits = Q.search(fx.articles(spark, sf_dir), "the", fx.AS_OF, days=7, limit=20)
@@ -364,8 +372,10 @@ def topic_listing(spark, sf_dir):
 
 @query
 def topic_fanout(spark, sf_dir):
-    tagged = T.tag_by_topic(fx.articles(spark, sf_dir), fx.mined_topics(spark, sf_dir), fx.AS_OF, days=7)
-    return tagged.select("article_id", *SHORT)
+    tagged = T.tag_by_topic(
+        fx.articles(spark, sf_dir), fx.mined_topics(spark, sf_dir), fx.AS_OF, days=7, key=["article_id"]
+    )
+    return tagged.select("article_id", "body", *SHORT)
 
 
 @query

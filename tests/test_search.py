@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -127,3 +128,32 @@ def test_fanout_and_report(spark, corpus):
     assert sorted((r.searchKey, r.url) for r in tagged.collect()) == [("gold", "u3"), ("gold", "u4"), ("élan", "u1")]
     report = {r.searchKey: tuple(r) for r in T.topic_report(tagged, table).collect()}
     assert report["gold"] == ("commodities", "gold", 2, 2, ago(3))
+
+
+def exchanged(df):
+    """Names of the columns that pass the exchanges of a plan."""
+    plan = df.sparkSession._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    inputs = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*?)\]\n", plan)
+    assert inputs
+    return {name.split("#")[0] for part in inputs for name in part.split(", ")}
+
+
+def test_texts_are_fetched_late(spark, tmp_path, monkeypatch):
+    rows = [(i, f"u{i % 7}", f"gold {i}" if i % 2 else None, "x" * 50 + " tin" * (i % 3), datetime(2024, 1, 1 + i % 20), i % 9) for i in range(120)]
+    rows += [(None, "n", "gold", "tin", datetime(2024, 1, 2), 1)]
+    articles = spark.createDataFrame(rows, "id long, url string, title string, body string, date timestamp, ingest_seq long")
+    articles.write.parquet(str(tmp_path / "a"))
+    articles = spark.read.parquet(str(tmp_path / "a"))
+    queries = spark.createDataFrame([("gold",), ("tin",), ("GOLD",), ("lead",), ("",)], "query string")
+    for late in (Q.LATE_ROWS, 0):
+        monkeypatch.setattr(Q, "LATE_ROWS", late)
+        for k in (1, 5, 500):
+            want = Q.search_many(articles, queries, "2024-01-31", days=30, k=k)
+            got = Q.search_many(articles, queries, "2024-01-31", days=30, k=k, key=["id"])
+            assert sorted(map(tuple, got.select(*want.columns).collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+            if late:
+                assert not {"title", "body"} & exchanged(got)
+    tagged = T.tag_by_topic(articles, queries.selectExpr("query", "true as active"), "2024-01-31", k=2, days=30, key=["id"])
+    assert {"body", "searchKey"} <= set(tagged.columns) and not {"title", "body"} & exchanged(tagged)
+    with pytest.raises(ValueError):
+        Q.search_many(articles, queries, "2024-01-31", key=["query"])
