@@ -276,6 +276,18 @@ ORACLE = {
                       when date >= timestamp '{AS_OF}' - interval 7 day then 7 else 30 end as tier
           from ({_hits(PHRASE, 30, "article_id, url, date")})))
         where tier = best order by date desc, article_id limit 20""").replace("select * from (select", "select article_id, url, date, tier from (select", 1),
+    "indexed_keyword_search": with_views(f"""
+        select body, url, title, date, source, "searchKey", ingest_seq from store
+        where date >= timestamp '{STORE_CUT}' - interval 14 day
+          and (contains(lower(title), '{PHRASE}') or contains(lower(body), '{PHRASE}'))"""),
+    "indexed_widening_search": with_views(f"""
+        select url, date, ingest_seq, tier from (
+          select *, min(tier) over () as best from (
+            select *, case when date >= timestamp '{STORE_CUT}' - interval 1 day then 1
+                        when date >= timestamp '{STORE_CUT}' - interval 7 day then 7 else 30 end as tier
+            from store where date >= timestamp '{STORE_CUT}' - interval 30 day
+              and (contains(lower(title), '{PHRASE}') or contains(lower(body), '{PHRASE}'))))
+        where tier = best order by date desc, ingest_seq limit 20"""),
     "batch_search": with_views(_tagged("topics", 7, 20, "query", "query, article_id, url, date")),
     "batch_search_seed_topics": with_views(_tagged("seed_topics", 30, 20, "query", "query, article_id, url, date")),
     "batch_search_mined_topics": with_views(

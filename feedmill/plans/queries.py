@@ -23,6 +23,7 @@ from feedmill.session import scratch_path, use_utc
 from feedmill.sources.keyindex import known_urls
 from feedmill.sources.normalize import normalize_aggregator, normalize_rss, normalize_search, to_articles, union_feeds
 from feedmill.sources.sink import compact_store, insert_articles, read_store, upsert_articles
+from feedmill.sources.textindex import maintain_text, read_mentions
 from feedmill.streaming.ingest import Ingest, dedupe_stream, ingest_metrics, start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -299,6 +300,29 @@ def keyword_search(spark, sf_dir):
     return Q.search(fx.articles(spark, sf_dir), "The", fx.AS_OF, days=7, limit=None).select("article_id", *SHORT)
 
 
+def stored_with_text_index(spark: SparkSession, sf_dir: str) -> str:
+    """The early articles in a store whose first half the trigram index covers."""
+    path = scratch_path(spark, "text-index")
+    store, _ = store_and_batch(spark, sf_dir)
+    for part in range(2):
+        insert_articles(to_articles(store.where(F.col("ingest_seq") % 2 == part).drop("article_id")), path, buckets=8)
+        if part == 0:
+            maintain_text(spark, path)
+    return path
+
+
+@query
+def indexed_keyword_search(spark, sf_dir):
+    near = read_mentions(spark, stored_with_text_index(spark, sf_dir), fx.PHRASE)
+    return plain(Q.search(near, fx.PHRASE, fx.STORE_CUT, days=14, limit=None).select("body", *SHORT))
+
+
+@query
+def indexed_widening_search(spark, sf_dir):
+    near = read_mentions(spark, stored_with_text_index(spark, sf_dir), fx.PHRASE)
+    return plain(Q.search_widening(near, fx.PHRASE, fx.STORE_CUT).select("url", "date", "ingest_seq", "tier"))
+
+
 @query
 def source_filter(spark, sf_dir):
     hits = Q.search(fx.articles(spark, sf_dir), "the", fx.AS_OF, days=30, sources="src1,src2,src7", limit=None)

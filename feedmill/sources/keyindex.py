@@ -1,38 +1,26 @@
 """An index of the stored URLs, so that a batch is checked without reading the URLs of all it could meet.
 
-A key is the first 16 bytes of the SHA-256 of a URL. Keys lie in *parts* beside the data, by bucket and sorted, in small row
+A key is the first 16 bytes of the SHA-256 of a URL. Keys lie in parts (``parts``) by bucket and sorted, in small row
 groups with a bloom filter in the footer. The keys of a small batch are pushed down to the scan, so row groups
 whose range or bloom filter excludes them are never read; a larger batch meets the keys in a semi-join, 16 bytes a
-stored URL. A part says which data files it covers. Files that no part covers, such as those of the last batches or of
-a writer that failed, are read themselves: the answer is right whatever the index covers, and never needs it.
-
-``maintain`` adds the uncovered files as one part, together with the newest parts of similar size, so there are few
-parts and a key is rewritten a logarithmic number of times. URLs never leave the store, so a key never gets wrong.
+stored URL. Files that no part covers give their URLs. URLs never leave the store, so a key never gets wrong.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedmill.sources import files
+from feedmill.sources.parts import BUCKET, extend, state, stored_files, uncovered
 
-BUCKET, VERSION = "bucket", "version"
-KEYS, STATE = "keys", "_state."
+KEYS = "keys"
 KEY_BYTES = 16
 #: Keys of a batch that are pushed down as literals; a larger batch is joined.
 LITERALS = 1000
 ROW_GROUP_BYTES = 1 << 20
-#: A part is merged with the next larger one unless that is more than so many times as large.
-FAN = 4
-#: Uncovered files that are worth a new part.
-INDEX_FILES = 64
 IN_THRESHOLD = "spark.sql.parquet.pushdown.inFilterThreshold"
-CURRENT = "_current."
 
 
 def bucket_of(key: Column, buckets: int) -> Column:
@@ -46,88 +34,33 @@ def key_of(url: Column) -> Column:
     return F.when(url.isNull(), F.lit(b"")).otherwise(digest)
 
 
-def current_versions(spark: SparkSession, path: str) -> dict[int, int]:
-    """Version of every bucket that an upsert or a compaction has rewritten; all others are at 0."""
-    switches = [int(n.removeprefix(CURRENT)) for n in files.listed(spark, path, f"{CURRENT}*", rf"{CURRENT}\d+")]
-    if not switches:
-        return {}
-    return {int(b): v for b, v in json.loads(files.text(spark, path, f"{CURRENT}{max(switches)}")).items()}
-
-
-def stored_files(spark: SparkSession, path: str) -> dict[int, list[str]]:
-    """Data files of each bucket's current version, relative to the store, by one listing."""
-    versions = current_versions(spark, path)
-    found: dict[int, list[str]] = {}
-    for name in files.listed(spark, path, f"{BUCKET}=*/{VERSION}=*/*.parquet", rf"{BUCKET}=\d+/{VERSION}=\d+/[^/,]*\.parquet"):
-        bucket, version = (int(part.split("=")[1]) for part in name.split("/")[:2])
-        if versions.get(bucket, 0) == version:
-            found.setdefault(bucket, []).append(name)
-    return found
-
-
-def _state(spark: SparkSession, path: str) -> tuple[int, list[dict]]:
-    """Number and parts of the newest state of the index."""
-    folder = f"{path.rstrip('/')}/{KEYS}"
-    numbers = [int(n.removeprefix(STATE)) for n in files.listed(spark, folder, f"{STATE}*", rf"{STATE}\d+")]
-    if not numbers:
-        return -1, []
-    return max(numbers), json.loads(files.text(spark, folder, f"{STATE}{max(numbers)}"))
+def _entries(spark: SparkSession, places: list[str]) -> DataFrame:
+    """Keys of data files, with the buckets that the files lie in."""
+    bucket = F.regexp_extract("_metadata.file_path", rf"/{BUCKET}=(\d+)/", 1).cast("int")
+    return spark.read.schema("url string").parquet(*places).select(key_of(F.col("url")).alias("key"), bucket.alias(BUCKET))
 
 
-def _uncovered(stored: dict[int, list[str]], parts: list[dict]) -> dict[int, list[str]]:
-    covered = {f for p in parts for f in p["files"]}
-    left = {b: [f for f in names if f not in covered] for b, names in stored.items()}
-    return {b: names for b, names in left.items() if names}
-
-
-def maintain(spark: SparkSession, path: str, at_least: int = 1) -> bool:
-    """Cover the data files that no part covers, if there are ``at_least`` so many; whether it did.
-
-    The new state counts from the moment its file is there. What a failed call has written is never read.
-    """
-    stored = stored_files(spark, path)
-    number, parts = _state(spark, path)
-    left = _uncovered(stored, parts)
-    fresh = [f for names in left.values() for f in names]
-    if len(fresh) < max(1, at_least):
-        return False
-    now = {f for names in stored.values() for f in names}
-    live = sorted((p for p in parts if now & set(p["files"])), key=lambda p: p["rows"])
-    root = path.rstrip("/")
-    rows = spark.read.schema("url string").parquet(*[f"{root}/{f}" for f in fresh]).select(
-        F.regexp_extract("_metadata.file_path", rf"/{BUCKET}=(\d+)/", 1).cast("int").alias(BUCKET), key_of(F.col("url")).alias("key")
-    )
-    size, merged = spark.read.schema("url string").parquet(*[f"{root}/{f}" for f in fresh]).count(), []
-    while live and live[0]["rows"] <= FAN * size:
-        merged.append(live.pop(0))
-        size += merged[-1]["rows"]
-    for part in merged:
-        rows = rows.unionByName(spark.read.schema(f"key binary, {BUCKET} int").parquet(f"{root}/{KEYS}/{part['name']}"))
-    if merged:
-        rows = rows.distinct()  # a bucket that was rewritten brings its URLs again
-    name = f"part={uuid.uuid4().hex}"
+def _write(entries: DataFrame, place: str) -> None:
     (
-        rows.repartition(F.col(BUCKET))
+        entries.repartition(F.col(BUCKET))
         .sortWithinPartitions(BUCKET, "key")
         .write.partitionBy(BUCKET)
         .option("parquet.block.size", ROW_GROUP_BYTES)
         .option("parquet.bloom.filter.enabled#key", "true")
         .option("parquet.bloom.filter.expected.ndv#key", ROW_GROUP_BYTES // KEY_BYTES)
-        .parquet(f"{root}/{KEYS}/{name}")
+        .parquet(place)
     )
-    made = {
-        "name": name,
-        "rows": spark.read.schema("key binary").parquet(f"{root}/{KEYS}/{name}").count(),
-        "buckets": sorted({*left, *(b for p in merged for b in p["buckets"])}),
-        "files": sorted({*fresh, *(f for p in merged for f in p["files"] if f in now)}),
-    }
-    files.put(spark, f"{root}/{KEYS}", f"{STATE}{number + 1}", json.dumps([*live, made]))
-    kept = {p["name"] for p in (*parts, made)}  # readers may still be at the state before
-    for old in files.listed(spark, f"{root}/{KEYS}", "part=*", r"part=\w+"):
-        if old not in kept:
-            files.remove(spark, f"{root}/{KEYS}", old)
-    files.remove(spark, f"{root}/{KEYS}", f"{STATE}{number - 1}")
-    return True
+
+
+def maintain(spark: SparkSession, path: str, at_least: int = 1) -> bool:
+    """Cover the data files that no part covers, if there are ``at_least`` so many; whether it did."""
+    return extend(spark, path, KEYS, lambda places: _entries(spark, places), _write, at_least)
+
+
+def push_down_lists(spark: SparkSession) -> None:
+    """Lists of up to ``LITERALS`` values reach the scan value by value, unless the session says how many."""
+    if spark.conf.get(IN_THRESHOLD) == "10":
+        spark.conf.set(IN_THRESHOLD, str(LITERALS))
 
 
 def known_urls(spark: SparkSession, path: str, batch: DataFrame, buckets: int, literals: int = LITERALS) -> DataFrame:
@@ -142,12 +75,12 @@ def known_urls(spark: SparkSession, path: str, batch: DataFrame, buckets: int, l
     if not met:
         return none
     root, stored = path.rstrip("/"), stored_files(spark, path)
-    _, parts = _state(spark, path)
+    _, parts = state(spark, f"{root}/{KEYS}")
     places = [f"{root}/{KEYS}/{p['name']}/{BUCKET}={b}" for p in parts for b in p["buckets"] if b in met]
-    loose = [f"{root}/{f}" for b, names in _uncovered(stored, parts).items() if b in met for f in names]
+    loose = [f"{root}/{f}" for b, names in uncovered(stored, parts).items() if b in met for f in names]
     asked = wanted.select("url", "key").collect() if sum(met.values()) <= literals else None
-    if asked is not None and spark.conf.get(IN_THRESHOLD) == "10":
-        spark.conf.set(IN_THRESHOLD, str(LITERALS))
+    if asked is not None:
+        push_down_lists(spark)
     found = []
     if places:
         keys = spark.read.schema("key binary").parquet(*places)

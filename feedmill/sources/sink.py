@@ -21,9 +21,8 @@ from pyspark.sql import types as T
 from feedmill.operators.store import insert_counts, insert_new, upsert, upsert_counts
 from feedmill.schema import ARTICLE, REQUIRED
 from feedmill.sources import files
-from feedmill.sources.keyindex import (
-    BUCKET, CURRENT, INDEX_FILES, VERSION, bucket_of, current_versions, known_urls, maintain, stored_files,
-)
+from feedmill.sources.keyindex import bucket_of, known_urls, maintain
+from feedmill.sources.parts import BUCKET, CURRENT, INDEX_FILES, VERSION, current_versions, stored_files
 
 BUCKETS = 64
 WRITER = "_writer"

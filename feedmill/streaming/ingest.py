@@ -16,11 +16,12 @@ from feedmill.operators.store import insert_counts, insert_new, last_in_batch
 from feedmill.schema import AGGREGATOR_RECORD, ARTICLE, ATOM_ENTRY, BOILERPLATE, RSS_ITEM, SEARCH_RECORD
 from feedmill.session import use_utc
 from feedmill.sources.files import exists
-from feedmill.sources.keyindex import INDEX_FILES, known_urls, maintain
+from feedmill.sources.keyindex import known_urls, maintain
 from feedmill.sources.landing import (
     CORRUPT, atom_entries, feed_reader, readable, records, rejected, rss_items, with_arrival,
 )
 from feedmill.sources.normalize import normalize_aggregator, normalize_rss, normalize_search, to_articles
+from feedmill.sources.parts import INDEX_FILES
 from feedmill.sources.sink import BUCKETS, append_articles, claim_store
 
 POLL = "30 seconds"
