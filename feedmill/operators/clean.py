@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -85,37 +86,114 @@ def parse_dates(df: DataFrame, date_col: str = "date") -> DataFrame:
     return df
 
 
-def flatten(df: DataFrame, sep: str = ".", max_items: int = 0) -> DataFrame:
-    """Nested records as ``a.b.c`` columns, list elements as ``a.0.b``.
+def list_lengths(df: DataFrame, sep: str = ".", columns: Sequence[str] | None = None) -> dict[str, int]:
+    """Greatest length of every list in ``df``, or in some columns, lists in lists included, by one aggregation.
 
-    A Spark schema is fixed, so lists need ``max_items``, the greatest length to spread.
-    ``list_lengths`` finds it; lists longer than ``max_items`` are an error, never cut.
+    The lists are named as ``flatten`` names them, with ``*`` for any element: ``people.*.ids``.
     """
+    longest: dict[str, Column] = {}
 
-    def leaves(value: Column, name: str, dtype: T.DataType) -> list[Column]:
+    def field_of(name: str):
+        return lambda value: value.getField(name)
+
+    def walk(values: Column, name: str, dtype: T.DataType) -> None:
+        """``values`` holds what a row has at a place, all elements of the lists above it together."""
+        if isinstance(dtype, T.StructType):
+            for field in dtype.fields:
+                walk(F.transform(values, field_of(field.name)), f"{name}{sep}{field.name}", field.dataType)
+        elif isinstance(dtype, T.ArrayType):
+            there = F.filter(values, lambda v: v.isNotNull())
+            longest[name] = F.coalesce(F.max(F.array_max(F.transform(there, F.size))), F.lit(0))
+            walk(F.flatten(there), f"{name}{sep}*", dtype.elementType)
+
+    for field in df.schema.fields:
+        if columns is None or field.name in columns:
+            walk(F.array(quoted(field.name)), field.name, field.dataType)
+    if not longest:
+        return {}
+    found = df.agg(*[c.alias(f"n{i}") for i, c in enumerate(longest.values())]).first()
+    return dict(zip(longest, found))
+
+
+def flatten(
+    df: DataFrame, sep: str = ".", max_items: int | None = 0, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Nested records as ``a.b.c`` columns, list elements as ``a.0.b``; all of them, or those in some columns.
+
+    A Spark schema is fixed, so lists need a greatest length: with ``max_items=None`` that of each list is found
+    first, by one more pass if there is any list; a list that is empty in all rows then has no column. With 0 lists stay
+    as they are. Lists longer than ``max_items`` are an error, never cut.
+    """
+    lengths = list_lengths(df, sep, columns) if max_items is None else {}
+
+    def leaves(value: Column, name: str, dtype: T.DataType, place: str) -> list[Column]:
         if isinstance(dtype, T.StructType):
             return [
                 leaf
                 for field in dtype.fields
-                for leaf in leaves(value.getField(field.name), f"{name}{sep}{field.name}", field.dataType)
+                for leaf in leaves(
+                    value.getField(field.name), f"{name}{sep}{field.name}", field.dataType, f"{place}{sep}{field.name}"
+                )
             ]
-        if isinstance(dtype, T.ArrayType) and max_items > 0:
+        items = lengths[place] if max_items is None and isinstance(dtype, T.ArrayType) else max_items
+        if isinstance(dtype, T.ArrayType) and (items or max_items is None):
             fits = F.when(
-                F.size(value) > max_items,
-                F.raise_error(F.lit(f"list {name} has more than {max_items} elements")).cast(dtype),
+                F.size(value) > items,
+                F.raise_error(F.lit(f"list {name} has more than {items} elements")).cast(dtype),
             ).otherwise(value)
             return [
                 leaf
-                for i in range(max_items)
-                for leaf in leaves(F.get(fits, F.lit(i)), f"{name}{sep}{i}", dtype.elementType)
+                for i in range(items)
+                for leaf in leaves(F.get(fits, F.lit(i)), f"{name}{sep}{i}", dtype.elementType, f"{place}{sep}*")
             ]
         return [value.alias(name)]
 
     return df.select(
-        *[leaf for field in df.schema.fields for leaf in leaves(df[f"`{field.name}`"], field.name, field.dataType)]
+        *[
+            leaf
+            for field in df.schema.fields
+            for leaf in (
+                leaves(quoted(field.name), field.name, field.dataType, field.name)
+                if columns is None or field.name in columns
+                else [quoted(field.name)]
+            )
+        ]
     )
 
 
+def json_layout(df: DataFrame, column: str) -> T.StructType:
+    """The layout of the JSON objects in a text column, found in one pass over all of them.
+
+    A key that has values of several kinds, or nothing but null, is text. Text that is no JSON object is passed over.
+    """
+    value = F.try_parse_json(quoted(column))
+    told = df.agg(F.schema_of_variant_agg(F.when(F.schema_of_variant(value).startswith("OBJECT"), value)).alias("s")).first()["s"]
+    if not told or not told.startswith("OBJECT<"):
+        return T.StructType()
+    names = re.compile(r"`(?:[^`]|``)*`|\b(?:OBJECT(?=<)|VARIANT|VOID)\b")
+    plain = {"OBJECT": "STRUCT", "VARIANT": "STRING", "VOID": "STRING"}
+    return T._parse_datatype_string(names.sub(lambda m: plain.get(m[0], m[0]), told))
+
+
+def flatten_json(df: DataFrame, column: str, sep: str = ".") -> DataFrame:
+    """The other columns and, as ``a.b.0.c`` columns, all that the JSON objects in a text column hold.
+
+    Nobody has to name the keys or say how long lists get: one pass finds the layout, a second one the lengths of
+    lists, where there are any. Columns of ``df`` keep their names; a key of the same name as one of them is an error.
+    """
+    layout = json_layout(df, column)
+    others = [quoted(c) for c in df.columns if c != column]
+    if not layout.fields:
+        return df.select(*others)
+    clash = {f.name for f in layout.fields} & {c for c in df.columns if c != column}
+    if clash:
+        raise ValueError(f"keys {sorted(clash)} are columns as well")
+    read = df.withColumn("_json", F.from_json(quoted(column), layout))
+    keys = [f.name for f in layout.fields]
+    spread = read.select(*others, *[F.col("_json").getField(k).alias(k) for k in keys])
+    return flatten(spread, sep, max_items=None, columns=keys)
+
+
 def longest_list(df: DataFrame, column: str) -> int:
     """Greatest length of a list column, for ``flatten``."""
     return df.agg(F.max(F.size(F.col(column)))).first()[0] or 0
@@ -136,11 +214,18 @@ def clean(
     removes every equal row. Boilerplate goes after the dedupe, so an older clean copy of a URL
     is not brought back. ``rank_col`` adds the recency rank of what is left.
     """
-    flat = parse_dates(flatten(df), date_col)
+    flat = parse_dates(flatten(df, max_items=None), date_col)
     flat = flat.drop(*[c for c in TECHNICAL if c in flat.columns])
-    # Judged before the dedupe, so that counting the rest for the rank needs no bodies.
-    judged = flat.withColumn("_bad", has_boilerplate(phrases))
-    kept = newest_by_key(judged, [*batch_keys, "url"], date_col, seq_col).where(~F.col("_bad")).drop("_bad")
-    if rank_col:
-        kept = recency_rank(kept, batch_keys or ["searchKey"], date_col, seq_col, rank_col)
-    return kept
+    # A struct is never null and compares null fields as equal: one key for the dedupe and for the join below.
+    key = F.struct(*[quoted(k).alias(f"k{i}") for i, k in enumerate([*batch_keys, "url"])])
+    judged = flat.withColumn("_bad", has_boilerplate(phrases)).withColumn("_key", key)
+    newest = newest_first(date_col, seq_col)
+    kept = _first_of(judged, [F.col("_key")], *newest).where(~F.col("_bad")).drop("_bad")
+    if not rank_col:
+        return kept.drop("_key")
+    # Ranks are found on the same rows without their texts, which then meet the texts where the dedupe has put them.
+    groups = list(batch_keys) or ["searchKey"]
+    narrow = judged.select("_key", "_bad", *[quoted(c) for c in dict.fromkeys([*groups, date_col, seq_col])])
+    left = _first_of(narrow, [F.col("_key")], *newest).where(~F.col("_bad"))
+    ranks = recency_rank(left, groups, date_col, seq_col, rank_col).select("_key", rank_col)
+    return kept.join(ranks, "_key").drop("_key")

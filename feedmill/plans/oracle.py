@@ -232,8 +232,16 @@ ORACLE = {
           row_number() over (partition by "searchKey" order by date desc, ingest_seq) - 1 as recency from articles"""),
     "parse_dates_utc": with_views("""
         select article_id, case when article_id % 6 <> 5 then date_trunc('second', date) end as date from articles"""),
+    "flatten_json_records": with_views("""
+        select article_id, case when article_id % 11 <> 0 then source end as "from",
+          case when article_id % 11 <> 0 and article_id % 2 = 0 then url end as "about.url",
+          case when article_id % 11 <> 0 and article_id % 4 = 0 then source end as "about.tags.0.name",
+          case when article_id % 11 <> 0 and article_id % 12 = 0 then "searchKey" end as "about.tags.1.name",
+          case when article_id % 11 <> 0 and article_id % 5 = 0 then length(body) end as chars
+        from articles"""),
     "clean_batch": with_views(f"""
-        select body, row_number() over (partition by "searchKey" order by date desc, ingest_seq) - 1 as recency, {SHORT}
+        select body, row_number() over (partition by "searchKey" order by date desc, ingest_seq) - 1 as recency, {SHORT},
+          source as "tags.0.name", case when article_id % 3 = 0 then "searchKey" end as "tags.1.name"
         from cleaned"""),
     "existing_keys": with_views("select distinct url from batch where url in (select url from store)"),
     "indexed_existing_keys": with_views("select distinct url from batch where url in (select url from store)"),

@@ -140,6 +140,25 @@ def flatten_nested(spark, sf_dir):
     return C.flatten(nested, max_items=2).drop("parts.1.chars")
 
 
+def tags() -> Column:
+    """A list of one or two records, by article."""
+    both = [F.struct(F.col(c).alias("name")) for c in ("source", "searchKey")]
+    return F.when(F.col("article_id") % 3 == 0, F.array(*both)).otherwise(F.array(both[0]))
+
+
+@query
+def flatten_json_records(spark, sf_dir):
+    """Records as JSON text whose keys differ from row to row; nothing about them is known beforehand."""
+    doc = F.col("article_id")
+    nested = F.struct(
+        F.col("source").alias("from"),
+        F.when(doc % 2 == 0, F.struct(F.col("url"), F.when(doc % 4 == 0, tags()).alias("tags"))).alias("about"),
+        F.when(doc % 5 == 0, F.length("body")).alias("chars"),
+    )
+    texts = fx.articles(spark, sf_dir).select(doc, F.when(doc % 11 != 0, F.to_json(nested)).otherwise("{cut").alias("json"))
+    return C.flatten_json(texts, "json")
+
+
 @query
 def require_columns(spark, sf_dir):
     articles = fx.articles(spark, sf_dir)
@@ -198,8 +217,10 @@ def parse_dates_utc(spark, sf_dir):
 
 @query
 def clean_batch(spark, sf_dir):
-    cleaned = C.clean(fx.articles(spark, sf_dir), [fx.PHRASE], batch_keys=["searchKey"], rank_col="recency")
-    return cleaned.select("body", "recency", *SHORT)
+    """Articles with a list whose length nobody names."""
+    tagged = fx.articles(spark, sf_dir).withColumn("tags", tags())
+    cleaned = C.clean(tagged, [fx.PHRASE], batch_keys=["searchKey"], rank_col="recency")
+    return cleaned.select("body", "recency", "`tags.0.name`", "`tags.1.name`", *SHORT)
 
 
 # Store

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 import pytest
@@ -116,6 +117,53 @@ def test_flatten(spark):
         C.flatten(df, max_items=1).collect()
 
 
+def test_flatten_finds_the_lengths_of_lists(spark):
+    rows = [
+        Row(n=1, people=[Row(name="n", ids=[1, 2, 3]), None], none=[], grid=[[1], None, [2, 3]]),
+        Row(n=2, people=[], none=[], grid=[]),
+        Row(n=3, people=None, none=None, grid=[None]),
+    ]
+    schema = "n int, people array<struct<name:string,ids:array<int>>>, none array<struct<x:int>>, grid array<array<int>>"
+    df = spark.createDataFrame(rows, schema)
+    assert C.list_lengths(df) == {"people": 2, "people.*.ids": 3, "none": 0, "grid": 3, "grid.*": 2}
+    out = C.flatten(df, max_items=None)
+    assert out.columns == [
+        "n", "people.0.name", *(f"people.0.ids.{i}" for i in range(3)), "people.1.name", *(f"people.1.ids.{i}" for i in range(3)),
+        *(f"grid.{i}.{j}" for i in range(3) for j in range(2)),
+    ]
+    first = out.orderBy("n").first().asDict()
+    assert (first["people.0.ids.2"], first["people.1.name"], first["grid.2.1"], first["grid.1.0"]) == (3, None, 3, None)
+    empty = C.flatten(df.where("n > 9"), max_items=None)
+    assert empty.columns == ["n"] and empty.count() == 0
+
+
+def test_flatten_json(spark):
+    texts = [
+        '{"a": 1, "b": {"c d": [1, 2, {"x": null}]}, "mixed": 1, "nil": null}',
+        '{"mixed": {"y": [1]}, "b": {"e": "t"}, "a": 2.5}',
+        "{broken", None, "[1, 2]", "7", "{}",
+    ]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, json string")
+    out = C.flatten_json(df, "json")
+    assert set(out.columns) == {"id", "a", "b.c d.0", "b.c d.1", "b.c d.2", "b.e", "mixed", "nil"}
+    got = {r["id"]: r.asDict() for r in out.collect()}
+    assert len(got) == 7 and float(got[0]["a"]) == 1 and float(got[1]["a"]) == 2.5
+    assert (got[0]["b.c d.0"], got[0]["b.c d.2"], got[1]["b.e"], got[0]["mixed"], got[1]["mixed"]) == ("1", '{"x":null}', "t", "1", '{"y":[1]}')
+    assert all(v is None for k, v in got[2].items() if k != "id")
+    assert C.flatten_json(df.where("id = 3"), "json").columns == ["id"]
+    with pytest.raises(ValueError, match="columns as well"):
+        C.flatten_json(df.withColumn("a", F.lit(1)), "json")
+
+
+def test_texts_pass_one_exchange_in_clean(spark, tmp_path):
+    df = art(spark, *[(f"u{i % 5}", "t", f"body {i}", day(1 + i % 9), f"k{i % 2}", None, i) for i in range(50)])
+    df.write.parquet(str(tmp_path / "a"))
+    plan = C.clean(spark.read.parquet(str(tmp_path / "a")), batch_keys=["searchKey"], rank_col="rank")
+    told = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(plan._jdf.queryExecution(), "formatted")
+    inputs = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*?)\]\n", told)
+    assert sum("body#" in i for i in inputs) == 1
+
+
 def test_clean_does_not_bring_back_an_older_copy(spark):
     bad = f"x {BOILERPLATE[1]} y"
     df = art(
