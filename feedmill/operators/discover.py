@@ -8,15 +8,16 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedmill.functions.columns import bound, strip_space
-from feedmill.functions.html import anchors, attribute, link_tags, open_tag, sole_text, visible
+from feedmill.functions.html import FROM_ANCHOR, FROM_LINK, feed_finds
 from feedmill.functions.urls import mentioned_urls, resolve_href, strip_www, url_domain
 from feedmill.operators.clean import keep_one
 from feedmill.operators.search import recent
 from feedmill.schema import FEED_PATHS, UNTITLED_FEED
 
 # Candidates are found in this order; the first place a URL occurs in gives its title.
-FROM_LINK, FROM_ANCHOR, FROM_PROBE = 1, 2, 3
+FROM_PROBE = FROM_ANCHOR + 1
+# Pages without any of these have no feed link: the words, or a reference that may spell a letter of one.
+MAY_HAVE_FEEDS = "(?i)rss|feed|atom|&#"
 
 
 def article_domains(df: DataFrame) -> DataFrame:
@@ -77,39 +78,14 @@ def feed_candidates(
     """Feed links of pages (``domain, html``), each page read once for all ``kinds``.
 
     Link elements count when their type names rss or atom, anchors when their sole text speaks
-    of rss, feed or atom in any case. Either needs a non-empty href.
+    of rss, feed or atom in any case. Either needs a non-empty href. ``pos`` numbers the elements of a kind in a page.
     """
-    finders = {FROM_LINK: link_tags, FROM_ANCHOR: anchors}
-
-    def of_kind(kind: int, html: Column) -> Column:
-        return F.transform(
-            finders[kind](html),
-            lambda e, i: F.struct(F.lit(kind).alias("priority"), i.alias("pos"), e.alias("element")),
-        )
-
-    def elements(html: Column) -> Column:
-        return F.concat(*[of_kind(kind, html) for kind in kinds])
-
-    found = (
-        pages.where(F.col("html").rlike("(?i)rss|feed|atom"))
-        .select("domain", F.col(page_col).alias("page"), F.explode(bound(visible(F.col("html")), elements)).alias("_e"))
-        .select("domain", "page", "_e.*")
+    found = pages.where(F.col("html").rlike(MAY_HAVE_FEEDS)).select(
+        "domain", F.col(page_col).alias("page"), F.explode(feed_finds(F.col("html"))).alias("_e")
     )
-    element, is_link = F.col("element"), F.col("priority") == FROM_LINK
-    kind, text = attribute(element, "type"), sole_text(element)
-    wanted = F.when(is_link, kind.contains("rss") | kind.contains("atom")).otherwise(text.rlike("(?i)rss|feed|atom"))
-    title = F.when(is_link, attribute(element, "title")).otherwise(F.nullif(strip_space(text), F.lit("")))
-    return (
-        found.where(wanted)
-        .select(
-            "domain",
-            "priority",
-            "page",
-            "pos",
-            attribute(F.when(is_link, element).otherwise(open_tag(element)), "href").alias("href"),
-            F.coalesce(title, F.lit(UNTITLED_FEED)).alias("title"),
-        )
-        .where(F.col("href") != "")
+    title = F.when(F.col("_e.priority") == FROM_LINK, F.col("_e.title")).otherwise(F.nullif("_e.title", F.lit("")))
+    return found.where(F.col("_e.priority").isin(list(kinds))).select(
+        "domain", "_e.priority", "page", "_e.pos", "_e.href", F.coalesce(title, F.lit(UNTITLED_FEED)).alias("title")
     )
 
 

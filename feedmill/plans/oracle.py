@@ -399,6 +399,12 @@ ORACLE = {
     "new_domain_candidates": with_views("select * from wanted"),
     "feed_link_tags": with_views("select domain, page, href, title from links"),
     "feed_anchor_tags": with_views("select domain, page, href, title from anchors"),
+    "feed_markup": with_views("""
+        select domain, page, 1 as priority, href, title from links
+        union all select domain, page, 2, href, title from anchors
+        union all select domain, page_id, 1, concat('/n', page_id), concat('N°', page_id) from feed_pages
+        union all select domain, page_id, 2, concat('/w', page_id), 'RSS' from feed_pages
+        union all select domain, page_id, 2, concat('/u', page_id, '?a=1&b=2'), 'Café ’s feed' from feed_pages"""),
     "resolve_href": f"""
         with hrefs as (
           select page_id, {HOST.format(url="url")} as domain, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) as href,

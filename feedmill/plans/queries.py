@@ -503,6 +503,19 @@ def feed_anchor_tags(spark, sf_dir):
     return X.feed_anchors(fx.feed_pages(spark, sf_dir)).select("domain", "page", "href", "title")
 
 
+@query
+def feed_markup(spark, sf_dir):
+    """Pages with named and numbered references, an anchor that only its parent closes, and wrapped texts."""
+    page = F.col("page_id").cast("string")
+    front = F.concat(
+        F.lit('<p><a href="/u'), page, F.lit('?a=1&amp;b=2">Caf&eacute; &#8217;s feed</p><div><a href=/w'), page,
+        F.lit('><b><i>&#82;SS</i></b></a></div><LINK TYPE=application/atom+xml title="N&deg;'), page,
+        F.lit("\" href='/n"), page, F.lit("'><a href=/no>not <b>this feed</b></a>"),
+    )
+    pages = fx.feed_pages(spark, sf_dir).withColumn("html", F.concat(front, F.col("html")))
+    return X.feed_candidates(pages).select("domain", "page", "priority", "href", "title")
+
+
 @query
 def resolve_href_(spark, sf_dir):
     """Every link of every page, in seven spellings."""

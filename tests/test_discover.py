@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from datetime import datetime
 from html.parser import HTMLParser
 from urllib.parse import urljoin, urlparse
@@ -7,6 +8,7 @@ from urllib.parse import urljoin, urlparse
 import pytest
 from pyspark.sql import functions as F
 
+from feedmill.functions.html import VOID, feeds_of
 from feedmill.functions.urls import resolve_href, url_domain
 from feedmill.operators import discover as X
 
@@ -147,7 +149,91 @@ def test_long_and_broken_pages(spark):
         [(i, "x.org", html) for i, html in enumerate([unclosed, nested, comment])],
         "page_id int, domain string, html string",
     )
-    assert sorted((r.page, r.href) for r in X.feed_anchors(pages).collect()) == [(1, "/x"), (2, "/y")]
+    # of anchors that are never closed each lies in the one before; the last has a text alone
+    assert sorted((r.page, r.href) for r in X.feed_anchors(pages).collect()) == [(0, "/x"), (1, "/x"), (2, "/y")]
+
+
+class Tree(HTMLParser):
+    """A page as nested lists [name, attributes, children], built without any shortcut."""
+
+    def __init__(self, html):
+        super().__init__(convert_charrefs=True)
+        self.root = ["", {}, []]
+        self.path, self.order, self.goes_on = [self.root], [], False
+        self.feed(html)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        node = [tag, dict(attrs), []]
+        self.path[-1][2].append(node)
+        self.order.append(node)
+        if tag not in VOID:
+            self.path.append(node)
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+        if tag not in VOID:
+            self.path.pop()
+
+    def handle_endtag(self, tag):
+        self.goes_on = False  # even an end tag that closes nothing parts two texts
+        if tag in [n[0] for n in self.path[1:]]:
+            while self.path.pop()[0] != tag:
+                pass
+
+    def handle_data(self, data):
+        kids = self.path[-1][2]
+        if self.goes_on and kids and isinstance(kids[-1], str):
+            kids[-1] += data
+        else:
+            kids.append(data)
+        self.goes_on = True
+
+    def handle_comment(self, data):
+        self.path[-1][2].append(("comment", data))
+
+    def feeds(self):
+        def sole(node):
+            if isinstance(node, (str, tuple)):
+                return node
+            return sole(node[2][0]) if len(node[2]) == 1 else None
+
+        links = [n[1] for n in self.order if n[0] == "link"]
+        out = [(1, i, a["href"], a.get("title")) for i, a in enumerate(links)
+               if a.get("href") and any(w in (a.get("type") or "") for w in ("rss", "atom"))]
+        for i, node in enumerate(n for n in self.order if n[0] == "a"):
+            text = sole(node)
+            word = text[1] if isinstance(text, tuple) else text or ""
+            if node[1].get("href") and any(w in word.lower() for w in ("rss", "feed", "atom")):
+                out.append((2, i, node[1]["href"], text.strip() if isinstance(text, str) else ""))
+        return out
+
+
+def test_random_pages_agree_with_a_tree(spark):
+    rng = random.Random(11)
+    pieces = [
+        "<p>", "</p>", "<div>", "</div>", "<b>", "</b>", "<br>", "<br/>", "</br>", "<a href=/{0}>", "<a href='/{0}?x=1&amp;y={0}'>", "<a>",
+        "</a>", "</a >", "<A HREF=\"/{0}\" title='>'>", "<a href=/{0} />", "RSS", " my feed ", "Caf&eacute; &#8217;s feed", "r&#115;s", "&nbsp;atom&#160;",
+        "news", " ", "\n", "<!-- rss -->", "<img alt=rss>", "<link type=application/rss+xml href=/l{0} title='N&deg;{0}'>",
+        "<link type='text/css' href=/c{0}>", "<link href=/m{0} type=application/atom+xml />", "<", "&", "&lt;feed&gt;", "&bogus; feed",
+    ]
+    pages = ["".join(rng.choice(pieces).format(i) for i in range(rng.randrange(1, 60))) for _ in range(3000)]
+    found = 0
+    for page in pages:
+        want = Tree(page).feeds()
+        assert [(f["priority"], f["pos"], f["href"], f["title"]) for f in feeds_of(page)] == want, page
+        found += len(want)
+    assert found > 3000
+    df = spark.createDataFrame([(i, "x.org", page) for i, page in enumerate(pages[:200])], "page_id int, domain string, html string")
+    got = sorted((r.page, r.priority, r.pos, r.href, r.title) for r in X.feed_candidates(df).collect())
+    want = sorted((i, k, n, href, title or "Untitled Feed") for i, page in enumerate(pages[:200]) for k, n, href, title in Tree(page).feeds())
+    assert got == want
+
+
+def test_hidden_text_is_no_title():
+    assert feeds_of("<a href=/x><!-- rss --></a>") == [{"priority": 2, "pos": 0, "href": "/x", "title": ""}]
+    assert feeds_of("<a href=/x><script>rss()</script></a><a href=/y>rss<!-- c --></a>")[0]["title"] == ""
+    assert len(feeds_of("<a href=/x><script>rss()</script></a><a href=/y>rss<!-- c --></a>")) == 1
 
 
 def test_candidates_confirm_and_dedupe(spark):
