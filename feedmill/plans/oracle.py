@@ -269,6 +269,11 @@ ORACLE = {
     "repair_date_counts": with_views("""
         select count(*) filter (where article_id % 3 = 0 and article_id % 5 <> 0) as repaired,
           count(*) filter (where article_id % 15 = 0) as unreadable from articles"""),
+    "repair_store": with_views("""
+        select url, title, article_id % 15 = 0 as unreadable,
+          case when article_id % 15 = 0 then null when article_id % 3 = 0 then date_trunc('second', date) else date end as date,
+          (select count(*) from store where article_id % 3 = 0 and article_id % 5 <> 0) as repaired, cast(0 as bigint) as again
+        from store"""),
     "sink_articles": with_views(f"""
         select body, {SHORT} from store where url not in (select url from batch)
         union all select body, {SHORT} from batch_last"""),
@@ -464,17 +469,29 @@ ORACLE = {
     "continuous_ingest": _ingested(f" select {SHORT} from saved"),
     "one_shot_ingest": _ingested(f" select {SHORT} from saved"),
     "multi_lane_ingest": with_views(f"""
-        select url, cast(1 as bigint) as copies from (
-          select url from (
-            select url, body, row_number() over (partition by "searchKey", url order by date desc, ingest_seq) as rn
-            from articles where article_id % 3 <> 0)
-          where rn = 1 and not contains(body, '{PHRASE}')
-          union
-          select url from (
-            select url, case when article_id % 7 <> 0 then body end as body,
-              row_number() over (partition by "searchKey", url order by date desc, ingest_seq) as rn
-            from articles where article_id % 13 <> 0 and article_id % 2 = 0)
-          where rn = 1 and (body is null or not contains(body, '{PHRASE}')))"""),
+        select * from (with search as (
+          select url, title, body, source, "searchKey", ingest_seq from (
+            select *, row_number() over (partition by "searchKey", url order by date desc, ingest_seq) as rn
+            from articles where article_id % 7 in (0, 3, 4, 6))
+          where rn = 1 and not contains(body, '{PHRASE}')),
+        aggregator as (
+          select url, title, body, source, "searchKey", ingest_seq from (
+            select case when article_id % 13 <> 0 then url else '' end as url, title,
+              case when article_id % 7 <> 0 then body else '' end as body,
+              case when article_id % 11 <> 0 then source else '' end as source, "searchKey", ingest_seq,
+              row_number() over (partition by "searchKey", case when article_id % 13 <> 0 then url else '' end order by ingest_seq) as rn
+            from articles where article_id % 7 in (1, 3, 5, 6))
+          where rn = 1 and not contains(body, '{PHRASE}')),
+        rss as (
+          select url, concat('T', article_id) as title, concat('from ', source) as body, 'PoliticoEurope' as source,
+            cast(null as varchar) as "searchKey", ingest_seq from (
+            select *, row_number() over (partition by url order by date desc, ingest_seq) as rn
+            from articles where article_id % 7 in (2, 4, 5, 6))
+          where rn = 1),
+        lanes as (select 1 as lane, * from search union all select 2, * from aggregator union all select 3, * from rss)
+        select url, title, body, source, "searchKey" from (
+          select *, row_number() over (partition by url order by lane, ingest_seq) as rn from lanes)
+        where rn = 1)"""),
     "rejected_records": with_views("""
         select concat('{"lost": ', ingest_seq) as line, 'search' as lane from articles where ingest_seq % 10 = 0"""),
     "stream_dedupe_url": with_views("select distinct url from articles"),

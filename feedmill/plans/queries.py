@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from feedmill.functions.columns import cutoff
 from feedmill.functions.urls import resolve_href, url_domain
@@ -22,7 +24,8 @@ from feedmill.plans import fixtures as fx
 from feedmill.session import scratch_path, use_utc
 from feedmill.sources.keyindex import known_urls
 from feedmill.sources.normalize import normalize_aggregator, normalize_rss, normalize_search, to_articles, union_feeds
-from feedmill.sources.sink import compact_store, insert_articles, read_store, upsert_articles
+from feedmill.schema import ARTICLE
+from feedmill.sources.sink import compact_store, insert_articles, read_store, repair_store, upsert_articles
 from feedmill.sources.textindex import maintain_text, read_mentions
 from feedmill.streaming.ingest import Ingest, dedupe_stream, ingest_metrics, start_ingest
 
@@ -292,6 +295,23 @@ def repair_date_counts(spark, sf_dir):
     return K.repair_counts(string_dates(spark, sf_dir))
 
 
+@query
+def repair_store_(spark, sf_dir):
+    """Stored articles of which every third date is a string; repaired where they lie, twice."""
+    path = scratch_path(spark, "repaired")
+    schema = StructType([*ARTICLE.fields, StructField("date_raw", StringType())])
+    store, _ = store_and_batch(spark, sf_dir)
+    dates = string_dates(spark, sf_dir).select("article_id", F.col("date").alias("_date"), "date_raw")
+    rows = store.join(dates, "article_id")
+    whole = to_articles(rows.drop("article_id", "_date", "date_raw", "date").withColumn("date", F.lit(None).cast("timestamp")))
+    held = rows.select(F.col("url").alias("_url"), "_date", "date_raw")
+    whole = whole.drop("date").join(held, F.col("url").eqNullSafe(F.col("_url"))).withColumnRenamed("_date", "date")
+    insert_articles(whole.select(*schema.fieldNames()), path, schema, buckets=8)
+    counts = [repair_store(spark, path, schema, buckets=8) for _ in range(2)]
+    read = read_store(spark, path, schema).select("url", "title", "date", F.col("date_raw").isNotNull().alias("unreadable"))
+    return plain(read.withColumns({"repaired": F.lit(counts[0]).cast("long"), "again": F.lit(counts[1]).cast("long")}))
+
+
 @query
 def sink_articles(spark, sf_dir):
     """The first fortnight inserted, the rest upserted, then read back."""
@@ -666,19 +686,42 @@ def one_shot_ingest(spark, sf_dir):
     return plain(two_waves(spark, sf_dir, once=True)[1].select(*SHORT))
 
 
+RSS_FEED = "https://www.politico.eu/rss"
+
+
+def land_rss(rows: DataFrame, path: str) -> None:
+    """Articles as the items of one feed's landed XML."""
+    def escaped(name: str) -> Column:
+        return F.replace(F.replace(F.col(name), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+
+    number = F.col("article_id").cast("string")
+    item = F.concat(
+        F.lit("<item><title>T"), number, F.lit("</title><link>"), escaped("url"), F.lit("</link><description>from "),
+        escaped("source"), F.lit("</description><pubDate>"), rfc822(F.col("date")), F.lit("</pubDate></item>"),
+    )
+    # One document a file, as a feed is fetched.
+    pages = rows.groupBy((F.col("ingest_seq") % 16).alias("fetch")).agg(F.concat_ws("", F.collect_list(item)).alias("items"))
+    document = F.concat(F.lit("<rss><channel>"), "items", F.lit("</channel></rss>"))
+    pages.select("fetch", document).write.partitionBy("fetch").text(f"{path}/feed={quote(RSS_FEED, safe='')}")
+
+
 @query
 def multi_lane_ingest(spark, sf_dir):
-    """Search and aggregator records of overlapping URLs into one store, by one writer."""
+    """Every article in one, two or three of the search, aggregator and RSS lanes of one store."""
     root = scratch_path(spark, "lanes")
     job = Ingest(
         f"{root}/search", f"{root}/store", f"{root}/checkpoint", f"{root}/metrics", phrases=[fx.PHRASE], buckets=8,
-        more=(("aggregator", f"{root}/aggregator"),),
+        more=(("aggregator", f"{root}/aggregator"), ("rss", f"{root}/rss")),
     )
+    lane = F.col("ingest_seq") % 7  # 0-2 one lane each, 3-5 two of them, 6 all
     articles = fx.articles(spark, sf_dir)
-    land(spark, articles.where("article_id % 3 <> 0"), job.landing)
-    raw_aggregator(spark, sf_dir).where("url is not null and ingest_seq % 2 = 0").write.json(f"{root}/aggregator")
-    start_ingest(spark, job, once=True).awaitTermination()
-    return read_store(spark, job.store).groupBy("url").agg(F.count("*").alias("copies"))
+    land(spark, articles.where(lane.isin(0, 3, 4, 6)), job.landing)
+    raw_aggregator(spark, sf_dir).where(lane.isin(1, 3, 5, 6)).write.json(f"{root}/aggregator")
+    # One entry a URL, as the files' order would decide between several.
+    land_rss(C.newest_by_key(articles.where(lane.isin(2, 4, 5, 6))), f"{root}/rss")
+    registry = R.seed_sources(spark, datetime.fromisoformat(fx.AS_OF))
+    start_ingest(spark, job, once=True, registry=registry).awaitTermination()
+    return read_store(spark, job.store).select("url", "title", "body", "source", "searchKey")
 
 
 @query

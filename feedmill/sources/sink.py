@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedmill.operators.store import insert_counts, insert_new, upsert, upsert_counts
+from feedmill.operators.store import insert_counts, insert_new, repair_string_dates, upsert, upsert_counts
 from feedmill.schema import ARTICLE, REQUIRED
 from feedmill.sources import files
 from feedmill.sources.keyindex import bucket_of, known_urls, maintain
@@ -219,3 +219,39 @@ def compact_store(
         numbers = touched(rows, buckets)
         if numbers:
             rewrite_buckets(rows, path, numbers, buckets, files_per_bucket)
+
+
+def repair_store(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    raw_col: str = "date_raw",
+    date_col: str = "date",
+    buckets: int = BUCKETS,
+    files_per_bucket: int = 1,
+    writer: str | None = None,
+) -> int:
+    """Turn stored dates that are still strings into timestamps; the number repaired.
+
+    A first pass reads dates and URLs alone and finds the buckets that hold any; only these are rewritten, and
+    switched at once. A repaired row loses its string; one that cannot be read keeps it and counts for nothing, so a
+    second call repairs 0 and writes nothing. ``schema`` must have both columns.
+    """
+    with sole_writer(spark, path, writer):
+        rows = read_store(spark, path, schema)
+        waiting = F.col(f"`{raw_col}`").isNotNull() & F.col("_before").isNull() & F.col(f"`{date_col}`").isNotNull()
+        found = (
+            repair_string_dates(rows.withColumn("_before", F.col(f"`{date_col}`")), raw_col, date_col)
+            .where(waiting)
+            .groupBy(bucket_of(F.col("url"), buckets).alias(BUCKET))
+            .agg(F.count(F.lit(1)).alias("n"))
+            .collect()
+        )
+        if not found:
+            return 0
+        numbers = [r[BUCKET] for r in found]
+        near = read_store(spark, path, schema, numbers)
+        fixed = repair_string_dates(near.withColumn("_before", F.col(f"`{date_col}`")), raw_col, date_col)
+        kept = F.when(~waiting, F.col(f"`{raw_col}`"))
+        rewrite_buckets(fixed.withColumn(raw_col, kept).select(*schema.fieldNames()), path, numbers, buckets, files_per_bucket)
+    return sum(r["n"] for r in found)

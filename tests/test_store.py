@@ -215,3 +215,26 @@ def test_upsert_keeps_keys_only_the_store_has(spark):
     assert got == {"a": {"x": "1", "y": "2"}, "b": {"n": "2"}, "c": {"z": "1"}}
     assert K.upsert_counts(store, batch).first().modified == 3
     assert K.upsert_counts(store, store).first().modified == 0
+
+
+def test_repair_in_the_store_rewrites_only_what_waits(spark, tmp_path):
+    path = str(tmp_path / "store")
+    schema = "url string, title string, body string, date timestamp, date_raw string, ingest_seq long"
+    when = datetime(2024, 1, 1)
+    rows_in = [(f"u{i}", "t", "b", when, None, i) for i in range(40)]
+    rows_in[3] = ("u3", "t", "b", None, "2024-01-05T00:00:00Z", 3)
+    rows_in[4] = ("u4", "t", "b", when, "2024-01-06", 4)  # has a date already
+    rows_in += [(None, "t", "b", None, "2024-01-07 10:00:00", 50), ("u99", "t", "b", None, "soon", 51)]
+    df = spark.createDataFrame(rows_in, schema)
+    insert_articles(df, path, df.schema, buckets=8)
+    before = {f for f in (tmp_path / "store").rglob("*.parquet")}
+    assert sink.repair_store(spark, path, df.schema, buckets=8) == 2
+    fresh = {f.parent.parent.name for f in (tmp_path / "store").rglob("*.parquet") if f not in before}
+    assert 1 <= len(fresh) <= 2
+    got = {r.url: (r.date, r.date_raw) for r in read_store(spark, path, df.schema).collect()}
+    assert got["u3"] == (datetime(2024, 1, 5), None) and got[None] == (datetime(2024, 1, 7, 10), None)
+    assert got["u4"] == (when, "2024-01-06") and got["u99"] == (None, "soon") and len(got) == 42
+    files = sorted(f for f in (tmp_path / "store").rglob("*.parquet"))
+    assert sink.repair_store(spark, path, df.schema, buckets=8) == 0
+    assert sorted(f for f in (tmp_path / "store").rglob("*.parquet")) == files
+    assert sink.repair_store(spark, str(tmp_path / "none"), df.schema, buckets=8) == 0
