@@ -2,27 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedmill.schema import AGGREGATOR_RECORD, ATOM_ENTRY, RSS_ITEM, SEARCH_RECORD
 
 CORRUPT = "_corrupt_record"
+#: Where a record was read: its file's time, its file, and the part of the file that one task reads.
+SPOT = "_spot"
+#: Numbers that a batch has to itself.
+BATCH_SPAN = 1 << 40
+
+
+def _spot() -> Column:
+    fields = ("file_modification_time", "file_path", "file_block_start")
+    return F.struct(*[F.col(f"_metadata.{f}").alias(f) for f in fields]).alias(SPOT)
 
 
 def records(lines: DataFrame, schema: T.StructType) -> DataFrame:
     """JSON lines (``value``) as records of ``schema``.
 
     Keys the schema lacks are kept in ``extra``; a line that cannot be read is kept apart in
-    ``_corrupt_record``, blank lines are none.
+    ``_corrupt_record``, blank lines are none. ``_spot`` tells ``with_arrival`` where a line was read.
     """
     whole = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     record = F.from_json("value", whole, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     every = F.from_json("value", T.MapType(T.StringType(), T.StringType()))
     extra = F.map_filter(every, lambda k, _: ~k.isin(schema.fieldNames()))
     filled = lines.where(F.trim("value") != "")
-    return filled.select(record.alias("r"), F.when(F.size(extra) > 0, extra).alias("extra")).select("r.*", "extra")
+    return filled.select(record.alias("r"), F.when(F.size(extra) > 0, extra).alias("extra"), _spot()).select(
+        "r.*", "extra", SPOT
+    )
 
 
 def read_search(spark: SparkSession, path: str) -> DataFrame:
@@ -58,6 +69,7 @@ def rss_items(raw: DataFrame) -> DataFrame:
         F.coalesce("description", "encoded").alias("summary"),
         F.col("pubDate").alias("published"),
         _feed(),
+        _spot(),
     )
 
 
@@ -70,6 +82,7 @@ def atom_entries(raw: DataFrame) -> DataFrame:
         F.coalesce("summary", "content").alias("summary"),
         F.col("published"),
         _feed(),
+        _spot(),
     )
 
 
@@ -95,10 +108,29 @@ def read_atom(spark: SparkSession, path: str) -> DataFrame:
     return with_arrival(atom_entries(feed_reader(spark.read, "entry", ATOM_ENTRY).load(path)))
 
 
-def with_arrival(df: DataFrame, seq_col: str = "ingest_seq") -> DataFrame:
-    """Arrival numbers where the files give none: unique, rising within a file."""
+def with_arrival(df: DataFrame, seq_col: str = "ingest_seq", batch: int = 0) -> DataFrame:
+    """Arrival numbers where the records bring none: in order of batch, file time, file, and place in the file.
+
+    The order is total and does not depend on which task reads what, so a batch that runs again gets the same numbers.
+    They come after the largest number that a record of the batch brings. Rows of one part of a file are read by one
+    task in order, which gives their places; only counts, one row for each part, are added up over the parts.
+    Records without ``_spot`` get numbers that are unique and rise within a task.
+    """
     made = F.monotonically_increasing_id()
-    return df.withColumn(seq_col, F.coalesce(seq_col, made) if seq_col in df.columns else made)
+    if SPOT not in df.columns:
+        return df.withColumn(seq_col, F.coalesce(seq_col, made) if seq_col in df.columns else made)
+    own = F.col(seq_col) if seq_col in df.columns else F.lit(None).cast("long")
+    placed = df.withColumn("_at", made)
+    parts = placed.groupBy(SPOT).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"), F.max(own).alias("_own")
+    )
+    whole = Window.partitionBy()
+    before = F.sum("_n").over(whole.orderBy(SPOT).rowsBetween(Window.unboundedPreceding, -1))
+    start = F.greatest(F.lit(batch * BATCH_SPAN), F.coalesce(F.max("_own").over(whole), F.lit(-1)) + 1)
+    shifts = parts.select(SPOT, (start + F.coalesce(before, F.lit(0)) - F.col("_first")).alias("_shift"))
+    # At most one row a task of the scan.
+    numbered = placed.join(F.broadcast(shifts), SPOT, "left")
+    return numbered.withColumn(seq_col, F.coalesce(own, F.col("_at") + F.col("_shift"))).drop(SPOT, "_at", "_shift")
 
 
 def read_logs(spark: SparkSession, path: str) -> DataFrame:

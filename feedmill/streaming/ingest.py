@@ -80,17 +80,23 @@ def lane_records(found: DataFrame, job: Ingest) -> list[tuple[Ingest, DataFrame]
 
 
 def prepare(
-    found: DataFrame, job: Ingest, registry: DataFrame | None = None, counters: list[Observation] | None = None
+    found: DataFrame,
+    job: Ingest,
+    registry: DataFrame | None = None,
+    counters: list[Observation] | None = None,
+    batch: int = 0,
 ) -> DataFrame:
     """The records of all lanes as the articles to save; unreadable lines are left out.
 
     API lanes are cleaned topic by topic; of a URL found under several topics the first topic's
     copy is kept, as topics are saved one after the other. Feed entries are saved as they come.
     Of a URL found in several lanes the copy of the first lane is kept. ``counters`` receives one observation
-    of ``found`` for each lane, which the first run of the result fills.
+    of ``found`` for each lane, which the first run of the result fills. ``batch`` is the number of the micro-batch, from
+    which records without an arrival number get theirs.
     """
     parts = []
     for i, (one, mine) in enumerate(lane_records(found, job)):
+        mine = with_arrival(mine, batch=batch)
         if counters is not None:
             counters.append(Observation())
             mine = mine.observe(counters[-1], F.count(F.lit(1)).alias("found"))
@@ -100,7 +106,7 @@ def prepare(
 
 
 def prepare_lane(found: DataFrame, job: Ingest, registry: DataFrame | None = None) -> DataFrame:
-    found = with_arrival(readable(found))
+    found = readable(found)
     if job.lane in ("rss", "atom"):
         return to_articles(normalize_rss(found, registry, F.current_timestamp()))
     if job.lane == "aggregator":
@@ -121,7 +127,7 @@ def _save_batch(job: Ingest, registry: DataFrame | None, found: DataFrame, batch
     """
     spark = found.sparkSession
     counters: list[Observation] = []
-    batch = prepare(found, job, registry, counters).persist()
+    batch = prepare(found, job, registry, counters, batch_id).persist()
     known = known_urls(spark, job.store, batch, job.buckets).persist()
     try:
         noted = f"{job.metrics}/batch={batch_id}"

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import os
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -130,3 +131,46 @@ def test_tail_of_a_log_read_in_many_splits(spark, tmp_path):
         assert tail_health(df, "log", ["block", "line_no"]).first().last_lines == lines[-10:]
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_arrival_is_total_and_repeatable(spark, tmp_path):
+    """Files of different sizes, times and names; some records bring numbers of their own."""
+    landing, want = tmp_path / "landing", []
+    landing.mkdir()
+    sizes = [1, 400, 3, 50, 0, 120]
+    for n, size in enumerate(sizes):
+        path = landing / f"{'zyxwvu'[n]}.json"  # names run against the times
+        rows = [{"url": f"f{n}-{i}", "title": "x" * (i * 37 % 90)} | ({"ingest_seq": 10 + n} if n == 3 and i == 7 else {}) for i in range(size)]
+        path.write_text("".join(json.dumps(r) + "\n" for r in rows))
+        os.utime(path, (1_700_000_000 + n // 2, 1_700_000_000 + n // 2))  # two files share each time
+    order = sorted(range(6), key=lambda n: (n // 2, f"{'zyxwvu'[n]}"))
+    want = [f"f{n}-{i}" for n in order for i in range(sizes[n])]
+    want.remove("f3-7")
+    conf = "spark.sql.files.maxPartitionBytes"
+    before, seen = spark.conf.get(conf), []
+    try:
+        for limit in ("2k", "1g"):  # many tasks, splits within files; few tasks, several files each
+            spark.conf.set(conf, limit)
+            got = L.with_arrival(L.read_search(spark, str(landing)), batch=2).select("url", "ingest_seq").collect()
+            numbers = {r.url: r.ingest_seq for r in got}
+            assert numbers.pop("f3-7") == 13 and len(numbers) == len(got) - 1
+            assert sorted(numbers, key=numbers.get) == want
+            assert min(numbers.values()) == 2 * L.BATCH_SPAN
+            seen.append(numbers)
+    finally:
+        spark.conf.set(conf, before)
+    assert seen[0] == seen[1]
+    first = L.with_arrival(L.read_search(spark, str(landing))).agg(F.min("ingest_seq"), F.count_distinct("ingest_seq")).first()
+    assert tuple(first) == (13, sum(sizes))
+
+
+def test_the_last_rss_entry_wins_by_file_order(spark, tmp_path):
+    folder = tmp_path / "rss" / "feed=https%3A%2F%2Fx.org%2Frss"
+    folder.mkdir(parents=True)
+    for n, name in enumerate("cab"):
+        items = "".join(f"<item><title>{name}{i}</title><link>https://x.org/{i}</link></item>" for i in range(3))
+        (folder / f"{name}.xml").write_text(f"<rss><channel>{items}</channel></rss>")
+        os.utime(folder / f"{name}.xml", (1_700_000_000 + n, 1_700_000_000 + n))
+    rows = L.read_rss(spark, str(tmp_path / "rss")).orderBy("ingest_seq").collect()
+    assert [r.title for r in rows] == [f"{name}{i}" for name in "cab" for i in range(3)]
+    assert [r.ingest_seq for r in rows] == list(range(9))
