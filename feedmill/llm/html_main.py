@@ -49,6 +49,11 @@ MARKS = frozenset(
 )
 #: ... and those that do so only outside the main content, where an article may have its own.
 OUTER_MARKS = frozenset("header footer masthead topbar toolbar".split())
+#: Words that say where or what kind of box something is: "comment-list" marks as "comment" does, "comment-piece" does not.
+BOX_WORDS = frozenset(
+    "area aside bar block bottom box col column container content div global group inner item items left list main outer page "
+    "panel primary right row secondary section site slot space strip tag tags text top unit widget widgets wrap wrapper zone".split()
+)
 #: An open paragraph, item or cell that a start tag closes, up to the nearest of the given elements.
 CLOSED_BY = {
     **dict.fromkeys(
@@ -66,31 +71,86 @@ CLOSED_BY = {
 TAG = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>)")
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 WORD = re.compile(r"[a-z]+")
+HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 @dataclass
 class Node:
     tag: str
     attributes: str
-    inside: bool  # of the main content
-    apart: bool
+    marked: bool = False  # by a class, id or role as apart anywhere ...
+    outer: bool = False  # ... or outside the main content
+    inside: bool = False  # of the main content
+    apart: bool = False
     parts: list = field(default_factory=list)  # texts and nodes, in page order
     hash: int = 0
     holds: bool = False  # the main content or a part of it, from outside
     size: int = 0  # of the text that is not apart
 
 
-def _marks(attributes: str) -> set[str]:
-    found: set[str] = set()
+def _marks(attributes: str) -> tuple[bool, bool]:
+    """Whether a class, id or role marks an element as apart, anywhere or outside the main content.
+
+    A name counts as a whole: all its words must be marks or words of boxes, so ``has-sidebar``, ``ad-free`` or
+    ``related-work`` mark nothing.
+    """
+    marked = outer = False
     for m in ATTRIBUTE.finditer(attributes):
-        found.update(WORD.findall((m[2] or m[3] or m[4] or "").lower()))
-    return found
+        for name in (m[2] or m[3] or m[4] or "").split():
+            words = set(WORD.findall(HUMP.sub(" ", name).lower()))
+            own = words - BOX_WORDS
+            if own and own <= MARKS:
+                marked = True
+            elif own and own <= MARKS | OUTER_MARKS:
+                outer = True
+    return marked, outer
+
+
+def settle(order: list[Node]) -> None:
+    """Tell what is apart and what is main content, given all nodes in page order.
+
+    A mark never takes an element that holds an article or main element, or more than half of the page's text: there
+    it says something about the page, not about the element.
+    """
+    whole: dict[int, int] = {}
+    frames: set[int] = set()
+    for node in reversed(order):  # children before parents
+        size = 0
+        for part in node.parts:
+            if isinstance(part, str):
+                size += len(part) - part.count(" ")
+            elif part.tag not in APART:
+                size += whole[id(part)]
+                if part.tag in MAIN or id(part) in frames:
+                    frames.add(id(node))
+        whole[id(node)] = size
+    half = whole[id(order[0])] / 2
+    for node in order:
+        for part in node.parts:
+            if isinstance(part, str):
+                continue
+            free = part.tag in MAIN or id(part) in frames or whole[id(part)] > half
+            part.apart = (
+                node.apart
+                or part.tag in APART
+                or (part.tag == "header" and not node.inside)
+                or (part.marked and not free)
+                or (part.outer and not node.inside and not free)
+            )
+            part.inside = not part.apart and (node.inside or part.tag in MAIN)
+    for node in reversed(order):
+        for part in node.parts:
+            if isinstance(part, str):
+                node.size += len(" ".join(part.split()))
+            else:
+                node.size += 0 if part.apart else part.size
+                node.holds = node.holds or part.holds or (part.inside and not node.inside)
 
 
 def parse(page: str) -> Node:
     """The tree of a page; broken, unclosed and cut-off markup is read as far as it goes."""
-    root = Node("", "", False, False)
-    stack = [root]
+    root = Node("", "")
+    stack, order = [root], [root]
     at, end = 0, len(page)
 
     def text(a: int, b: int) -> None:
@@ -103,11 +163,8 @@ def parse(page: str) -> Node:
             for part in node.parts:
                 if isinstance(part, Node):
                     digest.update(b"\0" + part.hash.to_bytes(8, "little"))
-                    node.size += 0 if part.apart else part.size
                 else:
-                    words = " ".join(part.split())
-                    digest.update(words.encode("utf-8", "replace"))
-                    node.size += len(words)
+                    digest.update(" ".join(part.split()).encode("utf-8", "replace"))
             node.hash = digest.intdigest()
         del stack[depth:]
 
@@ -153,20 +210,10 @@ def parse(page: str) -> Node:
                     break
         parent = stack[-1]
         attributes = " ".join(m[5].split()).rstrip("/ ")
-        inside = parent.inside or (tag in MAIN and not parent.apart)
-        marks = _marks(attributes) if attributes and tag not in ("html", "body") else set()
-        apart = (
-            parent.apart
-            or tag in APART
-            or (tag == "header" and not parent.inside)
-            or (tag != "main" and not marks.isdisjoint(MARKS))
-            or (not parent.inside and tag not in MAIN and not marks.isdisjoint(OUTER_MARKS))
-        )
-        node = Node(tag, attributes, inside and not apart, apart)
+        marked, outer = _marks(attributes) if attributes and tag not in ("html", "body") else (False, False)
+        node = Node(tag, attributes, marked, outer)
         parent.parts.append(node)
-        if node.inside and not parent.inside:
-            for holder in stack:
-                holder.holds = True
+        order.append(node)
         if tag in RAW:
             closing = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(page, at)
             stop = closing.start() if closing else end
@@ -180,6 +227,7 @@ def parse(page: str) -> Node:
         else:
             stack.append(node)
     close_down(1)
+    settle(order)
     return root
 
 
