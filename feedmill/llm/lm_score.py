@@ -10,12 +10,15 @@ until one is missing. A filter has no false misses, so a count is never read too
 The weight l depends on how often the history h was seen. It is the one, out of ``WEIGHTS``, under which the
 training text is most probable when every occurrence is left out of the counts in turn.
 
+A pair of which either word is unknown has no count, and none is read higher than the rarer of its words occurs: this
+takes most false hits of the filter, which are fewer than one in a hundred probed pairs.
+
 Texts are turned once into blocks of word numbers and written to shared scratch. A block asks the owners of
 word hashes for the counts of its distinct words only, so neither the vocabulary nor the tokens of all documents
 ever meet in one place. Owners of pair hashes count the pairs of all blocks and build one segment of the filter
-each. The filter alone is broadcast; it grows with the input up to ``FILTER_BYTES``. While all pairs of a segment fit,
-all are stored; when they no longer do, its pairs of the smallest counts are left to the word model, by a floor found
-from the counts of all its pairs. Hashes travel sorted, as Golomb codes of their gaps.
+each, as large as its pairs need: the filter grows with the input and no pair is left out. It is broadcast in waves
+of segments of at most ``FILTER_BYTES``; blocks probe every wave for the pairs it holds. Hashes travel sorted, as
+Golomb codes of their gaps.
 """
 
 from __future__ import annotations
@@ -38,8 +41,8 @@ from feedmill.llm.frames import bounded_batches, gathered, staged, texts_of
 BLOCK_BYTES = 8_000_000
 OWNER_BYTES = 16_000_000
 FILTER_BYTES = 80 << 20
-ENTRY_BITS = 7
-PROBES = 4
+ENTRY_BITS = 10
+PROBES = 5
 LEVELS = 32
 PAIR_BITS = 40
 END = b"\n"  # no word holds white space, so this is no word
@@ -84,20 +87,17 @@ def unsqueeze(blob: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
-def addresses(keys: np.ndarray, level: int, probe: int, size: int) -> np.ndarray:
-    """A bit of a segment, by double hashing of pair and level."""
+def addresses(keys: np.ndarray, level: int, probe: int, size: np.ndarray | int) -> np.ndarray:
+    """A bit of a segment of ``size`` bits, by double hashing of pair and level."""
     one = mixed(keys.astype(np.uint64) + np.uint64(level * int(MIX_TWO) & 0xFFFFFFFFFFFFFFFF))
     two = mixed(one ^ MIX) | np.uint64(1)
-    return ((one + np.uint64(probe) * two) % np.uint64(size)).astype(np.int64)
+    return ((one + np.uint64(probe) * two) % np.asarray(size, np.uint64)).astype(np.int64)
 
 
-def build_segment(keys: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
-    """A segment of ``size`` bits, packed: all pairs from the lowest floor of levels at which they fit."""
+def build_segment(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A segment with all pairs, packed; it has ``ENTRY_BITS`` bits for every level of a pair."""
     top = levels_of(counts)
-    reach = np.bincount(top, minlength=LEVELS + 1)
-    entries = np.cumsum((reach * np.arange(reach.size))[::-1])[::-1]
-    floor = next((f for f in range(1, LEVELS + 1) if entries[f] * ENTRY_BITS <= size), LEVELS + 1)
-    keys, top = keys[top >= floor], top[top >= floor]
+    size = max(8, -(-int(top.sum()) * ENTRY_BITS // 8) * 8)
     marks = np.zeros(size, bool)
     for level in range(1, int(top.max(initial=0)) + 1):
         some = keys[top >= level]
@@ -113,25 +113,33 @@ def levels_of(counts: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class LogFrequencyFilter:
-    """All segments, one after the other; a pair's key names its owner and so its segment."""
+    """Segments, one after the other; a pair's key names its owner and so its segment, if that is here."""
 
     bits: np.ndarray
-    segment_bits: int
-    owners: int
+    starts: np.ndarray
+    sizes: np.ndarray
+
+    @classmethod
+    def of(cls, owners: int, segments: dict[int, np.ndarray]) -> LogFrequencyFilter:
+        """The filter of some owners' segments; starts and sizes are in bits."""
+        sizes = np.zeros(owners, np.int64)
+        for owner, bits in segments.items():
+            sizes[owner] = 8 * bits.size
+        whole = np.concatenate([segments[o] for o in sorted(segments)]) if segments else np.zeros(0, np.uint8)
+        return cls(whole, np.cumsum(sizes) - sizes, sizes)
 
     def counts(self, keys: np.ndarray) -> np.ndarray:
         """Counts as the filter holds them: the lowest count of the highest level found, 0 if none is."""
         out = np.zeros(keys.size, np.int64)
-        if not self.segment_bits or not keys.size:
-            return out
-        left = np.arange(keys.size)
-        base = (keys >> PAIR_BITS) * self.segment_bits
+        owner = keys >> PAIR_BITS
+        size, base = self.sizes[owner], self.starts[owner]
+        left = np.flatnonzero(size)
         for level in range(1, LEVELS + 1):
             for probe in range(PROBES):
-                at = base[left] + addresses(keys[left], level, probe, self.segment_bits)
-                left = left[(self.bits[at >> 3] >> (at & 7)) & 1 == 1]
                 if not left.size:
                     return out
+                at = base[left] + addresses(keys[left], level, probe, size[left])
+                left = left[(self.bits[at >> 3] >> (at & 7)) & 1 == 1]
             out[left] = 1 << (level - 1)
         return out
 
@@ -261,19 +269,48 @@ def _pairs(owners: int):
     return run
 
 
-def _segment(size: int):
+def _segment(key: tuple[pa.Scalar, ...], sent: pa.Table) -> pa.Table:
     """The segment of one owner, from the pairs of all blocks."""
+    keys = np.concatenate([golomb_decode(b) for b in sent["keys"].to_pylist()])
+    counts = np.concatenate([unsqueeze(b, "<u4") for b in sent["counts"].to_pylist()])
+    order = np.argsort(keys)
+    keys, counts = keys[order], counts[order].astype(np.int64)
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    bits = build_segment(keys[first], np.add.reduceat(counts, first))
+    return pa.table({"owner": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([bits.tobytes()], pa.binary())})
+
 
-    def build(key: tuple[pa.Scalar, ...], sent: pa.Table) -> pa.Table:
-        keys = np.concatenate([golomb_decode(b) for b in sent["keys"].to_pylist()])
-        counts = np.concatenate([unsqueeze(b, "<u4") for b in sent["counts"].to_pylist()])
-        order = np.argsort(keys)
-        keys, counts = keys[order], counts[order].astype(np.int64)
-        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        bits = build_segment(keys[first], np.add.reduceat(counts, first), size)
-        return pa.table({"owner": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([bits.tobytes()], pa.binary())})
+def _probe(model, owners: int):
+    """What one wave of the filter holds of each block's distinct pairs: 0 for those of other waves."""
 
-    return build
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, end, hashes, stream in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                stream = unsqueeze(stream, "<u4").astype(np.int64)
+                keys = _pairs_of(golomb_decode(hashes), stream, end, slice(None), owners)[2]
+                found = pa.array([squeeze(model.value.counts(keys))], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), found], ["block", "counts"])
+
+    return run
+
+
+def _summed(answers: pa.Table) -> pa.Table:
+    """A block's pair counts over all waves: each pair is in one of them."""
+    whole = sum(unsqueeze(c, "<i8") for c in answers["counts"].to_pylist())
+    return pa.table({"block": answers["block"].slice(0, 1), "pairs": pa.array([squeeze(whole)], pa.binary())})
+
+
+def _waves(sizes: list[tuple[int, int]], most: int) -> list[tuple[int, int]]:
+    """First and last owner of waves of segments of at most ``most`` bytes, a larger one alone; sizes come by owner."""
+    out, held = [], 0
+    for owner, size in sizes:
+        if out and held + size <= most:
+            out[-1] = (out[-1][0], owner)
+            held += size
+        else:
+            out.append((owner, owner))
+            held = size
+    return out
 
 
 @dataclass(frozen=True)
@@ -295,21 +332,21 @@ def _tables(ratio: np.ndarray, word: np.ndarray, group: np.ndarray, groups: int)
     return np.stack([np.bincount(group, np.log10(w * ratio + (1 - w) * word), groups) for w in WEIGHTS], axis=1)
 
 
-def _scores(model, totals: Totals, id_col: str):
+def _scores(model, totals: Totals, owners: int, id_col: str):
     """Per document its base score and, for every class of histories and weight, the sum of log probabilities.
 
     One more row per block has no number of tokens; its table is over the training tokens, each left out of
     the counts.
     """
-    owners = model.value.owners
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, held, sizes, end, hashes, stream, known in zip(*(batch.column(i).to_pylist() for i in range(7))):
+            for ids, held, sizes, end, hashes, stream, known, pairs in zip(*(batch.column(i).to_pylist() for i in range(8))):
                 stream, known = unsqueeze(stream, "<u4").astype(np.int64), unsqueeze(known, "<i8")
                 before, now, keys, which = _pairs_of(golomb_decode(hashes), stream, end, slice(None), owners)
-                counts = model.value.counts(keys)[which]
+                counts = model.value.counts(keys) + (unsqueeze(pairs, "<i8") if pairs is not None else 0)
                 histories, group = known[before], _classes(known)[before]
+                counts = np.minimum(counts[which], np.minimum(histories, known[now]))
                 word = totals.unigram(known)[now]
                 n = len(ids)
                 doc = np.repeat(np.arange(n), sizes)
@@ -382,23 +419,37 @@ def score(
     totals = Totals(*(int(x or 0) for x in replies.agg(F.sum("tokens"), F.sum("words")).first()))
 
     pair_owners = max(1, -(-8 * size[1] // owner_bytes))
-    segment_bits = -(-min(filter_bytes * 8, totals.tokens * ENTRY_BITS) // pair_owners)
-    segment_bits = -(-segment_bits // 8) * 8
-    bits = np.zeros(pair_owners * segment_bits // 8, np.uint8)
-    if segment_bits:
-        sent = blocks.select("held", "sizes", "end", "hashes", "stream").mapInArrow(
-            _pairs(pair_owners), "owner long, keys binary, counts binary"
-        )
-        built = staged(sent.groupBy("owner").applyInArrow(_segment(segment_bits), "owner long, bits binary"), "lm-filter")
-        for owner, part in built.toLocalIterator():
-            bits[owner * segment_bits // 8 : (owner + 1) * segment_bits // 8] = np.frombuffer(part, np.uint8)
-    model = spark.sparkContext.broadcast(LogFrequencyFilter(bits, segment_bits, pair_owners))
+    sent = blocks.select("held", "sizes", "end", "hashes", "stream").mapInArrow(
+        _pairs(pair_owners), "owner long, keys binary, counts binary"
+    )
+    built = staged(sent.groupBy("owner").applyInArrow(_segment, "owner long, bits binary"), "lm-filter")
+
+    def wave(first: int, last: int):
+        """The segments of some owners, broadcast: at most ``filter_bytes``, or one segment."""
+        parts = built.where(F.col("owner").between(first, last)).toLocalIterator()
+        segments = {owner: np.frombuffer(bits, np.uint8) for owner, bits in parts}
+        return spark.sparkContext.broadcast(LogFrequencyFilter.of(pair_owners, segments))
+
+    sizes = built.select("owner", F.octet_length("bits").alias("n")).orderBy("owner").collect()
+    waves = _waves([(r["owner"], r["n"]) for r in sizes], filter_bytes) or [(0, -1)]
+    probed = None
+    for first, last in waves[:-1]:
+        model = wave(first, last)
+        asked = blocks.select("block", "end", "hashes", "stream").mapInArrow(_probe(model, pair_owners), "block long, counts binary")
+        part = staged(asked, "lm-probes")
+        probed = part if probed is None else probed.unionByName(part)
+        model.unpersist()
+    model = wave(*waves[-1])
 
     known = replies.groupBy("block").applyInArrow(_joined, "block long, known binary")
     answered = blocks.drop("counts").join(known, "block")
+    if probed is None:
+        answered = answered.withColumn("pairs", F.lit(None).cast("binary"))
+    else:
+        answered = answered.join(probed.groupBy("block").applyInArrow(_summed, "block long, pairs binary"), "block")
     scored = staged(
-        answered.select("ids", "held", "sizes", "end", "hashes", "stream", "known").mapInArrow(
-            _scores(model, totals, id_col), schema
+        answered.select("ids", "held", "sizes", "end", "hashes", "stream", "known", "pairs").mapInArrow(
+            _scores(model, totals, pair_owners, id_col), schema
         ),
         "lm-scores",
     )

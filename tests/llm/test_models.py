@@ -115,24 +115,76 @@ def test_lm_scores_of_nothing_and_from_nothing(spark):
 
 def test_filter_never_misses_a_count():
     rng = np.random.default_rng(0)
-    owners, size = 4, 256 * 1024
+    owners = 4
     left, right = rng.integers(0, 1 << 62, (2, 5000))
     keys = np.unique(lm_score.pair_keys(left, right, owners))
     counts = rng.integers(1, 2000, keys.size)
     owner = keys >> lm_score.PAIR_BITS
-    bits = np.concatenate([lm_score.build_segment(keys[owner == o], counts[owner == o], size) for o in range(owners)])
-    model = lm_score.LogFrequencyFilter(bits, size, owners)
+    segments = {o: lm_score.build_segment(keys[owner == o], counts[owner == o]) for o in range(owners)}
+    model = lm_score.LogFrequencyFilter.of(owners, segments)
     assert (model.counts(keys) >= 1 << (lm_score.levels_of(counts) - 1)).all()
-    assert (model.counts(keys) == 1 << (lm_score.levels_of(counts) - 1)).mean() > 0.95
-    assert (model.counts(keys ^ 1) > 0).mean() < 0.15
-    assert lm_score.LogFrequencyFilter(bits[:0], 0, 1).counts(keys).sum() == 0
+    assert (model.counts(keys) == 1 << (lm_score.levels_of(counts) - 1)).mean() > 0.98
+    assert (model.counts(keys ^ 1) > 0).mean() < 0.02
+    part = lm_score.LogFrequencyFilter.of(owners, {o: segments[o] for o in (1, 3)})
+    rest = lm_score.LogFrequencyFilter.of(owners, {o: segments[o] for o in (0, 2)})
+    assert (part.counts(keys) + rest.counts(keys) == model.counts(keys)).all()
+    assert lm_score.LogFrequencyFilter.of(owners, {}).counts(keys).sum() == 0
+    assert (model.counts(keys) >= 1).all()  # no pair is left out, however rare
 
 
-def test_filter_size_is_bounded(spark):
-    """With room for few pairs the rarest are left to the word model; nothing else changes."""
+def test_waves_of_segments():
+    assert lm_score._waves([], 10) == []
+    assert lm_score._waves([(0, 4), (1, 4), (3, 4), (4, 99), (7, 1)], 10) == [(0, 1), (3, 3), (4, 4), (7, 7)]
+
+
+def test_scores_do_not_depend_on_the_size_of_a_wave(spark):
     docs = lm_rows(spark)
-    small = {r["n_tokens"] for r in lm_score.score(docs, F.lit(False), filter_bytes=16).collect()}
-    assert small == {r["n_tokens"] for r in lm_score.score(docs, F.lit(False)).collect()}
+    told = lambda **kw: sorted((r["doc_id"] or -1, r["n_tokens"], round(r["score"], 9)) for r in lm_score.score(docs, F.lit(False), **kw).collect())
+    whole = told(owner_bytes=4000)
+    assert told(owner_bytes=4000, filter_bytes=1) == whole == told(owner_bytes=4000, filter_bytes=3000)
+
+
+def brute_bigram(rows):
+    """Scores under the same model with exact counts of pairs, rounded down to powers of two; rows are (words, held)."""
+    words, pairs = collections.Counter(), collections.Counter()
+    for text, held in rows:
+        if not held:
+            words.update(text)
+            pairs.update(zip([b"\n", *text], text))
+    n, v = sum(words.values()), len(words)
+    single = lambda c: (c + 0.1) / (n + 0.1 * (v + 1))
+    group = lambda c: min((c.bit_length() + 1) // 3, lm_score.CLASSES - 1)
+    rounded = {p: 1 << (c.bit_length() - 1) for p, c in pairs.items()}
+    evidence = np.zeros((lm_score.CLASSES, lm_score.WEIGHTS.size))
+    for (h, w), c in pairs.items():
+        ratio = min(1, max(rounded[h, w] - 1, 0) / max(words[h] - 1, 1))
+        evidence[group(words[h])] += c * np.log10(lm_score.WEIGHTS * ratio + (1 - lm_score.WEIGHTS) * single(words[w] - 1))
+    weight = lm_score.WEIGHTS[evidence.argmax(axis=1)]
+    out = []
+    for text, _ in rows:
+        total = 0.0
+        for h, w in zip([b"\n", *text], text):
+            ratio = min(1, rounded.get((h, w), 0) / max(words[h], 1))
+            share = weight[group(words[h])]
+            total += math.log10(share * ratio + (1 - share) * single(words[w]))
+        out.append(total)
+    return out
+
+
+def test_score_against_a_brute_force_bigram_model(spark, sf):
+    """Held-out texts too; what differs are false hits of the filter, below a hundredth of a decade a token."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    rows = [(r["doc_id"], (r["text"] or "").encode().lower().split() + [b"\n"]) for r in docs.collect()]
+    held = [zlib.crc32(str(i).encode()) % 10 == 0 for i, _ in rows]
+    want = dict(zip([i for i, _ in rows], brute_bigram([(w, h) for (_, w), h in zip(rows, held)])))
+    got = {r["doc_id"]: r for r in lm_score.score(docs, remainder(F.col("doc_id"), 10) == 0).collect()}
+    assert got.keys() == want.keys()
+    for part in (True, False):
+        mine = [r for r in got.values() if r["held_out"] == part]
+        apart = sum(abs(r["score"] - want[r["doc_id"]]) for r in mine) / sum(r["n_tokens"] for r in mine)
+        assert apart < 0.01, (part, apart)
+    gain = [r["score"] - r["base_score"] for r in got.values() if r["held_out"]]
+    assert sum(gain) > 0
 
 
 def vectors(spark, n=700, dim=32, seed=0):
