@@ -34,28 +34,58 @@ def url_mentions(df: DataFrame) -> DataFrame:
     return df.select("*", F.explode(mentioned_urls(article_text())).alias("mention"))
 
 
-def domain_counts(
-    df: DataFrame, as_of: datetime | str, days: int = 30, min_occurrence: int = 3, date_col: str = "date"
-) -> DataFrame:
-    """Occurrences per domain over article URLs and text mentions, most frequent first.
+def _domains(df: DataFrame, *kept: Column) -> DataFrame:
+    """One row, with the columns ``kept``, per domain of an article's URL or of a URL in its text.
 
-    One scan feeds both kinds; texts end in the scan stage and only domains are shuffled, already
-    counted per task. An article whose URL cannot be read counts for nothing.
+    One scan feeds both kinds; texts end in the scan stage. An article whose URL cannot be read counts for nothing.
     """
     own = url_domain(F.col("url"))
     unreadable = F.coalesce(F.col("url").contains("[") != F.col("url").contains("]"), F.lit(False))
     told = F.transform(mentioned_urls(article_text()), lambda u: url_domain(u))
-    found = recent(df, as_of, days, date_col=date_col).where(~unreadable)
     return (
-        found.select(F.explode(F.concat(F.array(own), told)).alias("domain"))
+        df.where(~unreadable)
+        .select(*kept, F.explode(F.concat(F.array(own), told)).alias("domain"))
         .where(F.col("domain").isNotNull())
-        .groupBy("domain")
-        .agg(F.count(F.lit(1)).alias("references"))
-        .where(F.col("references") >= min_occurrence)
-        .orderBy(F.desc("references"), "domain")
     )
 
 
+def domain_counts(
+    df: DataFrame, as_of: datetime | str, days: int = 30, min_occurrence: int = 3, date_col: str = "date"
+) -> DataFrame:
+    """Occurrences per domain over article URLs and text mentions, most frequent first.
+
+    Only domains are shuffled, already counted per task.
+    """
+    counted = _domains(recent(df, as_of, days, date_col=date_col)).groupBy("domain").agg(F.count(F.lit(1)).alias("references"))
+    return _most_frequent(counted, min_occurrence)
+
+
+def _most_frequent(counted: DataFrame, min_occurrence: int) -> DataFrame:
+    return counted.where(F.col("references") >= min_occurrence).orderBy(F.desc("references"), "domain")
+
+
+def domain_partials(df: DataFrame, unit: str = "day", date_col: str = "date") -> DataFrame:
+    """``since, domain, n``: occurrences per domain and day (or hour), for ``domain_counts_of``.
+
+    Partials of different articles simply add up, so a batch's own are appended to those of the batches before and
+    no text is read again. Articles without a date are in none, as they are in no look-back.
+    """
+    since = F.date_trunc(unit, F.col(date_col)).alias("since")
+    dated = df.where(F.col(date_col).isNotNull())
+    return _domains(dated, since).groupBy("since", "domain").agg(F.count(F.lit(1)).alias("n"))
+
+
+def domain_counts_of(
+    partials: DataFrame, as_of: datetime | str, days: int = 30, min_occurrence: int = 3, unit: str = "day"
+) -> DataFrame:
+    """``domain_counts`` from partials of ``unit``; the look-back must start where a unit does, else they cannot tell."""
+    at = as_of if isinstance(as_of, datetime) else datetime.fromisoformat(str(as_of))
+    if at.minute or at.second or at.microsecond or (unit == "day" and at.hour):
+        raise ValueError(f"{at} is not the start of a {unit}")
+    window = recent(partials, at, days, date_col="since")
+    return _most_frequent(window.groupBy("domain").agg(F.sum("n").alias("references")), min_occurrence)
+
+
 def known_domains(registry: DataFrame) -> DataFrame:
     """Distinct sites of all registry rows, inactive ones too, without ``www.``."""
     return registry.where(F.col("site") != "").select(strip_www(F.col("site")).alias("domain")).distinct()

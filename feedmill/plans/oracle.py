@@ -400,6 +400,7 @@ ORACLE = {
     "extract_url_mentions": with_views(f"""
         select article_id, mention, {HOST.format(url="mention")} as domain from mentioned"""),
     "domain_counts": with_views("select * from counted"),
+    "rolling_domain_counts": with_views("select * from counted"),
     "existing_source_domains": with_views("select distinct regexp_replace(site, '^www[.]', '') as domain from sources"),
     "new_domain_candidates": with_views("select * from wanted"),
     "feed_link_tags": with_views("select domain, page, href, title from links"),

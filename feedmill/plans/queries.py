@@ -502,6 +502,15 @@ def domain_counts(spark, sf_dir):
     return X.domain_counts(fx.articles(spark, sf_dir), fx.AS_OF)
 
 
+@query
+def rolling_domain_counts(spark, sf_dir):
+    """The same counts from the kept daily counts of two batches."""
+    path = scratch_path(spark, "domain-partials")
+    for batch in early_and_late(spark, sf_dir):
+        X.domain_partials(batch).write.mode("append").parquet(path)
+    return X.domain_counts_of(spark.read.schema("since timestamp, domain string, n long").parquet(path), fx.AS_OF)
+
+
 @query
 def existing_source_domains(spark, sf_dir):
     return X.known_domains(fx.sources(spark, sf_dir))

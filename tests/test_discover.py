@@ -295,3 +295,20 @@ def test_accept_is_insert_if_absent(spark, suggested):
     new = out.where("RSS = 'https://www.x.org/one.xml'").first()
     assert (new.site, new.category, new.active, new.added_date) == ("www.x.org", "discovered", True, datetime(2024, 1, 31))
     assert X.accept(suggested, out, AS_OF).count() == 9
+
+
+def test_rolling_counts_equal_those_from_texts(spark):
+    rows = [
+        (f"https://www.d{i % 5}.org/{i}", f"see http://t{i % 3}.net and http://d{i % 5}.org", None, None if i % 11 == 0 else datetime(2024, 1, 1 + i % 29, i % 24))
+        for i in range(300)
+    ] + [("http://[broken", "http://t1.net", None, datetime(2024, 1, 20))] * 3
+    df = spark.createDataFrame(rows, "url string, title string, body string, date timestamp")
+    for unit, as_of in (("day", "2024-01-25"), ("hour", "2024-01-25 07:00:00"), ("hour", "2024-01-25")):
+        halves = [X.domain_partials(part, unit) for part in df.randomSplit([1.0, 1.0], 3)]
+        partials = halves[0].unionByName(halves[1])
+        for days in (3, 30):
+            got = X.domain_counts_of(partials, as_of, days, unit=unit)
+            assert [tuple(r) for r in got.collect()] == [tuple(r) for r in X.domain_counts(df, as_of, days).collect()]
+    for unit, as_of in (("day", "2024-01-25 07:00:00"), ("hour", "2024-01-25 07:30:00")):
+        with pytest.raises(ValueError, match="not the start"):
+            X.domain_counts_of(X.domain_partials(df, unit), as_of, unit=unit)
