@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedmill.functions.columns import time_literal
+from feedmill.functions.columns import matches, prefixed, time_literal
 from feedmill.operators.clean import keep_one
 
 
@@ -58,6 +58,39 @@ def log_status(
     return log_sizes(lines, key, text, time_col).join(tail_health(lines, key, order, text, n, marker), key)
 
 
+def tail_state(
+    lines: DataFrame, key: str, order: Sequence[str] | str, text: str = "line", time_col: str | None = None, n: int = 10
+) -> DataFrame:
+    """Per log what is worth keeping of these lines: lines, size, last write and the last ``n``, with their order.
+
+    States of parts of a log are put together by ``merge_tails``. Lines of one place are told apart by their text, so the
+    result does not depend on which task read them. A null key is a log like any other.
+    """
+    order = [order] if isinstance(order, str) else list(order)
+    newest = Window.partitionBy(key).orderBy(*[F.desc(c) for c in (*order, text)])
+    last = lines.select(key, *order, text, F.row_number().over(newest).alias("_back")).where(F.col("_back") <= n)
+    entry = F.struct(*[F.col(c).alias(f"at{i}") for i, c in enumerate(order)], F.col(text).alias("line"))
+    tails = last.groupBy(key).agg(F.sort_array(F.collect_list(entry)).alias("tail"))
+    sizes = log_sizes(lines, key, text, time_col)
+    return sizes.join(prefixed(tails, "_t_"), matches([key], "_t_")).select(*sizes.columns, F.col("_t_tail").alias("tail"))
+
+
+def merge_tails(states: DataFrame, key: str, n: int = 10) -> DataFrame:
+    """States of parts of logs as one state per log; a group has as many rows as parts, of at most ``n`` lines each."""
+    newest = F.sort_array(F.flatten(F.collect_list("tail")), asc=False)
+    aggs = [F.sum("lines").alias("lines"), F.sum("size").alias("size")]
+    if "last_modified" in states.columns:
+        aggs.append(F.max("last_modified").alias("last_modified"))
+    return states.groupBy(key).agg(*aggs, F.reverse(F.slice(newest, 1, n)).alias("tail"))
+
+
+def state_health(states: DataFrame, marker: str = "ERROR") -> DataFrame:
+    """Per log the status record that ``log_status`` gives, from kept states."""
+    rest = [c for c in states.columns if c != "tail"]
+    marked = F.exists("tail", lambda e: F.coalesce(e["line"].contains(marker), F.lit(False)))
+    return states.select(*rest, marked.alias("has_errors"), F.transform("tail", lambda e: e["line"]).alias("last_lines"))
+
+
 def _seconds_between(then: Column, now: Column) -> Column:
     """Whole seconds, rounded down; both instants may have fractions."""
     micros = F.unix_micros(now.cast("timestamp")) - F.unix_micros(then.cast("timestamp"))

@@ -49,14 +49,24 @@ def insert_new(
     return last_in_batch(batch, [key], seq_col).join(known, matches([key], "_s_"), "left_anti")
 
 
+def stored_matches(store: DataFrame, batch: DataFrame, keys: Sequence[str] = ("url",)) -> DataFrame:
+    """The stored rows that a batch will meet; the store is the streamed side."""
+    wanted = prefixed(batch.select(*keys).distinct(), "_b_")
+    return store.join(wanted, matches(list(keys), "_b_"), "left_semi")
+
+
 def upsert(
-    store: DataFrame, batch: DataFrame, keys: Sequence[str] = ("url",), seq_col: str = "ingest_seq"
+    store: DataFrame,
+    batch: DataFrame,
+    keys: Sequence[str] = ("url",),
+    seq_col: str = "ingest_seq",
+    met: DataFrame | None = None,
 ) -> DataFrame:
     """The store after an ordered upsert.
 
     A match takes all batch columns, nulls included, and keeps columns only the store has, as
     well as the keys only its maps have; the rest is inserted. Rows of the store stay in place (left join), inserts are added, so a
-    small batch costs no shuffle of the store.
+    small batch costs no shuffle of the store. ``met``, if at hand, is what ``stored_matches`` gives: the store is then read once.
     """
     keys = list(keys)
     final = last_in_batch(batch, keys, seq_col)
@@ -75,8 +85,7 @@ def upsert(
 
     names = list(store.columns) + [c for c in batch.columns if c not in store.columns]
     kept = store.join(incoming, matches(keys, "_b_"), "left").select(*[pick(n) for n in names])
-    wanted = prefixed(batch.select(*keys).distinct(), "_b_")
-    known = store.select(*keys).join(wanted, matches(keys, "_b_"), "left_semi").distinct()
+    known = (stored_matches(store.select(*keys), batch, keys) if met is None else met.select(*keys)).distinct()
     fresh = final.join(prefixed(known, "_s_"), matches(keys, "_s_"), "left_anti")
     return kept.unionByName(fresh, allowMissingColumns=True)
 

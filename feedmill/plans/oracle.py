@@ -453,6 +453,12 @@ ORACLE = {
         select script_id, bool_or(contains(line, 'error')) as has_errors, string_agg(line, ',' order by seq) as last_lines
         from (select *, row_number() over (partition by script_id order by seq desc) as back from runs)
         where back <= 10 group by script_id"""),
+    "kept_log_tails": with_views("""
+        select script_id, count(*) as lines, cast(sum(length(line) + 1) as bigint) as size,
+          bool_or(back <= 10 and contains(line, 'error')) as has_errors,
+          string_agg(line, ',' order by seq) filter (where back <= 10) as last_lines
+        from (select *, row_number() over (partition by script_id order by seq desc) as back from runs)
+        group by script_id"""),
     "staleness": with_views(f"""
         select script_id, count(*) as lines, cast(sum(length(line) + 1) as bigint) as size,
           max(start_time) as last_modified,

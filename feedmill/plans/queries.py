@@ -28,6 +28,7 @@ from feedmill.schema import ARTICLE
 from feedmill.sources.sink import compact_store, insert_articles, read_store, repair_store, upsert_articles
 from feedmill.sources.textindex import maintain_text, read_mentions
 from feedmill.streaming.ingest import Ingest, dedupe_stream, ingest_metrics, start_ingest
+from feedmill.streaming.tails import LogTails, read_tails, start_tails
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -644,6 +645,22 @@ def log_tail_health(spark, sf_dir):
     return tails.withColumn("last_lines", F.array_join("last_lines", ","))
 
 
+@query
+def kept_log_tails(spark, sf_dir):
+    """Health of all logs after three waves of lines, of which each was read once."""
+    root = scratch_path(spark, "tails")
+    lines = fx.runs(spark, sf_dir)
+    job = LogTails(
+        f"{root}/landing", f"{root}/state", f"{root}/checkpoint", "script_id long, seq long, line string, start_time timestamp",
+        key="script_id", order=["seq"], time_col="start_time", fold=2,
+    )
+    for wave in range(3):
+        lines.where(F.col("seq") % 3 == wave).write.mode("append").json(job.landing)
+        start_tails(spark, job, once=True).awaitTermination()
+    health = H.state_health(read_tails(spark, job), marker="error")
+    return health.select("script_id", "lines", "size", "has_errors", F.array_join("last_lines", ",").alias("last_lines"))
+
+
 @query
 def staleness(spark, sf_dir):
     return H.staleness(fx.runs(spark, sf_dir), "script_id", "start_time", fx.AS_OF)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -43,13 +44,27 @@ def text(spark: SparkSession, path: str, name: str) -> str:
 
 
 def put(spark: SparkSession, path: str, name: str, content: str) -> None:
-    """A new file; an error if there is one of that name."""
+    """A file with this content, in place of one of that name."""
     fs, file = located(spark, path, name)
-    out = fs.create(file, False)
+    out = fs.create(file, True)
     out.write(bytearray(content.encode()))
     out.close()
 
 
+def publish(spark: SparkSession, path: str, name: str, content: str) -> None:
+    """A new file that gets its name when it is whole; an error if there is one of that name.
+
+    Where renaming is a copy, as in object stores, two callers may both get through: the caller has to be the only one.
+    """
+    made = f"_{uuid.uuid4().hex}"
+    put(spark, path, made, content)
+    fs, ready = located(spark, path, made)
+    file = located(spark, path, name)[1]
+    if fs.exists(file) or not fs.rename(ready, file):
+        fs.delete(ready, False)
+        raise RuntimeError(f"{path} has a {name} already")
+
+
 def remove(spark: SparkSession, path: str, name: str) -> None:
     fs, file = located(spark, path, name)
     fs.delete(file, True)

@@ -98,7 +98,7 @@ def extend(
         "buckets": sorted({*left, *(b for p in merged for b in p["buckets"])}),
         "files": sorted({*fresh, *(f for p in merged for f in p["files"] if f in now)}),
     }
-    files.put(spark, folder, f"{STATE}{number + 1}", json.dumps([*live, made]))
+    files.publish(spark, folder, f"{STATE}{number + 1}", json.dumps([*live, made]))
     kept = {p["name"] for p in (*parts, made)}
     for old in files.listed(spark, folder, "part=*", r"part=\w+"):
         if old not in kept:

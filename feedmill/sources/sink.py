@@ -9,35 +9,38 @@ stays for readers that are still at it; older ones are removed.
 
 from __future__ import annotations
 
+import hashlib
 import json
+import random
+import time
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedmill.operators.store import insert_counts, insert_new, repair_string_dates, upsert, upsert_counts
+from feedmill.operators.store import insert_counts, insert_new, repair_string_dates, stored_matches, upsert, upsert_counts
 from feedmill.schema import ARTICLE, REQUIRED
 from feedmill.sources import files
 from feedmill.sources.keyindex import bucket_of, known_urls, maintain
 from feedmill.sources.parts import BUCKET, CURRENT, INDEX_FILES, VERSION, current_versions, stored_files
 
 BUCKETS = 64
-WRITER = "_writer"
+ASKS, HOLDS = "_writer.asks-", "_writer.holds-"
+CLAIM_TRIES = 8
 
 
-def _switch(spark: SparkSession, path: str, versions: dict[int, int]) -> None:
-    """Make ``versions`` the current ones. The file gets its name when it is whole, and none is ever written over."""
+def _switch(spark: SparkSession, path: str, versions: dict[int, int], writer: str) -> None:
+    """Make ``versions`` the current ones, if ``writer`` still has the claim. No such file is ever written over."""
     names = files.listed(spark, path, f"{CURRENT}*", rf"{CURRENT}\d+")
     switches = sorted(int(n.removeprefix(CURRENT)) for n in names)
     number = switches[-1] + 1 if switches else 0
-    made = f"_{uuid.uuid4().hex}"
-    files.put(spark, path, made, json.dumps(versions))
-    fs, ready = files.located(spark, path, made)
-    if not fs.rename(ready, files.located(spark, path, f"{CURRENT}{number}")[1]):
-        raise RuntimeError(f"{path} was switched by another writer")
+    if not has_claim(spark, path, writer):
+        raise RuntimeError(f"{path} was taken from {writer}; nothing is switched")
+    files.publish(spark, path, f"{CURRENT}{number}", json.dumps(versions))
     for old in switches[:-1]:
         files.remove(spark, path, f"{CURRENT}{old}")
 
@@ -81,39 +84,72 @@ def read_store(
     return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
 
-def claim_store(spark: SparkSession, path: str, writer: str) -> None:
+def _claims(spark: SparkSession, path: str, kind: str) -> list[str]:
+    """Digests of the writers that ask for a store, or that hold it."""
+    return [n.removeprefix(kind) for n in files.listed(spark, path, f"{kind}*", rf"{kind}[0-9a-f]{{32}}")]
+
+
+def _digest(writer: str) -> str:
+    return hashlib.md5(writer.encode(), usedforsecurity=False).hexdigest()
+
+
+def has_claim(spark: SparkSession, path: str, writer: str) -> bool:
+    return files.exists(spark, f"{path.rstrip('/')}/{HOLDS}{_digest(writer)}")
+
+
+def claim_store(spark: SparkSession, path: str, writer: str, tries: int = CLAIM_TRIES) -> None:
     """Make ``writer`` the one writer of a store; an error if another one is.
 
-    The name is put down once and for all, so the same writer may come back after a failure.
+    Nothing is asked of the file system but that a listing shows every file closed before it, which object stores
+    give too: a writer first puts down that it asks, then lists who does. Whoever finds itself alone holds the store;
+    whoever does not takes its own file back. Of two that ask at once at least one sees the other, so never both hold
+    it; if both give way, they ask again after a random while. A writer that holds a store may come back after
+    a failure under its name. One name must not be used by two jobs at a time.
     """
+    mine = _digest(writer)
+    for n in range(tries):
+        if has_claim(spark, path, writer):
+            return
+        files.put(spark, path, f"{ASKS}{mine}", writer)
+        others = [d for d in _claims(spark, path, ASKS) if d != mine]
+        if not others:
+            files.put(spark, path, f"{HOLDS}{mine}", writer)
+            return
+        files.remove(spark, path, f"{ASKS}{mine}")
+        holder = [d for d in _claims(spark, path, HOLDS) if d != mine]
+        if holder and n + 1 >= min(2, tries):  # a call that is just ending is given one more look
+            raise RuntimeError(f"{path} is written by {_name(spark, path, holder[0])}; release_store gives it free")
+        time.sleep(random.uniform(0.05, 0.2) * (n + 1))
+    raise RuntimeError(f"{path} is asked for by others all the time; release_store removes what a failed one left")
+
+
+def _name(spark: SparkSession, path: str, digest: str) -> str:
     try:
-        files.put(spark, path, WRITER, writer)
-    except Exception as refused:  # py4j hands on any Java error
-        fs, file = files.located(spark, path, WRITER)
-        if not fs.exists(file):
-            raise
-        owner = files.text(spark, path, WRITER)
-        if owner != writer:
-            raise RuntimeError(f"{path} is written by {owner}; release_store gives it free") from refused
+        return files.text(spark, path, f"{HOLDS}{digest}")
+    except Py4JJavaError:  # given up in between
+        return "another writer"
 
 
-def release_store(spark: SparkSession, path: str) -> None:
-    """Let another writer claim a store whose writer has stopped for good."""
-    files.remove(spark, path, WRITER)
+def release_store(spark: SparkSession, path: str, writer: str | None = None) -> None:
+    """Give up the claim of ``writer``; by default anyone's, for a writer that has stopped for good."""
+    for kind in (HOLDS, ASKS):
+        for digest in _claims(spark, path, kind) if writer is None else [_digest(writer)]:
+            files.remove(spark, path, f"{kind}{digest}")
 
 
 @contextmanager
-def sole_writer(spark: SparkSession, path: str, writer: str | None) -> Iterator[None]:
-    """Hold the claim on a store as ``writer``, or for a while as a nameless one.
+def sole_writer(spark: SparkSession, path: str, writer: str | None) -> Iterator[str]:
+    """Hold the claim on a store as ``writer``, or for a while as a nameless one; gives the name.
 
     A nameless claim is given up in the end; only a driver that dies leaves it, for ``release_store``.
     """
-    claim_store(spark, path, writer or f"call {uuid.uuid4().hex}")
+    name = writer or f"call {uuid.uuid4().hex}"
+    claim_store(spark, path, name)
     try:
-        yield
+        yield name
     finally:
         if not writer:
-            release_store(spark, path)
+            release_store(spark, path, name)
 
 
 def touched(batch: DataFrame, buckets: int) -> list[int]:
@@ -128,14 +164,19 @@ def append_articles(fresh: DataFrame, path: str, buckets: int = BUCKETS, files_p
 
 
 def rewrite_buckets(
-    rows: DataFrame, path: str, numbers: Iterable[int], buckets: int = BUCKETS, files_per_bucket: int = 1
+    rows: DataFrame,
+    path: str,
+    numbers: Iterable[int],
+    writer: str,
+    buckets: int = BUCKETS,
+    files_per_bucket: int = 1,
 ) -> None:
-    """Put ``rows`` in place of the given buckets, all at once; the caller holds the claim."""
+    """Put ``rows`` in place of the given buckets, all at once; ``writer`` has the claim, or nothing is switched."""
     spark = rows.sparkSession
     before = current_versions(spark, path)
     after = {**before, **{b: before.get(b, 0) + 1 for b in numbers}}
     _write(rows, path, after, buckets=buckets, files_per_bucket=files_per_bucket, mode="overwrite")
-    _switch(spark, path, after)
+    _switch(spark, path, after, writer)
     for b in numbers:
         if after[b] >= 2:
             files.remove(spark, path, f"{BUCKET}={b}/{VERSION}={after[b] - 2}")
@@ -187,16 +228,20 @@ def upsert_articles(
     if not set(required) <= set(batch.columns):
         return 0
     spark = batch.sparkSession
-    with sole_writer(spark, path, writer):
-        batch = batch.persist()
+    with sole_writer(spark, path, writer) as name:
+        batch, met = batch.persist(), None
         try:
             numbers = touched(batch, buckets)
             near = read_store(spark, path, schema, numbers)
-            saved = upsert_counts(near, batch).first()["saved"]
+            # At most one row for each URL of the batch: counted and matched without reading the buckets again.
+            met = stored_matches(near, batch).persist()
+            saved = upsert_counts(met, batch).first()["saved"]
             if saved:
-                rows = upsert(near, batch).select(*schema.fieldNames())
-                rewrite_buckets(rows, path, numbers, buckets, files_per_bucket)
+                rows = upsert(near, batch, met=met).select(*schema.fieldNames())
+                rewrite_buckets(rows, path, numbers, name, buckets, files_per_bucket)
         finally:
+            if met is not None:
+                met.unpersist()
             batch.unpersist()
     return saved
 
@@ -214,11 +259,11 @@ def compact_store(
 
     ``only`` names the buckets, by default all of them. ``buckets`` must be what the store was written with.
     """
-    with sole_writer(spark, path, writer):
+    with sole_writer(spark, path, writer) as name:
         rows = read_store(spark, path, schema, only)
         numbers = touched(rows, buckets)
         if numbers:
-            rewrite_buckets(rows, path, numbers, buckets, files_per_bucket)
+            rewrite_buckets(rows, path, numbers, name, buckets, files_per_bucket)
 
 
 def repair_store(
@@ -237,7 +282,7 @@ def repair_store(
     switched at once. A repaired row loses its string; one that cannot be read keeps it and counts for nothing, so a
     second call repairs 0 and writes nothing. ``schema`` must have both columns.
     """
-    with sole_writer(spark, path, writer):
+    with sole_writer(spark, path, writer) as name:
         rows = read_store(spark, path, schema)
         waiting = F.col(f"`{raw_col}`").isNotNull() & F.col("_before").isNull() & F.col(f"`{date_col}`").isNotNull()
         found = (
@@ -253,5 +298,5 @@ def repair_store(
         near = read_store(spark, path, schema, numbers)
         fixed = repair_string_dates(near.withColumn("_before", F.col(f"`{date_col}`")), raw_col, date_col)
         kept = F.when(~waiting, F.col(f"`{raw_col}`"))
-        rewrite_buckets(fixed.withColumn(raw_col, kept).select(*schema.fieldNames()), path, numbers, buckets, files_per_bucket)
+        rewrite_buckets(fixed.withColumn(raw_col, kept).select(*schema.fieldNames()), path, numbers, name, buckets, files_per_bucket)
     return sum(r["n"] for r in found)

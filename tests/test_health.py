@@ -55,3 +55,33 @@ def test_uptime_and_runs(spark):
     )
     got = {r.script: (r.status, r.uptime) for r in H.run_status(runs, AS_OF).collect()}
     assert got == {"a": ("RUNNING", "1d 2h"), "d": ("RUNNING", "1m 59s"), "b": ("STOPPED", "unknown"), "c": ("STOPPED", "unknown")}
+
+
+def test_kept_tails_equal_those_of_whole_logs(spark, tmp_path):
+    from feedmill.streaming.tails import LogTails, _save_batch, read_tails, start_tails
+
+    schema = "log string, line_no long, line string, logged_at timestamp"
+    job = LogTails(*[str(tmp_path / name) for name in ("landing", "state", "checkpoint")], schema, n=5, fold=3)
+    lines = [("hot", i, f"line {i}" + (" ERROR" if i == 990 else ""), datetime(2024, 1, 1, 0, i // 60, i % 60)) for i in range(1000)]
+    lines += [("short", 1, None, None), (None, 2, "no name ERROR", None), (None, 2, "twice", None), ("hot", None, "no place", None)]
+    assert read_tails(spark, job).count() == 0
+    for wave in range(8):
+        # Out of order, with a log that fills every wave and one that comes once.
+        spark.createDataFrame(lines[7 - wave :: 8], schema).coalesce(1).write.mode("append").json(job.landing)
+        start_tails(spark, job, once=True).awaitTermination()
+    want = {r.log: r for r in H.log_status(spark.createDataFrame([x for x in lines if x[0]], schema), "log", "line_no", "logged_at", n=5).collect()}
+    states = read_tails(spark, job)
+    got = {r.log: r for r in H.state_health(states).collect()}
+    for log in ("hot", "short"):
+        assert got[log].asDict() == want[log].asDict()
+    assert not got["hot"].has_errors and got["hot"].last_lines[-1] == "line 999" and got["hot"].lines == 1001
+    assert got[None].has_errors and got[None].last_lines == ["no name ERROR", "twice"] and got[None].lines == 2
+    assert {p.name for p in (tmp_path / "state").iterdir()} == {"fold=2", "fold=5", *(f"batch={b}" for b in (3, 4, 5, 6, 7))}
+    # The last batch once more, after a failure before and after its state was whole: nothing counts twice.
+    kept = sorted(map(repr, states.collect()))
+    for lost in (False, True):
+        if lost:
+            (tmp_path / "state" / "batch=7" / "_SUCCESS").unlink()
+            assert sorted(map(repr, read_tails(spark, job).collect())) != kept
+        _save_batch(job, spark.createDataFrame(lines[0::8], schema), 7)
+        assert sorted(map(repr, read_tails(spark, job).collect())) == kept

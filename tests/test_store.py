@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+import time
 from datetime import datetime
 
 import pytest
@@ -7,7 +9,7 @@ from pyspark.sql import functions as F
 
 from feedmill.operators import store as K
 from feedmill.schema import ARTICLE
-from feedmill.sources import sink
+from feedmill.sources import files, sink
 from feedmill.sources.sink import compact_store, insert_articles, read_store, upsert_articles
 
 COLS = "url string, title string, image string, ingest_seq long"
@@ -207,6 +209,70 @@ def test_a_claimed_store_is_written_by_nobody_else(spark, tmp_path):
     assert upsert_articles(articles(spark, ("a", "2", 2)), path, buckets=2) == 1
 
 
+def test_two_that_ask_at_once_never_both_hold_a_store(spark, tmp_path, monkeypatch):
+    """A file system of which nothing is exclusive: files are simply put, late, and renames write over."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    put = files.put
+
+    def late(*args):
+        time.sleep(random.random() / 50)
+        put(*args)
+        time.sleep(random.random() / 50)
+
+    monkeypatch.setattr(files, "put", late)
+    for n in range(6):
+        path = str(tmp_path / f"store{n}")
+
+        def ask(name, path=path):
+            try:
+                sink.claim_store(spark, path, name)
+            except RuntimeError:
+                return None
+            return name
+
+        with ThreadPoolExecutor(6) as pool:
+            won = [name for name in pool.map(ask, [f"job {i}" for i in range(6)]) if name]
+        assert len(won) <= 1
+        sink.release_store(spark, path)
+        assert ask("later") == "later" and ask("later") == "later" and ask("other") is None
+
+
+def test_what_a_failed_asker_left_is_removed_by_release(spark, tmp_path):
+    path = str(tmp_path / "store")
+    files.put(spark, path, sink.ASKS + sink._digest("dead"), "dead")
+    with pytest.raises(RuntimeError, match="release_store"):
+        sink.claim_store(spark, path, "job", tries=2)
+    sink.claim_store(spark, path, "dead")  # it may come back itself
+    sink.release_store(spark, path)
+    sink.claim_store(spark, path, "job")
+
+
+def test_a_writer_whose_claim_was_taken_switches_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "store")
+    insert_articles(articles(spark, ("a", "1", 1)), path, buckets=2)
+    write = sink._write
+
+    def taken(*args, **kw):
+        write(*args, **kw)
+        sink.release_store(spark, path)
+        sink.claim_store(spark, path, "next")
+
+    monkeypatch.setattr(sink, "_write", taken)
+    with pytest.raises(RuntimeError, match="was taken"):
+        upsert_articles(articles(spark, ("a", "2", 2)), path, buckets=2)
+    assert rows(read_store(spark, path), "url", "title") == [("a", "1")]
+    assert sink.has_claim(spark, path, "next")
+
+
+def test_a_published_file_is_whole_and_never_written_over(spark, tmp_path):
+    files.publish(spark, str(tmp_path), "_one", "first")
+    with pytest.raises(RuntimeError, match="already"):
+        files.publish(spark, str(tmp_path), "_one", "second")
+    assert files.text(spark, str(tmp_path), "_one") == "first"
+    assert [f.name for f in tmp_path.iterdir() if not f.name.startswith(".")] == ["_one"]
+
+
 def test_upsert_keeps_keys_only_the_store_has(spark):
     schema = "url string, extra map<string,string>, ingest_seq long"
     store = spark.createDataFrame([("a", {"x": "1", "y": "1"}, 0), ("b", None, 0), ("c", {"z": "1"}, 0)], schema)
