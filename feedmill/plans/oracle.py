@@ -502,6 +502,17 @@ ORACLE = {
     "rejected_records": with_views("""
         select concat('{"lost": ', ingest_seq) as line, 'search' as lane from articles where ingest_seq % 10 = 0"""),
     "stream_dedupe_url": with_views("select distinct url from articles"),
+    "stream_late_rows": with_views("""
+        select * from (with bar as (select max(date) - interval 10 day as bar from articles where article_id % 2 = 0),
+        first_wave as (select url, min(date) as date from articles where article_id % 2 = 0 group by url),
+        second_wave as (
+          select url, min(date) as date from articles where article_id % 2 = 1 and date >= (select bar from bar) group by url)
+        select url, date, false as late from first_wave
+        union all
+        select url, date, false from second_wave s where not exists (
+          select 1 from first_wave f where f.url = s.url and f.date + interval 10 day > (select bar from bar))
+        union all
+        select url, date, true from articles where article_id % 2 = 1 and date < (select bar from bar))"""),
     "ingest_metrics": _ingested(f"""
         select cast(0 as bigint) as batch, (select count(*) from articles where date < timestamp '{STORE_CUT}') as found,
           (select count(*) from wave1) as kept, cast(0 as bigint) as skipped, (select count(*) from wave1) as saved

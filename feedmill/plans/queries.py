@@ -28,6 +28,7 @@ from feedmill.schema import ARTICLE
 from feedmill.sources.sink import compact_store, insert_articles, read_store, repair_store, upsert_articles
 from feedmill.sources.textindex import maintain_text, read_mentions
 from feedmill.streaming.ingest import Ingest, dedupe_stream, ingest_metrics, start_ingest
+from feedmill.streaming.late import Dedupe, start_dedupe
 from feedmill.streaming.tails import LogTails, read_tails, start_tails
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -785,6 +786,23 @@ def stream_dedupe_url(spark, sf_dir):
     return spark.read.schema(articles.schema).parquet(f"{root}/out").select("url")
 
 
+@query
+def stream_late_rows(spark, sf_dir):
+    """First copies and late rows of two waves: the bar that the first one sets makes rows of the second late."""
+    root = scratch_path(spark, "late")
+    articles = fx.articles(spark, sf_dir).select("article_id", "url", F.col("date").cast("timestamp").alias("date"))
+    job = Dedupe(f"{root}/out", f"{root}/late", f"{root}/state", f"{root}/checkpoint", "10 days")
+    for wave in (0, 1):
+        articles.where(F.col("article_id") % 2 == wave).write.mode("append").parquet(f"{root}/landing")
+        stream = spark.readStream.schema(articles.schema).parquet(f"{root}/landing")
+        start_dedupe(stream.drop("article_id"), job, once=True).awaitTermination()
+    both = [
+        spark.read.schema("url string, date timestamp").parquet(path).withColumn("late", F.lit(late))
+        for path, late in ((job.out, False), (job.late, True))
+    ]
+    return plain(both[0].unionByName(both[1]).select("url", "date", "late"))
+
+
 @query
 def ingest_metrics_(spark, sf_dir):
     job, _ = two_waves(spark, sf_dir, once=True)

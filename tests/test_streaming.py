@@ -186,3 +186,56 @@ def test_a_second_writer_is_refused(spark, tmp_path):
     release_store(spark, j.store)
     I.start_ingest(spark, other, once=True).awaitTermination()
     assert stored(spark, j) == [("a", "t1", "gold")]
+
+
+def test_late_rows_are_put_aside(spark, tmp_path):
+    """Every wave against a plain replay; a hot URL, null URLs and dates, forgotten keys, folds, a batch run again."""
+    from datetime import timedelta
+
+    from feedmill.streaming.late import Dedupe, _save_batch, start_dedupe
+
+    source, out, late, state, cp = (str(tmp_path / n) for n in ("in", "out", "late", "state", "cp"))
+    job = Dedupe(out, late, state, cp, "5 days", fold=2)
+    schema = "url string, date timestamp, n long"
+    day = lambda d: datetime(2024, 1, 1) + timedelta(days=d)
+    waves = [
+        [("hot", day(1)), ("a", day(2)), ("a", day(1)), (None, day(2)), ("none", None)] + [("hot", day(1))] * 50,
+        [("b", day(10)), ("a", day(3)), ("c", day(-9)), (None, None)],
+        [("hot", day(4)), ("hot", day(6)), ("a", day(8)), ("b", day(9)), ("none", None)] + [("hot", day(0))] * 30,
+        [("none", None), ("b", day(30)), (None, day(5))],
+        [("b", day(26)), ("z", day(24)), ("z", None)],
+    ]
+    horizon, bar, kept = timedelta(days=5), None, {}
+    want_out, want_late = [], []
+    top = None
+    for i, wave in enumerate(waves):
+        rows = [(u, d, i * 100 + k) for k, (u, d) in enumerate(wave)]
+        spark.createDataFrame(rows, schema).repartition(3).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        start_dedupe(stream, job, once=True).awaitTermination()
+
+        bar = None if top is None else top - horizon
+        kept = {u: t for u, t in kept.items() if bar is None or t > bar}
+        dates = [d for _, d in wave if d] + ([top] if top else [])
+        top = max(dates)
+        firsts = {}
+        for u, d, n in rows:
+            if d is not None and bar is not None and d < bar:
+                want_late.append((u, d, n))
+            elif u not in firsts or (d or datetime.max) < (firsts[u] or datetime.max):
+                firsts[u] = d
+        for u, d in firsts.items():
+            if u not in kept:
+                want_out.append((u, d))
+                kept[u] = (d or top) + horizon
+        got = [(r.url, r.date) for r in spark.read.schema(schema).parquet(out).collect()]
+        assert sorted(map(repr, got)) == sorted(map(repr, want_out)), i
+        aside = [(r.url, r.date, r.n) for r in spark.read.schema(schema).parquet(late).collect()]
+        assert sorted(map(repr, aside)) == sorted(map(repr, want_late)), i
+    assert len(want_late) == 33 and ("hot", day(6)) in want_out
+    # The last batch once more, after its keys were lost half-written: the same rows.
+    (tmp_path / "state" / "batch=4" / "_SUCCESS").unlink()
+    _save_batch(job, spark.createDataFrame([(u, d, 400 + k) for k, (u, d) in enumerate(waves[4])], schema), 4)
+    got = [(r.url, r.date) for r in spark.read.schema(schema).parquet(out).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, want_out))
+    assert {p.name for p in (tmp_path / "state").iterdir() if not p.name.startswith(("_", "."))} == {"fold=1", "fold=3", "batch=2", "batch=3", "batch=4"}
