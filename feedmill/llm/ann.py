@@ -7,7 +7,7 @@ floor(r / m) bits in at least one of m substrings, so probing every index with t
 every code within r. The found codes are checked and ranked by the inner products of the vectors themselves.
 
 The rows are dealt into blocks, each with its own index in one task; a query visits every block and
-brings its best ``k`` home. In a block the radius grows until ``k`` vectors are found, so no query comes back short.
+brings its best home: the best ``k`` of the blocks searched first, of the others what can still be among them. In a block the radius grows until ``k`` vectors are found, so no query comes back short.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from feedmill.functions.columns import quoted
+from feedmill.llm.frames import staged
 
 BITS = 64
 SUBSTRINGS = 4
@@ -32,8 +33,9 @@ SAMPLE = 20_000
 SAMPLE_QUERIES = 256
 SHARE = 0.97
 ROTATIONS = 30
-BLOCK_ROWS = 16_384
-QUERY_ROWS = 2_048
+BLOCK_BYTES = 8 << 20
+QUERY_BYTES = 16 << 20
+SEED_SHARE = 16
 SCORE_SLACK = 1e-9
 
 
@@ -159,14 +161,18 @@ def nearest_in_block(
 
 
 def _searcher(codes, k: int, radius: int, count: int):
+    """Search of one block for one part of the queries; what is below a query's bar stays where it is."""
+
     def search(key: tuple[pa.Scalar, ...], queries: pa.Table, rows: pa.Table) -> pa.Table:
         out_q, out_v, out_s = [], [], []
         if queries.num_rows and rows.num_rows:
             ids, vectors = np.asarray(rows["id"]), _matrix(rows["vector"])
             index = MultiIndex(codes.value.encode(vectors), count)
             asked, wanted = np.asarray(queries["id"]), _matrix(queries["vector"])
-            for one, vector, code in zip(asked.tolist(), wanted, codes.value.encode(wanted).tolist()):
+            bars = np.asarray(queries["bar"])
+            for one, vector, code, bar in zip(asked.tolist(), wanted, codes.value.encode(wanted).tolist(), bars):
                 found, scores = nearest_in_block(index, ids, vectors, one, vector, code, k, radius)
+                found, scores = found[scores >= bar], scores[scores >= bar]
                 out_q += [one] * found.size
                 out_v += found.tolist()
                 out_s += scores.tolist()
@@ -198,8 +204,9 @@ def search(
     radius: int | None = None,
     substrings: int = SUBSTRINGS,
     sample: int = SAMPLE,
-    block_rows: int = BLOCK_ROWS,
-    query_rows: int = QUERY_ROWS,
+    block_rows: int | None = None,
+    query_rows: int | None = None,
+    seed_share: int = SEED_SHARE,
 ) -> DataFrame:
     """The ``k`` largest inner products found for each query: query_id, rank (from 1), vec_id, score.
 
@@ -208,6 +215,11 @@ def search(
     ids are rows of their own. Vectors that are null, zero, or hold null or non-finite components take no part, nor do
     rows with a null id or with another length than most vectors have. The rotation and, unless given, the radius are
     learnt on at most ``sample`` rows (those with the smallest hash of their id); every row is indexed.
+
+    Blocks and parts of the queries hold as many vectors as fit in ``BLOCK_BYTES`` and ``QUERY_BYTES``. One in
+    ``seed_share`` blocks is searched first: the k-th best score found there is a bar that none of the k nearest can
+    miss, so the other blocks send home only what reaches it, on average some ``k * seed_share`` rows a query
+    however many blocks there are.
     """
     spark = base.sparkSession
 
@@ -228,19 +240,36 @@ def search(
     radius = learn_radius(vectors, learnt_codes, k) if radius is None else radius
     codes = spark.sparkContext.broadcast(learnt_codes)
 
+    width = 8 * max(1, lengths["length"])
+    block_rows = block_rows or max(1, BLOCK_BYTES // width)
+    query_rows = query_rows or max(1, QUERY_BYTES // width)
     blocks = max(1, -(-lengths["n"] // block_rows))
     groups = max(1, -(-asked.count() // query_rows))
     # Rows are dealt by their place as well as their id, so that no id can fill a block with its rows.
     spread = F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(blocks)).cast("int")
     dealt = F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    base_side = rows.withColumn("block", spread).select("id", "vector", "block", every(groups).alias("part"))
-    query_side = asked.select("id", "vector", every(blocks).alias("block"), dealt.alias("part"))
-    found = (
-        query_side.groupBy("block", "part")
-        .cogroup(base_side.groupBy("block", "part"))
-        .applyInArrow(_searcher(codes, k, radius, substrings), "query_id long, vec_id long, score double")
-    )
+    placed = rows.withColumn("block", spread)
+
+    def found_in(first: int, last: int, bars: DataFrame) -> DataFrame:
+        every = lambda low, high: F.explode(F.sequence(F.lit(low), F.lit(high)))
+        near = placed.where(F.col("block").between(first, last))
+        base_side = near.select("id", "vector", "block", every(0, groups - 1).alias("part"))
+        query_side = bars.select("id", "vector", "bar", every(first, last).alias("block"), dealt.alias("part"))
+        return (
+            query_side.groupBy("block", "part")
+            .cogroup(base_side.groupBy("block", "part"))
+            .applyInArrow(_searcher(codes, k, radius, substrings), "query_id long, vec_id long, score double")
+        )
+
+    lowest = F.lit(float("-inf"))
+    seeds = -(-blocks // seed_share) if blocks > 1 else 1
+    found = found_in(0, seeds - 1, asked.withColumn("bar", lowest))
+    if seeds < blocks:
+        found = staged(found, "ann-seeds")
+        place = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score")))
+        bars = found.withColumn("place", place).where(F.col("place") == k).select(F.col("query_id").alias("id"), "score")
+        barred = asked.join(bars, "id", "left").withColumn("bar", F.coalesce("score", lowest))
+        found = found.unionByName(found_in(seeds, blocks - 1, barred))
     ranked = found.withColumn(
         "rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")).cast("int")
     )

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedmill.llm import ann, language_id, lm_score
-from feedmill.llm.frames import remainder
+from feedmill.llm.frames import remainder, staged
 
 SYLLABLES = {"aa": "ka lo mi ne tu".split(), "bb": "schra gnu pfö ßel ätz".split(), "cc": "que çon été oui œuf".split()}
 
@@ -228,6 +228,26 @@ def test_ann_recall_and_exact_scores(spark):
     assert hits / (20 * len(want)) >= 0.9
 
 
+def test_ann_bars_lose_nothing(spark, monkeypatch):
+    """Blocks searched after the first ones send home less, and the same neighbours come out, ties and repeats included."""
+    rows = vectors(spark)
+    rows = rows.union(rows.where("vec_id % 7 = 0")).repartition(4)
+    asked = rows.where("vec_id % 20 = 0")
+    sent = {}
+    for share in (1, 4):
+        tables = []
+        monkeypatch.setattr(ann, "staged", lambda df, name: tables.append(df) or staged(df, name))
+        got = ann.search(rows, asked, radius=64, block_rows=50, query_rows=20, seed_share=share)
+        sent[share] = sorted(map(tuple, got.collect()))
+        assert len(tables) == (share > 1)
+    assert sent[1] == sent[4]
+    want = brute_neighbours(rows.collect(), 20)
+    scores = {}
+    for q, _, _, s in sent[4]:
+        scores.setdefault(q, []).append(s)
+    assert {q: sorted(s) for q, s in scores.items()} == {q: sorted(s for _, s in found) for q, found in want.items()}
+
+
 def test_ann_with_few_or_no_candidates(spark):
     rows = vectors(spark, n=41)
     few = rows.where("vec_id in (0, 3, 20)")
