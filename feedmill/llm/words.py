@@ -11,6 +11,17 @@ BATCH_WORDS = 30_000
 WORD_END = "</w>"
 
 
+class Known(dict):
+    """Ids by word. A word that is not there is noted and stands as a hole, empty until its ids are put in."""
+
+    def __init__(self, *args):
+        super().__init__(*args)
+        self.holes: dict[bytes, bytearray] = {}
+
+    def __missing__(self, word: bytes) -> bytearray:
+        return self.holes.setdefault(word, bytearray())
+
+
 class WordEncoder:
     """Encodes texts by a tokenizer that drops white space and never joins words across it.
 
@@ -25,7 +36,7 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.cache: dict[bytes, bytes] = {}
+        self.cache = Known()
         self.cache_words = cache_words
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -70,13 +81,17 @@ class WordEncoder:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         parts = [t.split() for t in texts]
-        met = set().union(*parts)
         if len(self.cache) > self.cache_words:
-            self.cache = {w: self.cache[w] for w in met.intersection(self.cache)}
-        fresh = list(met.difference(self.cache))
+            self.cache = Known({w: self.cache[w] for w in set().union(*parts).intersection(self.cache)})
+        self.cache.holes = holes = {}
+        found = [list(map(self.cache.__getitem__, p)) for p in parts]  # one look-up a word, new ones as holes
+        fresh = list(holes)
         for at in range(0, len(fresh), BATCH_WORDS):
             self._learn(fresh[at : at + BATCH_WORDS])
-        return [b"".join(map(self.cache.__getitem__, p)) for p in parts]
+        for word, hole in holes.items():
+            hole += self.cache[word]
+        self.cache.holes = {}
+        return [b"".join(ids) for ids in found]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}

@@ -13,7 +13,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 from feedmill.llm import byte_bpe, packing, token_files
-from feedmill.llm.words import WordEncoder
+from feedmill.llm.words import Known, WordEncoder
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -102,6 +102,23 @@ def test_word_encoder_equals_the_library(words):
         assert np.frombuffer(encoder.encode([text.encode()])[0], "<u4").tolist() == words(text)
 
 
+def test_word_encoder_looks_each_word_up_once(words):
+    class Counted(Known):
+        asked = 0
+
+        def __missing__(self, word):
+            Counted.asked += 1
+            return super().__missing__(word)
+
+    encoder = WordEncoder(WORDS)
+    encoder.cache = Counted()
+    for _ in range(2):  # new words are met as holes, known ones need nothing but the look-up
+        for text, ids in zip(["ab cd ab", "cd zq12 cd."], encoder.encode([b"ab cd ab", b"cd zq12 cd."])):
+            assert np.frombuffer(ids, "<u4").tolist() == words(text)
+        assert Counted.asked == 6 and not encoder.cache.holes
+    assert all(type(v) is bytes for v in encoder.cache.values())
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_windows_are_full_and_hold_every_piece(seed):
     rng = random.Random(seed)
