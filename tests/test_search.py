@@ -157,3 +157,21 @@ def test_texts_are_fetched_late(spark, tmp_path, monkeypatch):
     assert {"body", "searchKey"} <= set(tagged.columns) and not {"title", "body"} & exchanged(tagged)
     with pytest.raises(ValueError):
         Q.search_many(articles, queries, "2024-01-31", key=["query"])
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date"])
+def test_tasks_give_out_few_hits_that_cannot_be_among_the_newest(spark, kind):
+    rows = [("u", "gold", None, None if i % 50 == 0 else ago(1 + (i * 37 % 400) / 20), "s", "k", i) for i in range(1000)]
+    found = spark.createDataFrame(rows, SCHEMA).coalesce(1).withColumn("date", F.col("date").cast(kind))
+    asked = spark.createDataFrame([("gold",), ("absent",)], "query string")
+    every, _ = Q._tag_all(found, asked, "query", "query", 10, 100)
+    some, _ = Q._tag_all(found, asked, "query", "query", 10, 100, (5, "date"))
+    assert every.count() == 1000 and 5 <= some.count() < 300
+
+    def in_order(df):
+        return [(r.ingest_seq, r.date, r.query) for r in df.orderBy("ingest_seq").collect()]
+
+    for k in (5, 990):  # dates repeat, and beyond 980 the null ones count
+        best = in_order(Q.top_per_query(every, k))
+        assert len(best) == k and in_order(Q.tag_newest(found, asked, k)) == best
+        assert in_order(Q.tag_newest(found, asked, k, key=["ingest_seq"])) == best
