@@ -304,3 +304,38 @@ def test_repair_in_the_store_rewrites_only_what_waits(spark, tmp_path):
     assert sink.repair_store(spark, path, df.schema, buckets=8) == 0
     assert sorted(f for f in (tmp_path / "store").rglob("*.parquet")) == files
     assert sink.repair_store(spark, str(tmp_path / "none"), df.schema, buckets=8) == 0
+
+
+def test_batches_of_a_store_compute_its_rows_once(spark):
+    from feedmill.plans.queries import batches
+
+    met = spark.sparkContext.accumulator(0)
+
+    def note(seq):
+        met.add(1)
+        return f"u{seq}"
+
+    rows = spark.range(30).select(F.udf(note, "string")("id").alias("url"), F.col("id").alias("ingest_seq"), F.lit(1).alias("article_id"))
+    got = [sorted(r.ingest_seq for r in part.collect()) for part in batches(rows, 4)]
+    assert got == [list(range(part, 30, 4)) for part in range(4)] and met.value == 30
+
+
+def test_texts_of_articles_are_shuffled_once(spark, sf):
+    from feedmill.plans import fixtures as fx
+
+    def moved(plan):
+        """Exchanges that carry texts, in a plan before it runs."""
+        if plan.nodeName() == "AdaptiveSparkPlan":
+            return moved(plan.executedPlan())
+        own = plan.nodeName() == "Exchange" and "text#" in plan.output().mkString(",")
+        return own + sum(moved(plan.children().apply(i)) for i in range(plan.children().size()))
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as tables of any size are joined
+    try:
+        articles = fx.articles(spark, sf)
+        assert moved(articles._jdf.queryExecution().executedPlan()) == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    twice = fx.table(spark, sf, "documents").count()
+    assert articles.count() == articles.select("article_id").distinct().count() == twice
