@@ -47,14 +47,31 @@ def _entries(spark: SparkSession, places: list[str]) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"gram": pa.array(grams), "file": pa.array([file] * grams.size, pa.string())})
             met.clear()
 
+        fresh: dict[str, list[np.ndarray]] = {}
+        waiting = 0
+        none = np.zeros(0, np.int64)
+
+        def fold() -> None:
+            for file, found in fresh.items():
+                met[file] = np.unique(np.concatenate([met.get(file, none), *found]))
+            fresh.clear()
+
         for batch in batches:
-            per_file: dict[str, list[np.ndarray]] = {}
-            for file, *pair in zip(*(batch[c].to_pylist() for c in ("file", "title", "body"))):
-                per_file.setdefault(file, []).extend(trigrams(t) for t in pair if t)
-            for file, found in per_file.items():
-                met[file] = np.unique(np.concatenate([met.get(file, np.zeros(0, np.int64)), *found]))
-            if sum(g.size for g in met.values()) > HELD_GRAMS:
-                yield from emit()
+            # Row by row: neither the texts of a batch nor their trigrams are held all at once.
+            for i in range(batch.num_rows):
+                file = batch["file"][i].as_py()
+                for column in ("title", "body"):
+                    text = batch[column][i].as_py()
+                    if text:
+                        grams = trigrams(text)
+                        fresh.setdefault(file, []).append(grams)
+                        waiting += grams.size
+                if waiting > HELD_GRAMS:
+                    fold()
+                    waiting = 0
+                    if sum(g.size for g in met.values()) > HELD_GRAMS:
+                        yield from emit()
+        fold()
         yield from emit()
 
     return texts.mapInArrow(find, ENTRY)

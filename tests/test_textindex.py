@@ -76,3 +76,13 @@ def test_rare_words_read_few_files(spark, tmp_path):
     assert len(rare) == 1 and rare[0] in every
     assert read_mentions(spark, path, "the xylophone").inputFiles()[0].endswith(rare[0])
     assert candidate_files(spark, path, "pl") == every == candidate_files(spark, path, "plain")
+
+
+def test_trigrams_of_one_batch_are_given_out_in_pieces(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(textindex, "HELD_GRAMS", 50)
+    rows = [(" ".join(f"w{i}x{j}" for j in range(20)), None) for i in range(40)]
+    place = str(tmp_path / "bucket=0" / "version=0")
+    spark.createDataFrame(rows, "title string, body string").coalesce(1).write.parquet(place)
+    entries = textindex._entries(spark, [place]).select("gram").collect()
+    texts = {int(g) for title, _ in rows for g in trigrams(title)}
+    assert {r.gram for r in entries} == texts and len(entries) > len(texts)
